@@ -24,84 +24,78 @@ def key_groups(df: DataFrame, key: str, order: Sequence[str | Column], signals:
     ``filled_<c>`` its non-blank count, ``low``/``high`` the least and greatest row signature.
     """
     seq = _order(order)
-    signature = F.struct(*[strip(F.coalesce(F.col(c).cast("string"), F.lit(""))).alias(c) for c in signals])
+    rows = F.struct(*[c for c in df.columns if c != key])
+    signature = F.struct(*[strip(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in signals])
     aggs = [
         F.count(F.lit(1)).alias("group_rows"),
-        F.max_by(F.struct(*[c for c in df.columns if c != key]), seq).alias("last"),
+        F.max_by(rows, seq).alias("last"),
         F.min(signature).alias("low"),
         F.max(signature).alias("high"),
     ]
     for c in signals:
         filled = ~is_placeholder(F.col(c))
-        aggs.append(F.max_by(c, F.when(filled, seq)).alias(f"value_{c}"))
-        aggs.append(F.count(F.when(filled, 1)).alias(f"filled_{c}"))
+        aggs += [F.max_by(c, F.when(filled, seq)).alias(f"value_{c}"), F.count_if(filled).alias(f"filled_{c}")]
     return df.groupBy(key).agg(*aggs)
 
 
-def _recovered(c: str) -> Column:
-    return is_placeholder(F.col(f"last.{c}")) & F.col(f"value_{c}").isNotNull()
-
-
-def _lost_cells(c: str) -> Column:
-    return F.when(is_placeholder(F.col(f"last.{c}")), F.col(f"filled_{c}")).otherwise(0)
-
-
-def _plus(columns: Sequence[Column]) -> Column:
-    total = F.lit(0)
-    for c in columns:
-        total = total + c
-    return total
-
-
-def collapse_groups(groups: DataFrame, key: str, signals: Sequence[str], counters: bool = False) -> DataFrame:
+def collapse_groups(
+    groups: DataFrame, key: str, columns: Sequence[str], signals: Sequence[str], counters: bool = False
+) -> DataFrame:
     """The last row per key, its blank signal cells recovered from earlier rows of the key.
 
-    ``counters`` adds per-key counts (``n_rejected``, ``n_recovered``, ``n_lost``, ``n_rows``, ``conflict``) that sum up to
-    the statistics of the step, so no second pass over the source is needed for them.
+    ``counters`` adds per-key counts (``COUNTERS``) that sum up to the statistics of the step, so no second pass over the
+    source is needed for them.
     """
-    names = groups.schema["last"].dataType.names
-    out = [F.col(key)]
-    for c in names:
-        last = F.col(f"last.{c}")
-        out.append((F.when(_recovered(c), F.col(f"value_{c}")).otherwise(last) if c in signals else last).alias(c))
+    blanks = {c: is_placeholder(F.col(f"last.{c}")).alias(f"blank_{c}") for c in signals}
+    flagged = groups.select("*", *blanks.values())
+    gains = {c: F.expr(f"blank_{c} AND value_{c} IS NOT NULL") for c in signals}
+    out = {key: F.col(key)}
+    for c in columns:
+        if c != key:
+            last = F.col(f"last.{c}")
+            out[c] = F.when(gains[c], F.col(f"value_{c}")).otherwise(last) if c in signals else last
+    cells = [out[c].alias(c) for c in columns]
     if counters:
-        out += [
+        recovered = " + ".join(f"cast(blank_{c} AND value_{c} IS NOT NULL AS bigint)" for c in signals)
+        lost = " + ".join(f"if(blank_{c}, filled_{c}, 0)" for c in signals)
+        cells += [
             F.col("group_rows").alias("n_rows"),
-            (F.col("group_rows") - 1).alias("n_rejected"),
-            _plus([_recovered(c).cast("long") for c in signals]).alias("n_recovered"),
-            _plus([_lost_cells(c) for c in signals]).alias("n_lost"),
-            (F.col("low") != F.col("high")).alias("conflict"),
+            F.expr("group_rows - 1").alias("n_rejected"),
+            F.expr(recovered).alias("n_recovered"),
+            F.expr(lost).alias("n_lost"),
+            F.expr("low <> high").alias("conflict"),
         ]
-    return groups.select(*out)
+    return flagged.select(*cells)
+
+
+COUNTERS = ("n_rows", "n_rejected", "n_recovered", "n_lost", "conflict")
 
 
 def group_statistics() -> list[Column]:
     """Aggregates over the counters of :func:`collapse_groups`."""
-    repeated = F.col("n_rows") > 1
-    return [
-        F.count(F.when(repeated, 1)).alias("duplicate_groups"),
-        F.coalesce(F.sum(F.when(repeated, F.col("n_rows"))), F.lit(0)).alias("duplicate_rows"),
-        F.count(F.when(repeated & ~F.col("conflict"), 1)).alias("exact_duplicate_groups"),
-        F.count(F.when(repeated & F.col("conflict"), 1)).alias("conflicting_duplicate_groups"),
-        F.count(F.when(F.col("n_lost") > 0, 1)).alias("keys_with_potential_value_loss"),
-        F.coalesce(F.sum("n_lost"), F.lit(0)).alias("potential_value_loss_cells"),
-        F.coalesce(F.sum("n_rejected"), F.lit(0)).alias("rows_rejected_dedup"),
-        F.count(F.when(F.col("n_recovered") > 0, 1)).alias("keys_recovered_from_duplicates"),
-        F.coalesce(F.sum("n_recovered"), F.lit(0)).alias("cells_recovered_from_duplicates"),
-    ]
+    totals = {
+        "duplicate_groups": "count_if(n_rows > 1)",
+        "duplicate_rows": "coalesce(sum(if(n_rows > 1, n_rows, 0)), 0)",
+        "exact_duplicate_groups": "count_if(n_rows > 1 AND NOT conflict)",
+        "conflicting_duplicate_groups": "count_if(n_rows > 1 AND conflict)",
+        "keys_with_potential_value_loss": "count_if(n_lost > 0)",
+        "potential_value_loss_cells": "coalesce(sum(n_lost), 0)",
+        "rows_rejected_dedup": "coalesce(sum(n_rejected), 0)",
+        "keys_recovered_from_duplicates": "count_if(n_recovered > 0)",
+        "cells_recovered_from_duplicates": "coalesce(sum(n_recovered), 0)",
+    }
+    return [F.expr(e).alias(n) for n, e in totals.items()]
 
 
 def collapse_duplicates(
     df: DataFrame, key: str, order: Sequence[str | Column], signals: Sequence[str], counters: bool = False
 ) -> DataFrame:
-    return collapse_groups(key_groups(df, key, order, signals), key, signals, counters).select(
-        *df.columns, *(["n_rows", "n_rejected", "n_recovered", "n_lost", "conflict"] if counters else [])
-    )
+    return collapse_groups(key_groups(df, key, order, signals), key, df.columns, signals, counters)
 
 
 def dedup_profile(df: DataFrame, key: str, order: Sequence[str | Column], signals: Sequence[str]) -> DataFrame:
     """One row: duplicate groups and rows, exact and conflicting groups, what keep-last would lose, risk and status."""
-    counted = collapse_groups(key_groups(df, key, order, signals), key, signals, counters=True)
+    counted = collapse_groups(key_groups(df, key, order, signals), key, [key], signals, counters=True)
     lossy = F.col("keys_with_potential_value_loss") > 0
     conflicting = F.col("conflicting_duplicate_groups") > 0
     repeated = F.col("duplicate_groups") > 0

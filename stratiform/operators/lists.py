@@ -1,6 +1,8 @@
 """Delimited lists: explode them, and merge articles that were cut off their names.
 
-The work on one list stays in its row, on an array: no shuffle and no window.
+The work on one list stays in its row, on an array: no shuffle and no window. Arrays are unfolded by the outer form of
+``explode`` and NULL items dropped after it: for the inner form Spark puts a copy of the whole array expression in a filter
+below, where each look at a neighbour would build the array again.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from stratiform.functions.text import ARTICLES, NAME_RULES, standardise_name
 def explode_list(df: DataFrame, column: str, sep: str = ",", item: str = "item", pos: str = "pos") -> DataFrame:
     """One row per non-blank list item, trimmed, with its position from 1 in the list as written."""
     pieces = F.split(F.col(column), f"\\Q{sep}\\E")
-    rows = df.select(*df.columns, F.posexplode(pieces).alias("_at", "_piece"))
+    rows = df.select(*df.columns, F.posexplode_outer(pieces).alias("_at", "_piece"))
     return rows.select(*df.columns, (F.col("_at") + 1).alias(pos), F.trim("_piece").alias(item)).filter(
         F.col(item) != ""
     )
@@ -23,7 +25,7 @@ def explode_list(df: DataFrame, column: str, sep: str = ",", item: str = "item",
 
 def tokens(c: Column, sep: str = ",") -> Column:
     """List text to an array of its trimmed, non-blank items."""
-    return F.filter(F.transform(F.split(c, f"\\Q{sep}\\E"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(c, f"\\Q{sep}\\E"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def merge_articles(
@@ -55,13 +57,15 @@ def explode_names(
     standard = F.transform(F.col(items), lambda x: standardise_name(x, rules))
     rest = [c for c in df.columns if c != items]
     if first_flag is None:
-        return df.select(*rest, F.explode(standard).alias(name))
+        return df.select(*rest, F.explode_outer(standard).alias(name)).filter(F.col(name).isNotNull())
     # Sorted, equal names are neighbours, so one look back tells the first.
     ordered = df.withColumn("_names", F.sort_array(standard))
     pairs = F.transform(
         F.col("_names"),
         lambda x, i: F.struct(x.alias("n"), (~x.eqNullSafe(F.get(F.col("_names"), i - 1))).alias("f")),
     )
-    return ordered.select(*rest, F.explode(pairs).alias("_pair")).select(
-        *rest, F.col("_pair.n").alias(name), F.col("_pair.f").alias(first_flag)
+    return (
+        ordered.select(*rest, F.explode_outer(pairs).alias("_pair"))
+        .filter(F.col("_pair.n").isNotNull())
+        .select(*rest, F.col("_pair.n").alias(name), F.col("_pair.f").alias(first_flag))
     )

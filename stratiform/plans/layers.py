@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame
 
 from stratiform.functions.measures import REPAIR_FLAGS
 from stratiform.operators.checks import Declared, run_checks
@@ -45,24 +46,29 @@ class Settings:
     rules: ScoreRules = field(default_factory=ScoreRules)
 
 
-def staged_tables(inputs: Inputs, settings: Settings) -> dict[str, Staged]:
-    extra = prepare_enrichment(inputs.enrichment, inputs.enrichment_order)
+def staged_table(name: str, inputs: Inputs, settings: Settings, extra: DataFrame | None = None) -> Staged:
+    """One staged table; ``extra`` is the prepared enrichment source, where it is at hand."""
+    extra = extra or prepare_enrichment(inputs.enrichment, inputs.enrichment_order)
+    if name == "movies_main":
+        return stage_core(inputs.core, extra, inputs.core_order, settings.loaded_at)
+    if name == "movie_extended":
+        return stage_extended(inputs.extended, extra, inputs.extended_order, settings.loaded_at)
     iso = settings.loaded_at.isoformat() + "+00:00"
-    return {
-        "movies_main": stage_core(inputs.core, extra, inputs.core_order, settings.loaded_at),
-        "movie_extended": stage_extended(inputs.extended, extra, inputs.extended_order, settings.loaded_at),
-        "ratings": stage_ratings(
-            inputs.ratings, inputs.core, extra, inputs.ratings_order, iso, settings.min_votes
-        ),
-    }
+    return stage_ratings(inputs.ratings, inputs.core, extra, inputs.ratings_order, iso, settings.min_votes)
+
+
+STAGED = ("movies_main", "movie_extended", "ratings")
+
+
+def staged_tables(inputs: Inputs, settings: Settings, names: Sequence[str] = STAGED) -> dict[str, Staged]:
+    extra = prepare_enrichment(inputs.enrichment, inputs.enrichment_order)
+    return {name: staged_table(name, inputs, settings, extra) for name in names}
 
 
 def typed_tables(staged: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {
-        "stg_movies_main": typed_core(staged["movies_main"]),
-        "stg_movie_extended": typed_extended(staged["movie_extended"]),
-        "stg_ratings": typed_ratings(staged["ratings"]),
-    }
+    """The typed form of each staged table given."""
+    forms = {"movies_main": typed_core, "movie_extended": typed_extended, "ratings": typed_ratings}
+    return {f"stg_{name}": forms[name](df) for name, df in staged.items()}
 
 
 def bridge_table(typed: dict[str, DataFrame]) -> DataFrame:
@@ -74,45 +80,78 @@ def metrics_table(bridge: DataFrame, settings: Settings) -> DataFrame:
     return year_over_year(group_year_metrics(bridge, *settings.metric_years, first_flag=FIRST))
 
 
-def mart_tables(
-    typed: dict[str, DataFrame], bridge: DataFrame, metrics: DataFrame, settings: Settings
-) -> dict[str, DataFrame]:
-    core, extended, ratings = (typed[t] for t in ("stg_movies_main", "stg_movie_extended", "stg_ratings"))
-    movies = attribute_dimension(core, extended)
-    names = name_dimension(bridge)
-    return {
-        "dim_date": date_dimension(date_spine(core, "release_date", settings.today)),
-        "dim_movies": movies,
-        "dim_production_companies": names,
-        "fct_movie_ratings": rating_fact(ratings, movies),
-        "fct_company_year_performance": group_year_fact(metrics),
-    }
-
-
-def report_views(fact: DataFrame, settings: Settings, ordered: bool = True) -> dict[str, DataFrame]:
-    trends = trend_bands(fact, settings.rules)
-    board = scorecard(fact, trends, settings.rules, ordered)
-    return {
-        "vw_company_year_trends": trends.orderBy("production_company", "release_year") if ordered else trends,
-        "vw_high_value_studio_performance": board,
-    }
-
-
-def all_models(inputs: Inputs, settings: Settings, ordered: bool = False) -> dict[str, DataFrame]:
-    """Every model as a lazy DataFrame, nothing written: for reading one model, or for looking at plans."""
-    staged = {n: s.rows for n, s in staged_tables(inputs, settings).items()}
-    typed = typed_tables(staged)
-    bridge = bridge_table(typed)
-    metrics = metrics_table(bridge, settings)
-    marts = mart_tables(typed, bridge, metrics, settings)
-    reports = report_views(marts["fct_company_year_performance"], settings, ordered)
-    return {
-        **typed,
-        "int_movie_company_bridge": bridge.drop(FIRST),
-        "int_company_year_metrics": metrics,
-        **marts,
-        **reports,
-    }
+class Models(Mapping):
+    """Every model by name as a lazy DataFrame, its plan composed when first asked for; nothing is written."""
+
+    def __init__(self, inputs: Inputs, settings: Settings, typed: dict[str, DataFrame] | None = None,
+                 bridge: DataFrame | None = None, metrics: DataFrame | None = None):
+        self._inputs, self._settings = inputs, settings
+        self._made: dict[str, DataFrame] = dict(typed or {})
+        if bridge is not None:
+            self._made["bridge"] = bridge
+        if metrics is not None:
+            self._made["int_company_year_metrics"] = metrics
+
+    def _typed(self, name: str) -> DataFrame:
+        step = staged_table(name, self._inputs, self._settings, self._get("enrichment"))
+        return typed_tables({name: step.rows})[f"stg_{name}"]
+
+    def _make(self, name: str) -> DataFrame:
+        get, settings = self._get, self._settings
+        if name == "enrichment":
+            return prepare_enrichment(self._inputs.enrichment, self._inputs.enrichment_order)
+        if name.startswith("stg_"):
+            return self._typed(name.removeprefix("stg_"))
+        if name == "bridge":
+            return bridge_table({t: get(t) for t in MODELS[:3]})
+        if name == "int_movie_company_bridge":
+            return get("bridge").drop(FIRST)
+        if name == "int_company_year_metrics":
+            return metrics_table(get("bridge"), settings)
+        if name == "dim_date":
+            return date_dimension(date_spine(get("stg_movies_main"), "release_date", settings.today))
+        if name == "dim_movies":
+            return attribute_dimension(get("stg_movies_main"), get("stg_movie_extended"))
+        if name == "dim_production_companies":
+            return name_dimension(get("bridge"))
+        if name == "fct_movie_ratings":
+            return rating_fact(get("stg_ratings"), get("dim_movies"))
+        if name == "fct_company_year_performance":
+            return group_year_fact(get("int_company_year_metrics"))
+        fact = get("fct_company_year_performance")
+        if name == "vw_company_year_trends":
+            return trend_bands(fact, settings.rules)
+        if name == "vw_high_value_studio_performance":
+            return scorecard(fact, get("vw_company_year_trends"), settings.rules, ordered=False)
+        raise KeyError(name)
+
+    def _get(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._make(name)
+        return self._made[name]
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in MODELS:
+            raise KeyError(name)
+        return self._get(name)
+
+    def __iter__(self):
+        return iter(MODELS)
+
+    def __len__(self):
+        return len(MODELS)
+
+    def put(self, name: str, df: DataFrame) -> DataFrame:
+        """Use ``df``, such as the written form, for this model and all built on it from now on."""
+        self._made[name] = df
+        return df
+
+
+MODELS = (
+    "stg_movies_main", "stg_movie_extended", "stg_ratings", "int_movie_company_bridge", "int_company_year_metrics",
+    "dim_date", "dim_movies", "dim_production_companies", "fct_movie_ratings", "fct_company_year_performance",
+    "vw_company_year_trends", "vw_high_value_studio_performance",
+)
 
 
 # The declared tests of each layer.
@@ -156,8 +195,8 @@ class ChecksFailed(RuntimeError):
     """A layer broke its declared tests; later layers were not built."""
 
 
-def _test_layer(layer: str, tables: dict[str, DataFrame]) -> DataFrame:
-    result = run_checks(tables, DECLARED[layer])
+def _test_layer(layer: str, tables: Mapping[str, DataFrame], folder: str) -> DataFrame:
+    result = write_folder(run_checks(tables, DECLARED[layer]), f"{folder}/checks/{layer}")
     # One row per declared test, so the driver reads a list as long as the declarations.
     broken = result.filter("violations > 0").collect()
     if broken:
@@ -165,37 +204,37 @@ def _test_layer(layer: str, tables: dict[str, DataFrame]) -> DataFrame:
     return result
 
 
-def build_layers(spark: SparkSession, inputs: Inputs, settings: Settings, folder: str) -> dict[str, DataFrame]:
-    """Write staged, typed, intermediate and mart tables below ``folder``, test each layer, return all models.
+@dataclass(frozen=True)
+class Built:
+    """What a build wrote: staged tables, models, and the outcome of the declared tests."""
 
-    Each table is read back from where it was written, so later layers do not repeat the work of earlier ones and a lost
-    executor costs no more than the table at hand. The two reports stay views, as nothing reads them but queries.
-    """
+    staged: dict[str, DataFrame]
+    models: Models
+    checks: DataFrame
 
-    def put(layer: str, name: str, df: DataFrame) -> DataFrame:
-        return write_folder(df, f"{folder}/{layer}/{name}")
 
+def write_typed(inputs: Inputs, settings: Settings, folder: str) -> tuple[dict[str, DataFrame], Models]:
+    """Write the staged and typed tables below ``folder``."""
     staged = {}
     for name, step in staged_tables(inputs, settings).items():
-        staged[name] = step.over(put("staged", name, step.wide)).rows
-
-    typed = {
-        "stg_movies_main": put("staging", "stg_movies_main", typed_core(staged["movies_main"])),
-        "stg_movie_extended": put("staging", "stg_movie_extended", typed_extended(staged["movie_extended"])),
-        "stg_ratings": put("staging", "stg_ratings", typed_ratings(staged["ratings"])),
-    }
-    _test_layer("staging", typed)
-
-    bridge = put("intermediate", "int_movie_company_bridge", bridge_table(typed))
-    metrics = put("intermediate", "int_company_year_metrics", metrics_table(bridge, settings))
-    middle = {"int_movie_company_bridge": bridge.drop(FIRST), "int_company_year_metrics": metrics}
-    _test_layer("intermediate", middle)
-
-    marts: dict[str, DataFrame] = {}
-    for name, df in mart_tables(typed, bridge, metrics, settings).items():
-        marts[name] = put("marts", name, df)
-    _test_layer("marts", marts)
-
-    reports = report_views(marts["fct_company_year_performance"], settings)
-    _test_layer("analytics", reports)
-    return {**typed, **middle, **marts, **reports}
+        staged[name] = step.over(write_folder(step.wide, f"{folder}/staged/{name}")).rows
+    typed = {n: write_folder(df, f"{folder}/staging/{n}") for n, df in typed_tables(staged).items()}
+    return staged, Models(inputs, settings, typed)
+
+
+def build_layers(inputs: Inputs, settings: Settings, folder: str) -> Built:
+    """Write staged, typed, intermediate and mart tables below ``folder``, and test each layer before the next is built.
+
+    Each table is read back from where it was written, so later layers do not repeat the work of earlier ones and a lost
+    executor costs no more than the table at hand. The two reports stay views, as nothing reads them but queries.
+    """
+    staged, models = write_typed(inputs, settings, folder)
+    tested = [_test_layer("staging", models, folder)]
+    models.put("bridge", write_folder(models._get("bridge"), f"{folder}/intermediate/int_movie_company_bridge"))
+    layers = {"intermediate": ["int_company_year_metrics"], "marts": [n for n in MODELS if n.startswith(("dim_", "fct_"))]}
+    for layer, names in layers.items():
+        for name in names:
+            models.put(name, write_folder(models[name], f"{folder}/{layer}/{name}"))
+        tested.append(_test_layer(layer, models, folder))
+    tested.append(_test_layer("analytics", models, folder))
+    return Built(staged, models, reduce(DataFrame.unionByName, tested))

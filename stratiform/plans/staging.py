@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stratiform.functions.dates import normalise_mixed_date
 from stratiform.functions.text import is_blank, nullify
-from stratiform.operators.dedup import collapse_duplicates, group_statistics, keep_first
+from stratiform.operators.dedup import COUNTERS, collapse_duplicates, group_statistics, keep_first
 from stratiform.operators.enrich import attach, fill_blank
 
 CORE_SIGNALS = ("title", "release_date", "budget", "revenue")
@@ -41,15 +41,13 @@ class Staged:
 
     @property
     def stats(self) -> DataFrame:
-        rejected = F.coalesce(F.sum("n_rejected"), F.lit(0)) + F.count(F.when(F.col("is_dropped"), 1))
-        return self.wide.agg(
-            F.count(F.when(F.col("is_kept"), 1)).alias("rows_out"),
-            rejected.alias("rows_rejected"),
-            F.count(F.when(F.col("is_kept") & F.col("is_touched"), 1)).alias("rows_touched"),
-            F.coalesce(F.sum("n_filled"), F.lit(0)).alias("values_filled"),
-            *group_statistics(),
-            *self.extra_stats,
-        )
+        totals = {
+            "rows_out": "count_if(is_kept)",
+            "rows_rejected": "coalesce(sum(n_rejected), 0) + count_if(is_dropped)",
+            "rows_touched": "count_if(is_kept AND is_touched)",
+            "values_filled": "coalesce(sum(n_filled), 0)",
+        }
+        return self.wide.agg(*[F.expr(e).alias(n) for n, e in totals.items()], *group_statistics(), *self.extra_stats)
 
     def over(self, wide: DataFrame) -> Staged:
         """The same step, read from where its wide form was written."""
@@ -76,7 +74,8 @@ def _finish(df: DataFrame, key: str, signals: Sequence[str], loaded_at: Column)
         _touched(signals).alias("is_touched"),
         F.lit(True).alias("is_kept"),
         F.lit(False).alias("is_dropped"),
-        "n_filled", "n_rows", "n_rejected", "n_recovered", "n_lost", "conflict",
+        "n_filled",
+        *COUNTERS,
     )
     return Staged(wide, columns)
 
@@ -145,10 +144,12 @@ def stage_ratings(
         (F.col("in_core") & ~empty).alias("is_kept"),
         (F.col("in_core") & empty).alias("is_dropped"),
         F.when(F.col("in_core"), F.col("n_filled")).otherwise(0).alias("n_filled"),
-        "n_rows", "n_rejected", "n_recovered", "n_lost", "conflict", "is_matched", "is_valid",
+        *COUNTERS,
+        "is_matched",
+        "is_valid",
     )
     gate = (
-        F.count(F.when(F.col("is_matched"), 1)).alias("enrichment_matched"),
-        F.count(F.when(F.col("is_matched") & ~F.col("is_valid"), 1)).alias("enrichment_rejected"),
+        F.expr("count_if(is_matched)").alias("enrichment_matched"),
+        F.expr("count_if(is_matched AND NOT is_valid)").alias("enrichment_rejected"),
     )
     return Staged(wide, columns, gate)

@@ -128,7 +128,7 @@ def enrichment(spark: SparkSession, sf: str) -> DataFrame:
     price = _text(_money(F.col("o_totalprice")))
     title = F.when(key % 9 != 0, F.concat_ws(" ", F.col("o_orderpriority"), _text(key)))
     date = (
-        F.when(key % 3 == 0, F.date_format(day, "yyyy-MM-dd")).when(key % 3 == 1, F.date_format(day, "MM/dd/yyyy"))
+        F.when(key % 13 == 0, None).when(key % 3 == 0, F.date_format(day, "yyyy-MM-dd")).when(key % 3 == 1, F.date_format(day, "MM/dd/yyyy"))
         .otherwise(F.date_format(day, "dd-MM-yyyy"))
     )
     return table(spark, sf, "orders").select(

@@ -166,32 +166,48 @@ def fill_gaps(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(filled)
 
 
+def _step(spark: SparkSession, sf: str, name: str) -> Staged:
+    return layers.staged_table(name, src.layered_inputs(spark, sf), src.SETTINGS)
+
+
 def _staged(spark: SparkSession, sf: str) -> dict[str, Staged]:
     return layers.staged_tables(src.layered_inputs(spark, sf), src.SETTINGS)
 
 
-def _typed(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return layers.typed_tables({n: s.rows for n, s in _staged(spark, sf).items()})
+def _typed(spark: SparkSession, sf: str, *names: str) -> dict[str, DataFrame]:
+    steps = layers.staged_tables(src.layered_inputs(spark, sf), src.SETTINGS, names or layers.STAGED)
+    return layers.typed_tables({n: s.rows for n, s in steps.items()})
 
 
 def staged_core(spark: SparkSession, sf: str) -> DataFrame:
-    return tidy(_staged(spark, sf)["movies_main"].rows)
+    return tidy(_step(spark, sf, "movies_main").rows)
 
 
 def staged_extended(spark: SparkSession, sf: str) -> DataFrame:
-    return tidy(_staged(spark, sf)["movie_extended"].rows)
+    return tidy(_step(spark, sf, "movie_extended").rows)
 
 
 def staged_ratings(spark: SparkSession, sf: str) -> DataFrame:
-    return _staged(spark, sf)["ratings"].rows
+    return _step(spark, sf, "ratings").rows
 
 
 def staged_core_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return _staged(spark, sf)["movies_main"].stats
+    return _step(spark, sf, "movies_main").stats
+
+
+def staged_extended_stats(spark: SparkSession, sf: str) -> DataFrame:
+    return _step(spark, sf, "movie_extended").stats
 
 
 def staged_ratings_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return _staged(spark, sf)["ratings"].stats
+    return _step(spark, sf, "ratings").stats
+
+
+def typed_table(name: str) -> Query:
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        return tidy(_typed(spark, sf, name)[f"stg_{name}"])
+
+    return query
 
 
 def first_enrichment(spark: SparkSession, sf: str) -> DataFrame:
@@ -202,7 +218,7 @@ def model(name: str) -> Query:
     """One model of the whole chain, from raw tables on."""
 
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        return tidy(layers.all_models(src.layered_inputs(spark, sf), src.SETTINGS)[name])
+        return tidy(layers.Models(src.layered_inputs(spark, sf), src.SETTINGS)[name])
 
     return query
 
@@ -222,7 +238,7 @@ def explode_lists(spark: SparkSession, sf: str) -> DataFrame:
 
 def merge_list_articles(spark: SparkSession, sf: str) -> DataFrame:
     merged = merge_articles(src.name_lists(spark, sf), "text", sep=" ")
-    return merged.select("doc_id", F.posexplode("items").alias("pos", "item"))
+    return merged.select("doc_id", F.posexplode_outer("items").alias("pos", "item")).filter("item IS NOT NULL")
 
 
 def repair_amounts(spark: SparkSession, sf: str) -> DataFrame:
@@ -265,7 +281,7 @@ def date_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def entity_dimension(spark: SparkSession, sf: str) -> DataFrame:
-    typed = _typed(spark, sf)
+    typed = _typed(spark, sf, "movies_main", "movie_extended")
     return tidy(attribute_dimension(typed["stg_movies_main"], typed["stg_movie_extended"]))
 
 
@@ -362,30 +378,43 @@ def _quality(spark: SparkSession, sf: str) -> DataFrame:
     })
 
 
-def _layers(spark: SparkSession, sf: str) -> DataFrame:
+def _written(spark: SparkSession, sf: str) -> tuple[layers.Inputs, dict[str, DataFrame], layers.Models]:
+    """Staged and typed tables as written, for reports that read several of them."""
     raw = src.layered_inputs(spark, sf)
-    staged = {n: s.rows for n, s in _staged(spark, sf).items()}
-    typed = layers.typed_tables(staged)
-    return audit.layer_counts({
-        "movies_main": (raw.core, staged["movies_main"], typed["stg_movies_main"]),
-        "movie_extended": (raw.extended, staged["movie_extended"], typed["stg_movie_extended"]),
-        "ratings": (raw.ratings, staged["ratings"], typed["stg_ratings"]),
-    })
+    return raw, *layers.write_typed(raw, src.SETTINGS, shared_folder(spark))
 
 
-def _coverage(spark: SparkSession, sf: str) -> DataFrame:
-    return audit.coverage(src.raw_core(spark, sf), "id", _staged(spark, sf)["ratings"].rows, "movie_id")
+def _layer_rows(raw: layers.Inputs, staged: dict[str, DataFrame], models: layers.Models) -> DataFrame:
+    source = {"movies_main": raw.core, "movie_extended": raw.extended, "ratings": raw.ratings}
+    return audit.layer_counts({n: (df, staged[n], models[f"stg_{n}"]) for n, df in source.items()})
 
 
-def _impact(spark: SparkSession, sf: str) -> DataFrame:
-    typed = _typed(spark, sf)
-    lists = typed["stg_movie_extended"].select("movie_id", "production_companies")
-    dated = typed["stg_movies_main"].select("movie_id", "release_date").join(lists, "movie_id", "left")
+def layer_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return _layer_rows(*_written(spark, sf))
+
+
+def rating_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.coverage(src.raw_core(spark, sf), "id", _step(spark, sf, "ratings").rows, "movie_id")
+
+
+def _impact(models) -> DataFrame:
+    lists = models["stg_movie_extended"].select("movie_id", "production_companies")
+    dated = models["stg_movies_main"].select("movie_id", "release_date").join(lists, "movie_id", "left")
     return audit.filter_impact(dated, "production_companies", "release_date")
 
 
+def filter_impact(spark: SparkSession, sf: str) -> DataFrame:
+    return _impact(_typed(spark, sf, "movies_main", "movie_extended"))
+
+
 def audit_report(spark: SparkSession, sf: str) -> DataFrame:
-    return audit.audit_report(_quality(spark, sf), _layers(spark, sf), _coverage(spark, sf), _impact(spark, sf))
+    raw, staged, models = _written(spark, sf)
+    return audit.audit_report(
+        _quality(spark, sf),
+        _layer_rows(raw, staged, models),
+        audit.coverage(raw.core, "id", staged["ratings"], "movie_id"),
+        _impact(models),
+    )
 
 
 def correction_audit(spark: SparkSession, sf: str) -> DataFrame:
@@ -510,13 +539,8 @@ def check_relationships(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def declared_checks(spark: SparkSession, sf: str) -> DataFrame:
-    """Every declared test of every layer, over the models of the whole chain."""
-    models = layers.all_models(src.layered_inputs(spark, sf), src.SETTINGS)
-    out = None
-    for declared in layers.DECLARED.values():
-        part = checks.run_checks(models, declared)
-        out = part if out is None else out.unionByName(part)
-    return out
+    """Build and write every layer, running every declared test on the way."""
+    return layers.build_layers(src.layered_inputs(spark, sf), src.SETTINGS, shared_folder(spark)).checks
 
 
 QUERIES: dict[str, Query] = {
@@ -533,6 +557,7 @@ QUERIES: dict[str, Query] = {
     "stage_core": staged_core,
     "stage_core_stats": staged_core_stats,
     "stage_extended": staged_extended,
+    "stage_extended_stats": staged_extended_stats,
     "stage_ratings": staged_ratings,
     "stage_ratings_stats": staged_ratings_stats,
     "numeric_keys": numeric_keys,
@@ -543,9 +568,9 @@ QUERIES: dict[str, Query] = {
     "harmonise_ratings": harmonise_ratings,
     "minmax_ratings": minmax_ratings,
     "zscore_ratings": zscore_ratings,
-    "typed_core": model("stg_movies_main"),
-    "typed_extended": model("stg_movie_extended"),
-    "typed_ratings": model("stg_ratings"),
+    "typed_core": typed_table("movies_main"),
+    "typed_extended": typed_table("movie_extended"),
+    "typed_ratings": typed_table("ratings"),
     "base_join": joined_base,
     "explode_list": explode_lists,
     "merge_articles": merge_list_articles,
@@ -577,9 +602,9 @@ QUERIES: dict[str, Query] = {
     "customer_scorecard": customer_scorecard,
     "company_scorecard": model("vw_high_value_studio_performance"),
     "key_quality": _quality,
-    "layer_counts": _layers,
-    "rating_coverage": _coverage,
-    "filter_impact": _impact,
+    "layer_counts": layer_counts,
+    "rating_coverage": rating_coverage,
+    "filter_impact": filter_impact,
     "audit_report": audit_report,
     "correction_audit": correction_audit,
     "table_counts": table_counts,
