@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
@@ -15,6 +16,8 @@ FILE_MISSING = (
 PLACEHOLDERS = ("", "none", "null", "nan")
 # Every character that counts as white space at the ends of a cell.
 WHITE_SPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
+_SPACE = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITE_SPACE) + "]"
+_NOT_SPACE = "[^" + _SPACE[1:]
 # Words that belong to the list token after them.
 ARTICLES = ("The", "A", "An")
 # Fixed values: (pattern, standard name), first match wins.
@@ -44,11 +47,14 @@ def nullify_spaces(c: Column) -> Column:
 
 
 def is_blank(c: Column) -> Column:
-    return strip(F.coalesce(c.cast("string"), F.lit(""))) == ""
+    """NULL, empty or only white space."""
+    return ~F.coalesce(c.cast("string").rlike(_NOT_SPACE), F.lit(False))
 
 
 def is_placeholder(c: Column, words: Sequence[str] = PLACEHOLDERS) -> Column:
-    return F.lower(strip(F.coalesce(c.cast("string"), F.lit("")))).isin(*words)
+    """Blank, or one of some words in any case with white space around."""
+    any_word = "|".join(re.escape(w) for w in words if w)
+    return F.coalesce(c.cast("string").rlike(rf"(?i)\A{_SPACE}*(?:{any_word})?{_SPACE}*\z"), F.lit(True))
 
 
 def rewrite_delimiters(c: Column, pattern: str = BAR, to: str = ",") -> Column:

@@ -14,28 +14,40 @@ from stratiform.functions.text import is_placeholder, strip
 
 
 def _order(order: Sequence[str | Column]) -> Column:
+    """One comparable value for a list of columns."""
+    if len(order) == 1:
+        return F.col(order[0]) if isinstance(order[0], str) else order[0]
     return F.struct(*order)
 
 
-def key_groups(df: DataFrame, key: str, order: Sequence[str | Column], signals: Sequence[str]) -> DataFrame:
+def key_groups(
+    df: DataFrame, key: str, order: Sequence[str | Column], columns: Sequence[str], signals: Sequence[str]
+) -> DataFrame:
     """One row per key with all that profiling and collapsing need.
 
-    ``last`` is the last row in ``order`` (which must be total), ``value_<c>`` the last non-blank text of a signal column,
-    ``filled_<c>`` its non-blank count, ``low``/``high`` the least and greatest row signature.
+    ``last`` holds ``columns`` of the last row in ``order`` (which must be total), ``value_<c>`` the last non-blank text of a
+    signal column, ``filled_<c>`` its non-blank count. Two rows differ if either of two 64-bit row hashes does, so only
+    numbers, and not the texts again, are shuffled to find conflicts.
     """
-    seq = _order(order)
-    rows = F.struct(*[c for c in df.columns if c != key])
-    signature = F.struct(*[strip(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in signals])
-    aggs = [
-        F.count(F.lit(1)).alias("group_rows"),
-        F.max_by(rows, seq).alias("last"),
-        F.min(signature).alias("low"),
-        F.max(signature).alias("high"),
-    ]
+    texts = [strip(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in signals]
+    filled = {c: f"_filled_{c}" for c in signals}
+    # Worked out once per row ahead of the aggregate, which reads each of them several times.
+    rows = df.select(
+        key,
+        _order(order).alias("_seq"),
+        *columns,
+        *[c for c in signals if c not in columns],
+        *[(~is_placeholder(F.col(c))).alias(filled[c]) for c in signals],
+        F.xxhash64(*texts).alias("_hash_0"),
+        F.xxhash64(F.lit(key), *reversed(texts)).alias("_hash_1"),
+    )
+    aggs = [F.count(F.lit(1)).alias("group_rows"), F.max_by(F.struct(*columns), "_seq").alias("last")]
+    for n in (0, 1):
+        aggs += [F.min(f"_hash_{n}").alias(f"low_{n}"), F.max(f"_hash_{n}").alias(f"high_{n}")]
     for c in signals:
-        filled = ~is_placeholder(F.col(c))
-        aggs += [F.max_by(c, F.when(filled, seq)).alias(f"value_{c}"), F.count_if(filled).alias(f"filled_{c}")]
-    return df.groupBy(key).agg(*aggs)
+        aggs.append(F.expr(f"max_by({c}, if({filled[c]}, _seq, NULL))").alias(f"value_{c}"))
+        aggs.append(F.count_if(F.col(filled[c])).alias(f"filled_{c}"))
+    return rows.groupBy(key).agg(*aggs)
 
 
 def collapse_groups(
@@ -46,15 +58,15 @@ def collapse_groups(
     ``counters`` adds per-key counts (``COUNTERS``) that sum up to the statistics of the step, so no second pass over the
     source is needed for them.
     """
-    blanks = {c: is_placeholder(F.col(f"last.{c}")).alias(f"blank_{c}") for c in signals}
-    flagged = groups.select("*", *blanks.values())
-    gains = {c: F.expr(f"blank_{c} AND value_{c} IS NOT NULL") for c in signals}
-    out = {key: F.col(key)}
+    flagged = groups.select("*", *[is_placeholder(F.col(f"last.{c}")).alias(f"blank_{c}") for c in signals])
+    cells = []
     for c in columns:
-        if c != key:
-            last = F.col(f"last.{c}")
-            out[c] = F.when(gains[c], F.col(f"value_{c}")).otherwise(last) if c in signals else last
-    cells = [out[c].alias(c) for c in columns]
+        if c == key:
+            cells.append(F.col(key))
+        elif c in signals:
+            cells.append(F.expr(f"if(blank_{c}, coalesce(value_{c}, last.{c}), last.{c})").alias(c))
+        else:
+            cells.append(F.col(f"last.{c}"))
     if counters:
         recovered = " + ".join(f"cast(blank_{c} AND value_{c} IS NOT NULL AS bigint)" for c in signals)
         lost = " + ".join(f"if(blank_{c}, filled_{c}, 0)" for c in signals)
@@ -63,7 +75,7 @@ def collapse_groups(
             F.expr("group_rows - 1").alias("n_rejected"),
             F.expr(recovered).alias("n_recovered"),
             F.expr(lost).alias("n_lost"),
-            F.expr("low <> high").alias("conflict"),
+            F.expr("low_0 <> high_0 OR low_1 <> high_1").alias("conflict"),
         ]
     return flagged.select(*cells)
 
@@ -88,14 +100,22 @@ def group_statistics() -> list[Column]:
 
 
 def collapse_duplicates(
-    df: DataFrame, key: str, order: Sequence[str | Column], signals: Sequence[str], counters: bool = False
+    df: DataFrame,
+    key: str,
+    order: Sequence[str | Column],
+    signals: Sequence[str],
+    counters: bool = False,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    return collapse_groups(key_groups(df, key, order, signals), key, df.columns, signals, counters)
+    """One row per key; ``columns`` are those to keep, all by default."""
+    columns = list(columns or df.columns)
+    groups = key_groups(df, key, order, [c for c in columns if c != key], signals)
+    return collapse_groups(groups, key, columns, signals, counters)
 
 
 def dedup_profile(df: DataFrame, key: str, order: Sequence[str | Column], signals: Sequence[str]) -> DataFrame:
     """One row: duplicate groups and rows, exact and conflicting groups, what keep-last would lose, risk and status."""
-    counted = collapse_groups(key_groups(df, key, order, signals), key, [key], signals, counters=True)
+    counted = collapse_groups(key_groups(df, key, order, signals, signals), key, [key], signals, counters=True)
     lossy = F.col("keys_with_potential_value_loss") > 0
     conflicting = F.col("conflicting_duplicate_groups") > 0
     repeated = F.col("duplicate_groups") > 0

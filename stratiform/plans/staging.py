@@ -84,7 +84,7 @@ def stage_core(
     raw: DataFrame, enrichment: DataFrame, order: Sequence[str | Column], loaded_at: dt.datetime
 ) -> Staged:
     """Core attributes: titles and amounts are filled as they came, dates are brought to one form first."""
-    kept = collapse_duplicates(raw, "id", order, CORE_SIGNALS, counters=True)
+    kept = collapse_duplicates(raw, "id", order, CORE_SIGNALS, True, ["id", *CORE_SIGNALS])
     joined = attach(kept, enrichment, "id", ["title", "budget", "revenue", "release_date_norm"])
     filled = fill_blank(joined, {c: f"{c}_src" for c in ("title", "budget", "revenue")}, "n_filled")
     dated = filled.withColumn("release_date", normalise_mixed_date(F.col("release_date")))
@@ -96,7 +96,7 @@ def stage_extended(
     raw: DataFrame, enrichment: DataFrame, order: Sequence[str | Column], loaded_at: dt.datetime
 ) -> Staged:
     """List attributes, each filled from the enrichment source."""
-    kept = collapse_duplicates(raw, "id", order, EXTENDED_SIGNALS, counters=True)
+    kept = collapse_duplicates(raw, "id", order, EXTENDED_SIGNALS, True, ["id", *EXTENDED_SIGNALS])
     joined = attach(kept, enrichment, "id", EXTENDED_SIGNALS)
     done = fill_blank(joined, {c: f"{c}_src" for c in EXTENDED_SIGNALS}, "n_filled")
     return _finish(done, "id", EXTENDED_SIGNALS, F.lit(loaded_at.isoformat(sep=" ")).cast("timestamp_ntz"))
@@ -116,7 +116,9 @@ def stage_ratings(
     duplicates only, so they stay in the wide form as rows that are neither kept nor dropped.
     """
     universe = core.select(F.col("id").alias("movie_id")).distinct().withColumn("in_core", F.lit(True))
-    own = collapse_duplicates(raw, "movie_id", order, RATING_SIGNALS, counters=True)
+    own = collapse_duplicates(
+        raw, "movie_id", order, RATING_SIGNALS, True, ["movie_id", *RATING_SIGNALS, "loaded_at"]
+    )
     votes = enrichment.select(F.col("id").alias("movie_id"), "vote_average", "vote_count", "status")
     joined = universe.join(own, "movie_id", "full_outer").join(votes, "movie_id", "left")
 

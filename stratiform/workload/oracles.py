@@ -660,7 +660,7 @@ FINALS: dict[str, str] = {
         SELECT CAST(o_orderkey AS VARCHAR) AS id,
                CASE o_orderkey % 5 WHEN 0 THEN 'He said "' || o_orderpriority || '", then' || chr(10) || 'left'
                     WHEN 3 THEN 'NULL' WHEN 4 THEN o_orderpriority END AS title,
-               {money("o_totalprice")} AS budget, CAST(NULL AS VARCHAR) AS revenue, TIMESTAMP '2002-01-01 00:00:00' AS loaded_at
+               {money("o_totalprice")} AS budget, CAST(NULL AS VARCHAR) AS revenue, '2002-01-01 00:00:00' AS loaded_at
         FROM orders""",
     "land_json": f"""
         SELECT CAST(event_id AS VARCHAR) AS movie_id,

@@ -69,7 +69,7 @@ def land_csv_files(spark: SparkSession, sf: str) -> DataFrame:
     )
     cells.write.options(header=True, quoteAll=True, escape='"', ignoreLeadingWhiteSpace=False,
                         ignoreTrailingWhiteSpace=False).csv(path)
-    return land_csv(spark, path, ["id", "title", "budget", "revenue"], src.LOADED_AT)
+    return tidy(land_csv(spark, path, ["id", "title", "budget", "revenue"], src.LOADED_AT))
 
 
 def land_json_files(spark: SparkSession, sf: str) -> DataFrame:
@@ -145,8 +145,9 @@ def duplicate_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def collapse_duplicate_rows(spark: SparkSession, sf: str) -> DataFrame:
-    kept = collapse_duplicates(src.raw_core(spark, sf), "id", ["arrival"], CORE_SIGNALS, counters=True)
-    return kept.select("id", *CORE_SIGNALS, "n_rejected", "n_recovered")
+    columns = ["id", *CORE_SIGNALS]
+    kept = collapse_duplicates(src.raw_core(spark, sf), "id", ["arrival"], CORE_SIGNALS, True, columns)
+    return kept.select(*columns, "n_rejected", "n_recovered")
 
 
 def keep_first_rows(spark: SparkSession, sf: str) -> DataFrame:
