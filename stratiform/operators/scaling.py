@@ -6,7 +6,7 @@ there is no join at all.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stratiform.functions.numbers import exact_ratio
 
@@ -21,16 +21,36 @@ def _with_stats(df: DataFrame, column: str, stats: dict) -> DataFrame:
     return with_scalar(df, df.select(column), packed, "_stats")
 
 
+def _minmax(column: str, digits: int) -> Column:
+    lo, hi = F.col("_stats.lo"), F.col("_stats.hi")
+    return exact_ratio(F.col(column) - lo, hi - lo, digits, "decimal(18,8)")
+
+
+def _zscore(column: str, digits: int) -> Column:
+    distance = F.col(column).cast("double") - F.col("_stats.mean")
+    return F.round(distance / F.nullif(F.col("_stats.dev"), F.lit(0.0)), digits)
+
+
+def _range(column: str) -> dict[str, Column]:
+    return {"lo": F.min(column), "hi": F.max(column)}
+
+
+def _spread(column: str) -> dict[str, Column]:
+    value = F.col(column).cast("double")
+    return {"mean": F.avg(value), "dev": F.stddev_samp(value)}
+
+
 def minmax(df: DataFrame, column: str, out: str, digits: int = 6) -> DataFrame:
     """Min-max normalise; NULL when all values are equal."""
-    rows = _with_stats(df, column, {"lo": F.min(column), "hi": F.max(column)})
-    lo, hi = F.col("_stats.lo"), F.col("_stats.hi")
-    return rows.withColumn(out, exact_ratio(F.col(column) - lo, hi - lo, digits, "decimal(18,8)")).drop("_stats")
+    return _with_stats(df, column, _range(column)).withColumn(out, _minmax(column, digits)).drop("_stats")
 
 
 def zscore(df: DataFrame, column: str, out: str, digits: int = 6) -> DataFrame:
     """Distance to the mean in sample standard deviations; NULL when the deviation is 0 or unknown."""
-    value = F.col(column).cast("double")
-    rows = _with_stats(df, column, {"mean": F.avg(value), "dev": F.stddev_samp(value)})
-    score = (value - F.col("_stats.mean")) / F.nullif(F.col("_stats.dev"), F.lit(0.0))
-    return rows.withColumn(out, F.round(score, digits)).drop("_stats")
+    return _with_stats(df, column, _spread(column)).withColumn(out, _zscore(column, digits)).drop("_stats")
+
+
+def minmax_and_zscore(df: DataFrame, column: str, minmax_out: str, zscore_out: str, digits: int = 6) -> DataFrame:
+    """Both, from one pass for the statistics."""
+    rows = _with_stats(df, column, {**_range(column), **_spread(column)})
+    return rows.withColumns({minmax_out: _minmax(column, digits), zscore_out: _zscore(column, digits)}).drop("_stats")

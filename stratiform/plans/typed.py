@@ -9,7 +9,7 @@ from stratiform.functions.measures import harmonise_rating
 from stratiform.functions.numbers import clean_decimal, clean_int, digits_to_long, numeric_text
 from stratiform.functions.text import BAR, nullify_spaces, rewrite_delimiters
 from stratiform.operators.dedup import latest_per_key
-from stratiform.operators.scaling import minmax, zscore
+from stratiform.operators.scaling import minmax_and_zscore
 
 
 def _latest(staged: DataFrame, key: str, loaded: Column) -> DataFrame:
@@ -55,7 +55,7 @@ def ratings_on_one_scale(staged: DataFrame) -> DataFrame:
 
 def typed_ratings(staged: DataFrame) -> DataFrame:
     one_scale = ratings_on_one_scale(staged)
-    scored = zscore(minmax(one_scale, "rating_10", "avg_rating_minmax"), "rating_10", "avg_rating_zscore")
+    scored = minmax_and_zscore(one_scale, "rating_10", "avg_rating_minmax", "avg_rating_zscore")
     return scored.select(
         "movie_id",
         F.round("rating_10", 4).cast("decimal(10,4)").alias("avg_rating"),

@@ -21,6 +21,12 @@ RECOMMENDED = {
 }
 
 
+def cluster_settings(shuffled_bytes: int, cores: int, partition_bytes: int = 200 << 20) -> dict[str, str]:
+    """Recommended settings with shuffles cut for an amount of data: partitions that fit a task, and work for every core."""
+    parts = max(2 * cores, -(-shuffled_bytes // partition_bytes))
+    return {**RECOMMENDED, "spark.sql.shuffle.partitions": str(parts)}
+
+
 def local_session(app: str = "stratiform", cpus: int | str = 8) -> SparkSession:
     """A session for tests and benchmarks on one machine."""
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)

@@ -13,8 +13,19 @@ def write_folder(df: DataFrame, path: str, append: bool = False, partition_by: S
     return df.sparkSession.read.parquet(path)
 
 
-def write_table(df: DataFrame, name: str, append: bool = False, partition_by: Sequence[str] = ()) -> DataFrame:
-    df.write.mode("append" if append else "overwrite").partitionBy(*partition_by).saveAsTable(name)
+def write_table(
+    df: DataFrame,
+    name: str,
+    append: bool = False,
+    partition_by: Sequence[str] = (),
+    bucket_by: tuple[int, Sequence[str]] | None = None,
+) -> DataFrame:
+    """Write a catalog table. Tables in as many buckets of one key join and group on it without a shuffle."""
+    writer = df.write.mode("append" if append else "overwrite").partitionBy(*partition_by)
+    if bucket_by:
+        count, columns = bucket_by
+        writer = writer.bucketBy(count, *columns).sortBy(*columns)
+    writer.saveAsTable(name)
     return df.sparkSession.table(name)
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -25,9 +24,9 @@ from stratiform.plans import layers
 from stratiform.plans.bridge import base_join, company_bridge, repair_amounts as repair
 from stratiform.plans.staging import CORE_SIGNALS, Staged, prepare_enrichment
 from stratiform.plans.tasklog import log_landed, log_staged, read_log
-from stratiform.plans.typed import typed_core
 from stratiform.session import shared_folder
 from stratiform.sources.landing import land_csv, land_json
+from stratiform.sources.tables import write_folder
 from stratiform.workload import inputs as src
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -224,6 +223,14 @@ def model(name: str) -> Query:
     return query
 
 
+def company_scorecard(spark: SparkSession, sf: str) -> DataFrame:
+    """The scorecard of the whole chain, over the fact table as written."""
+    models = layers.Models(src.layered_inputs(spark, sf), src.SETTINGS)
+    fact = "fct_company_year_performance"
+    models.put(fact, write_folder(models[fact], f"{shared_folder(spark)}/{fact}"))
+    return tidy(models["vw_high_value_studio_performance"])
+
+
 # --- bridge and metrics -----------------------------------------------------------------------------------------------
 
 
@@ -300,6 +307,11 @@ def _customer_fact(spark: SparkSession, sf: str) -> DataFrame:
     return group_year_fact(year_over_year(src.customer_metrics(spark, sf)))
 
 
+def _stored_fact(spark: SparkSession, sf: str) -> DataFrame:
+    """The fact as written, for the reports that read it several times."""
+    return write_folder(_customer_fact(spark, sf), f"{shared_folder(spark)}/fact")
+
+
 def customer_year_fact(spark: SparkSession, sf: str) -> DataFrame:
     names = name_dimension(src.customer_bridge(spark, sf))
     return tidy(group_year_fact(year_over_year(src.customer_metrics(spark, sf)), names))
@@ -322,7 +334,7 @@ def _counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _scored(spark: SparkSession, sf: str) -> DataFrame:
-    fact = _customer_fact(spark, sf)
+    fact = _stored_fact(spark, sf)
     return sc.scored_groups(fact, sc.trend_bands(fact, src.RULES), src.RULES)
 
 
@@ -339,7 +351,7 @@ def latest_bands(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def window_bounds(spark: SparkSession, sf: str) -> DataFrame:
-    fact = _customer_fact(spark, sf)
+    fact = _stored_fact(spark, sf)
     summary = sc.group_summary(fact, src.RULES).select("production_company_key", "production_company", "latest_year")
     return sc.window_bound(summary, fact, src.RULES)
 
@@ -364,7 +376,7 @@ def band_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def customer_scorecard(spark: SparkSession, sf: str) -> DataFrame:
-    fact = _customer_fact(spark, sf)
+    fact = _stored_fact(spark, sf)
     return tidy(sc.scorecard(fact, sc.trend_bands(fact, src.RULES), src.RULES))
 
 
@@ -601,7 +613,7 @@ QUERIES: dict[str, Query] = {
     "action_label": action_labels,
     "presentation_labels": band_labels,
     "customer_scorecard": customer_scorecard,
-    "company_scorecard": model("vw_high_value_studio_performance"),
+    "company_scorecard": company_scorecard,
     "key_quality": _quality,
     "layer_counts": layer_counts,
     "rating_coverage": rating_coverage,

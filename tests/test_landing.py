@@ -5,7 +5,8 @@ import datetime as dt
 import pytest
 
 from stratiform.sources.landing import land_csv, land_json
-from stratiform.sources.tables import write_folder
+from stratiform.session import cluster_settings
+from stratiform.sources.tables import register_views, write_folder, write_table
 from stratiform.operators.dedup import collapse_duplicates
 
 AT = dt.datetime(2024, 1, 1)
@@ -49,3 +50,26 @@ def test_append_and_overwrite(spark, tmp_path):
     assert write_folder(df, path).count() == 3
     assert write_folder(df, path, append=True).count() == 6
     assert write_folder(df, path).count() == 3
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS landing_test LOCATION '{tmp_path}'")
+        left, right = (write_table(spark.range(100), f"landing_test.{n}", bucket_by=(4, ["id"])) for n in ("l", "r"))
+        joined = left.join(right, "id")
+        assert joined.count() == 100
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS landing_test CASCADE")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32MB")
+
+
+def test_views_read_as_tables(spark):
+    register_views({"three": spark.range(3)})
+    assert spark.sql("SELECT count(*) FROM three").first()[0] == 3
+
+
+def test_shuffles_grow_with_the_data():
+    assert cluster_settings(100 << 40, 4000)["spark.sql.shuffle.partitions"] == "524288"
+    assert cluster_settings(1 << 30, 4000)["spark.sql.shuffle.partitions"] == "8000"
