@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
@@ -41,5 +42,12 @@ def date_key(c: Column) -> Column:
 def wall_clock(c: Column, zone: str = "+08:00") -> Column:
     """ISO text to wall-clock time in a zone; text without an offset is taken as it is."""
     has_offset = c.rlike(r"(Z|[+-]\d{2}:?\d{2})\z")
-    shifted = F.convert_timezone(F.lit("UTC"), F.lit(zone), F.try_to_timestamp(c).cast("timestamp_ntz"))
+    local = F.try_to_timestamp(c).cast("timestamp_ntz")
+    shifted = F.convert_timezone(F.current_timezone(), F.lit(zone), local)
     return F.when(has_offset, shifted).otherwise(c.try_cast("timestamp_ntz"))
+
+
+def in_years(c: Column, first: int, last: int) -> Column:
+    """Whether a date or time lies in a range of years, as bounds on the column itself, which reach the file scan."""
+    low, high = (F.lit(dt.datetime(y, 1, 1).isoformat(sep=" ")).cast("timestamp_ntz") for y in (first, last + 1))
+    return (c >= low) & (c < high)

@@ -9,6 +9,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from stratiform.functions.dates import in_years
 from stratiform.functions.numbers import exact_ratio
 from stratiform.operators.metrics import group_year_metrics, year_over_year
 from stratiform.operators.scorecard import ScoreRules
@@ -251,7 +252,8 @@ def supplier_metrics(spark: SparkSession, sf: str) -> DataFrame:
             exact_ratio(F.sum(quantity), F.count(F.lit(5)) * 5, 4).alias("avg_rating"),
         )
     )
-    orders = table(spark, sf, "orders").select(
+    dated = table(spark, sf, "orders").filter(in_years(F.col("o_orderdate"), *SETTINGS.metric_years))
+    orders = dated.select(
         F.col("o_orderkey").alias("l_orderkey"),
         F.year("o_orderdate").alias("release_year"),
         F.col("o_orderdate").alias("record_loaded_at"),

@@ -70,6 +70,15 @@ def test_wall_clock_shifts_only_zoned_text(frame):
     assert got == [dt.datetime(2024, 1, 1, 8), dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 6, 0, 0, 500000), None]
 
 
+def test_wall_clock_is_the_same_in_any_session_zone(frame, spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = values(frame, ["2024-01-01T00:00:00Z"], "string", lambda c: dates.wall_clock(c).cast("string"))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == ["2024-01-01 08:00:00"]
+
+
 def test_delimiter_rewrite_by_intent_and_as_written(frame):
     assert values(frame, ["a | b|c", " ", None], "string", text.rewrite_delimiters) == ["a,b,c", None, None]
     literal = values(frame, ["a | b"], "string", lambda c: text.rewrite_delimiters(c, r"\\s*\\|\\s*"))

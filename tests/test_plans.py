@@ -60,6 +60,11 @@ def test_scans_read_only_what_is_used(spark, sf):
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
 
 
+def test_year_range_reaches_the_scan(spark, sf):
+    details = QUERIES["supplier_trends"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate,1990-01-01" in details
+
+
 def test_build_writes_every_layer(spark, sf, tmp_path):
     built = layers.build_layers(src.layered_inputs(spark, sf), src.SETTINGS, str(tmp_path))
     assert built.checks.count() == 33 and built.checks.filter("violations > 0").count() == 0
