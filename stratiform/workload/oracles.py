@@ -521,7 +521,7 @@ def fact_rows(source: str) -> str:
 
 
 def trend_rows(source: str) -> str:
-    return f"""SELECT production_company_key, production_company, {YEAR_KEY}, seen_year AS prior_observed_year,
+    return f"""SELECT production_company_key, production_company, {YEAR_KEY}, CAST(seen_year AS DOUBLE) AS prior_observed_year,
         {METRIC_COLUMNS.replace("movies_released,", "")}, {real("pct_c", 2)} AS revenue_yoy_pct,
         {real("delta4", 4)} AS rating_yoy_delta, improved AS growth_and_rating_improved, band AS performance_band, {LOADED}
         FROM {source}"""
@@ -562,7 +562,7 @@ def task_row(stage: str, task: str, relation: str, counts: str, message: str, so
         'completed' AS status, {counts}, {message} AS error_message, '2002-01-01 08:00:00' AS started_at FROM {source}"""
 
 
-STAGED_COUNTS = "rows_touched + rows_rejected AS rows_in, rows_out, rows_rejected"
+STAGED_COUNTS = "rows_touched + rows_rejected AS rows_in, CAST(rows_out AS DOUBLE) AS rows_out, rows_rejected"
 STAGED_TEXT = """'dedup_summary: duplicate_groups=' || duplicate_groups || ', conflicting_groups='
     || conflicting_duplicate_groups || ', potential_loss_keys=' || keys_with_potential_value_loss || ', recovered_keys='
     || keys_recovered_from_duplicates || ', recovered_cells=' || cells_recovered_from_duplicates"""
@@ -706,7 +706,7 @@ FINALS: dict[str, str] = {
     "stage_ratings": "SELECT * FROM staged_ratings",
     "stage_ratings_stats": "SELECT * FROM ratings_stats",
     "numeric_keys": """
-        SELECT o_orderkey, CASE WHEN regexp_full_match(trim(id), '[0-9]+') THEN TRY_CAST(trim(id) AS BIGINT) END AS movie_id
+        SELECT o_orderkey, CASE WHEN regexp_full_match(trim(id), '[0-9]+') THEN TRY_CAST(trim(id) AS DOUBLE) END AS movie_id
         FROM dirty""",
     "clean_amounts": f"SELECT o_orderkey, CAST({clean('budget')} AS DOUBLE) AS budget_amount FROM dirty",
     "route_dates": """
@@ -730,12 +730,12 @@ FINALS: dict[str, str] = {
         SELECT movie_id, genres, production_countries, production_companies, spoken_languages, {stamp("loaded_at")} AS loaded_at
         FROM typed_extended""",
     "typed_ratings": f"""
-        SELECT movie_id, {real("r4", 4)} AS avg_rating, total_ratings, {real("dev4", 4)} AS std_dev,
+        SELECT movie_id, {real("r4", 4)} AS avg_rating, CAST(total_ratings AS DOUBLE) AS total_ratings, {real("dev4", 4)} AS std_dev,
                {real("minmax6", 6)} AS avg_rating_minmax, zscore AS avg_rating_zscore, {stamp("loaded_at")} AS loaded_at
         FROM typed_ratings""",
     "base_join": f"""
         SELECT movie_id, title, CAST(release_date AS VARCHAR) AS release_date, release_year, {BRIDGE_MONEY},
-               {real("r4", 4)} AS avg_rating, total_ratings, genres, production_countries, production_companies, {LOADED}
+               {real("r4", 4)} AS avg_rating, CAST(total_ratings AS DOUBLE) AS total_ratings, genres, production_countries, production_companies, {LOADED}
         FROM base""",
     "explode_list": f"""
         SELECT id, {stamp("loaded_at")} AS loaded_at, CAST(pos AS INTEGER) AS pos, trim(piece) AS production_company
@@ -757,7 +757,7 @@ FINALS: dict[str, str] = {
                                WHEN p_name LIKE '%widget' THEN 'Widget House' ELSE p_name END AS p_name FROM part""",
     "company_bridge": f"""
         SELECT movie_id, title, CAST(release_date AS VARCHAR) AS release_date, release_year, {BRIDGE_MONEY},
-               {real("r4", 4)} AS avg_rating, total_ratings, genres, production_countries, production_company,
+               {real("r4", 4)} AS avg_rating, CAST(total_ratings AS DOUBLE) AS total_ratings, genres, production_countries, production_company,
                flag AS budget_correction_flag, {LOADED}
         FROM bridge""",
     "group_year_metrics": f"SELECT production_company, {METRIC_COLUMNS}, {LOADED} FROM customer_metrics",
@@ -768,7 +768,7 @@ FINALS: dict[str, str] = {
         FROM customer_bridge GROUP BY production_company""",
     "prior_period": f"""
         SELECT production_company, release_year, {real("total_c", 2)} AS total_revenue, {real("w4", 4)} AS weighted_avg_rating,
-               prior_year, {real("prior_c", 2)} AS prior_year_revenue, {real("prior_w4", 4)} AS prior_year_rating
+               CAST(prior_year AS DOUBLE) AS prior_year, {real("prior_c", 2)} AS prior_year_revenue, {real("prior_w4", 4)} AS prior_year_rating
         FROM customer_changed""",
     "change_measures": f"""
         SELECT production_company, release_year, {real("pct_c", 2)} AS revenue_yoy_pct, {real("delta4", 4)} AS rating_yoy_delta
@@ -777,7 +777,7 @@ FINALS: dict[str, str] = {
         SELECT production_company, {METRIC_COLUMNS}, {CHANGE_COLUMNS}, {LOADED} FROM company_changed""",
     "date_dimension": calendar(),
     "attribute_dimension": f"""
-        SELECT movie_id, title, release_date_key, CAST(release_date AS VARCHAR) AS release_date, {BRIDGE_MONEY}, genres,
+        SELECT movie_id, title, CAST(release_date_key AS DOUBLE) AS release_date_key, CAST(release_date AS VARCHAR) AS release_date, {BRIDGE_MONEY}, genres,
                production_countries, production_companies, spoken_languages, {LOADED}
         FROM movie_dimension""",
     "name_dimension": f"""
@@ -791,11 +791,11 @@ FINALS: dict[str, str] = {
                {stamp("max(record_loaded_at)")} AS loaded_at
         FROM bridge GROUP BY lower(trim(production_company))""",
     "rating_fact": f"""
-        SELECT r.movie_id, d.title, d.release_date_key, CAST(d.release_date AS VARCHAR) AS release_date,
-               CAST(year(d.release_date) AS INTEGER) AS release_year, CAST(month(d.release_date) AS INTEGER) AS release_month,
+        SELECT r.movie_id, d.title, CAST(d.release_date_key AS DOUBLE) AS release_date_key, CAST(d.release_date AS VARCHAR) AS release_date,
+               CAST(year(d.release_date) AS DOUBLE) AS release_year, CAST(month(d.release_date) AS DOUBLE) AS release_month,
                d.genres, d.production_countries, {BRIDGE_MONEY},
                {real(ratio("(revenue_c - budget_c)", "budget_c", 4), 2)} AS roi_pct,
-               {real("r.r4", 4)} AS avg_rating, r.total_ratings, {real("r.dev4", 4)} AS std_dev,
+               {real("r.r4", 4)} AS avg_rating, CAST(r.total_ratings AS DOUBLE) AS total_ratings, {real("r.dev4", 4)} AS std_dev,
                {real("r.minmax6", 6)} AS avg_rating_minmax, r.zscore AS avg_rating_zscore,
                CASE WHEN r.total_ratings >= 10000 THEN 'blockbuster_signal' WHEN r.total_ratings >= 1000 THEN 'high_interest'
                     WHEN r.total_ratings >= 100 THEN 'medium_interest' ELSE 'low_interest' END AS interest_band,
@@ -863,7 +863,7 @@ FINALS: dict[str, str] = {
               WHERE e.genres IS NOT NULL) WHERE trim(genre) <> '' GROUP BY 1""",
     "task_metrics": " UNION ALL ".join([
         task_row("ingestion", "load_ratings", "raw.ratings",
-                 "count(*) AS rows_in, count(*) AS rows_out, CAST(0 AS BIGINT) AS rows_rejected", "NULL", "raw_ratings"),
+                 "count(*) AS rows_in, CAST(count(*) AS DOUBLE) AS rows_out, CAST(0 AS BIGINT) AS rows_rejected", "NULL", "raw_ratings"),
         *[task_row("staging", f"build_{t}", f"staging.{t}", STAGED_COUNTS, STAGED_TEXT, s) for t, s in (
             ("movies_main", "core_stats"), ("movie_extended", "extended_stats"), ("ratings", "ratings_stats"))],
     ]),
@@ -871,7 +871,7 @@ FINALS: dict[str, str] = {
         SELECT run_id, 'marts' AS stage_name, task AS task_name, 'models/' || task || '.sql' AS source_file,
                CASE task WHEN 'a' THEN 'db.raw.z, db.staging.up' ELSE 'db.marts.a' END AS source_relation,
                CASE task WHEN 'a' THEN 'db.marts.a' ELSE 'db.marts.b_alias' END AS target_relation,
-               status, rows_out, CASE WHEN status = 'failed' THEN 'event ' || event_type END AS error_message,
+               status, CAST(rows_out AS DOUBLE) AS rows_out, CASE WHEN status = 'failed' THEN 'event ' || event_type END AS error_message,
                {stamp("ts + INTERVAL 8 HOUR")} AS started_at, {stamp("ts")} AS finished_at,
                CAST(CASE WHEN half % 2 = 0 THEN half // 2 WHEN (half // 2) % 2 = 0 THEN half // 2 ELSE half // 2 + 1 END
                     AS INTEGER) AS duration_seconds, run_status

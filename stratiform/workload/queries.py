@@ -37,12 +37,19 @@ LINE_ORDER = (
 )
 
 
-def tidy(df: DataFrame) -> DataFrame:
-    """Plain column types, which read the same from any engine: decimals as doubles, dates and times as text."""
+# Whole numbers that may be NULL, which some engines hand over as floats and some do not.
+GAPPY = {"total_ratings", "prior_year", "prior_observed_year", "release_date_key", "release_month", "rows_out"}
+
+
+def tidy(df: DataFrame, gappy: set[str] = GAPPY) -> DataFrame:
+    """Plain column types, which read the same from any engine: decimals as doubles, dates and times as text.
+
+    Whole numbers with gaps become doubles as well.
+    """
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, T.DecimalType):
+        if isinstance(f.dataType, T.DecimalType) or (f.name in gappy and isinstance(f.dataType, T.IntegralType)):
             c = c.cast("double")
         elif isinstance(f.dataType, T.DateType):
             c = c.cast("string")
@@ -102,7 +109,8 @@ def normalise_dates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def numeric_keys(spark: SparkSession, sf: str) -> DataFrame:
-    return src.dirty_orders(spark, sf).select("o_orderkey", digits_to_long(F.col("id")).alias("movie_id"))
+    keys = src.dirty_orders(spark, sf).select("o_orderkey", digits_to_long(F.col("id")).alias("movie_id"))
+    return tidy(keys, {"movie_id"})
 
 
 def clean_amounts(spark: SparkSession, sf: str) -> DataFrame:
@@ -300,7 +308,7 @@ def names_dimension(spark: SparkSession, sf: str) -> DataFrame:
 def ratings_fact(spark: SparkSession, sf: str) -> DataFrame:
     typed = _typed(spark, sf)
     movies = attribute_dimension(typed["stg_movies_main"], typed["stg_movie_extended"])
-    return tidy(rating_fact(typed["stg_ratings"], movies))
+    return tidy(rating_fact(typed["stg_ratings"], movies), GAPPY | {"release_year"})
 
 
 def _customer_fact(spark: SparkSession, sf: str) -> DataFrame:
