@@ -72,24 +72,25 @@ def flatten_build_logs(results: DataFrame, manifests: DataFrame, stage: str, zon
     # A parent is looked up among the nodes first, then among the sources.
     known = nodes.select("run_id", F.col("node_id").alias("parent_id"), _relation("node").alias("in_nodes"))
     sources = _entries(manifests, "sources").select(
-        "run_id", F.col("node_id").alias("parent_id"), _relation("node").alias("in_sources"), F.lit(True).alias("is_source")
+        "run_id", F.col("node_id").alias("parent_id"), _relation("node").alias("in_sources")
     )
-    links = models.select("run_id", "node_id", F.explode(F.array_distinct("node.depends_on.nodes")).alias("parent_id"))
-    parents = (
-        links.join(known.withColumn("is_node", F.lit(True)), ["run_id", "parent_id"], "left")
-        .join(sources, ["run_id", "parent_id"], "left")
-        .groupBy("run_id", "node_id")
-        .agg(F.array_sort(F.collect_set(F.when(F.col("is_node"), F.col("in_nodes")).otherwise(F.col("in_sources"))))
-             .alias("parents"))
-        .select("run_id", "node_id", F.when(F.size("parents") > 0, F.array_join("parents", ", ")).alias("source_relation"))
-    )
-    facts = models.select(
+    linked = models.select(
         "run_id",
         "node_id",
         F.col("node.name").alias("task_name"),
         F.col("node.original_file_path").alias("source_file"),
         _relation("node").alias("node_relation"),
-    ).join(parents, ["run_id", "node_id"], "left")
+        F.explode_outer(F.array_distinct("node.depends_on.nodes")).alias("parent_id"),
+    )
+    relation = F.when(F.col("is_node"), F.col("in_nodes")).otherwise(F.col("in_sources"))
+    facts = (
+        linked.join(known.withColumn("is_node", F.lit(True)), ["run_id", "parent_id"], "left")
+        .join(sources, ["run_id", "parent_id"], "left")
+        .groupBy("run_id", "node_id", "task_name", "source_file", "node_relation")
+        .agg(F.array_sort(F.collect_set(relation)).alias("parents"))
+        .withColumn("source_relation", F.when(F.size("parents") > 0, F.array_join("parents", ", ")))
+        .drop("parents")
+    )
 
     r = "result"
     raw = F.col(f"{r}.status")
