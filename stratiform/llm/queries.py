@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stratiform.llm import bands, language, minhash, mixing, packing, resample
+from stratiform.llm import backoff, bands, gridjoin, language, minhash, mixing, packing, pages, preferences, resample
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -17,10 +18,27 @@ def op1_importance_resampling(spark: SparkSession, sf: str) -> DataFrame:
     return resample.resample_decisions(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
 
+def op2_grid_order_join(spark: SparkSession, sf: str) -> DataFrame:
+    return gridjoin.near_vectors(_table(spark, sf, "embeddings"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf, "documents"))
 
 
+def _span_text(mask: str) -> Column:
+    return F.array_join(F.transform(mask, lambda m: F.concat_ws(":", m["start"].cast("string"), m["end"].cast("string"))), ",").alias(mask)
+
+
+def op4_preference_formatting(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversations 2k and 2k+1 as the chosen and the rejected one of pair k; masks as text."""
+    table = _table(spark, sf, "conversations")
+    side = F.when(F.pmod("conv_id", F.lit(2)) == 0, "chosen").otherwise("rejected")
+    turns = table.select(F.floor(F.col("conv_id") / 2).alias("pair_id"), side.alias("side"), "turn", "role", "text")
+    made = preferences.format_preferences(turns)
+    return made.select("pair_id", F.col("n_shared").cast("long").alias("n_shared"), "prompt", "chosen", "rejected", _span_text("chosen_mask"), _span_text("rejected_mask"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf, "documents"), minhash.MinHashRules(shingle=4))
 
@@ -29,6 +47,14 @@ def op6_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_page_differencing(spark: SparkSession, sf: str) -> DataFrame:
+    return pages.extract_main_text(_table(spark, sf, "pages"))
+
+
+def op8_backoff_automaton(spark: SparkSession, sf: str) -> DataFrame:
+    return backoff.score_texts(_table(spark, sf, "documents"))
+
+
 def op9_compression_bands(spark: SparkSession, sf: str) -> DataFrame:
     return bands.compression_bands(_table(spark, sf, "documents"), keep=["doc_id"])
 
@@ -47,13 +73,49 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_importance_resampling,
+        op2_grid_order_join,
         op3_best_fit_packing,
+        op4_preference_formatting,
         op5_minhash_near_dedup,
         op6_source_mixing,
+        op7_page_differencing,
+        op8_backoff_automaton,
         op9_compression_bands,
         op10_compression_language,
         pipeline,
     )
 }
 
-ORACLES: dict[str, str] = {}
+# Turns are numbered as they sort; the first number at which the two sides differ, or one has ended, ends the prompt.
+_PREFERENCES = """
+WITH t AS (
+  SELECT conv_id // 2 AS pair_id, conv_id % 2 AS side, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k
+  FROM conversations WHERE conv_id IS NOT NULL),
+p AS (SELECT pair_id FROM t GROUP BY pair_id HAVING count(DISTINCT side) = 2),
+d AS (
+  SELECT coalesce(a.pair_id, b.pair_id) AS pair_id,
+         min(CASE WHEN a.role = b.role AND a.text = b.text THEN NULL ELSE coalesce(a.k, b.k) END) AS differ,
+         max(coalesce(a.k, b.k)) AS most
+  FROM (SELECT * FROM t WHERE side = 0) a FULL JOIN (SELECT * FROM t WHERE side = 1) b ON a.pair_id = b.pair_id AND a.k = b.k
+  GROUP BY 1),
+n AS (SELECT pair_id, coalesce(differ - 1, most) AS n_shared FROM d SEMI JOIN p USING (pair_id)),
+r AS (
+  SELECT pair_id, side, k, n_shared, role, '<|' || role || '|>' || chr(10) AS head, text || chr(10) AS body
+  FROM t JOIN n USING (pair_id)),
+o AS (
+  SELECT *, coalesce(sum(CASE WHEN k > n_shared THEN length(head) + length(body) ELSE 0 END)
+    OVER (PARTITION BY pair_id, side ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos
+  FROM r)
+SELECT pair_id, any_value(n_shared) AS n_shared,
+  coalesce(string_agg(head || body, '' ORDER BY k) FILTER (WHERE side = 0 AND k <= n_shared), '') AS prompt,
+  coalesce(string_agg(head || body, '' ORDER BY k) FILTER (WHERE side = 0 AND k > n_shared), '') AS chosen,
+  coalesce(string_agg(head || body, '' ORDER BY k) FILTER (WHERE side = 1 AND k > n_shared), '') AS rejected,
+  coalesce(string_agg((pos + length(head)) || ':' || (pos + length(head) + length(body)), ',' ORDER BY k)
+    FILTER (WHERE side = 0 AND k > n_shared AND role = 'assistant'), '') AS chosen_mask,
+  coalesce(string_agg((pos + length(head)) || ':' || (pos + length(head) + length(body)), ',' ORDER BY k)
+    FILTER (WHERE side = 1 AND k > n_shared AND role = 'assistant'), '') AS rejected_mask
+FROM o GROUP BY pair_id
+"""
+
+ORACLES: dict[str, str] = {"op4_preference_formatting": _PREFERENCES}
