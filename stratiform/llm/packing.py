@@ -40,7 +40,7 @@ _KIND[:32] = 3
 _KIND[[0x20, *range(0x09, 0x0E)]] = 0
 _KIND[[b for b in range(33, 127) if not chr(b).isalnum() and chr(b) != "'"]] = 2
 _KIND[127] = 3
-_LETTER = np.array([chr(c).isalpha() for c in range(2048)])
+_LETTER = np.array([chr(c).isalpha() and chr(c).lower().isalpha() for c in range(2048)])
 _SPECIAL = ("<|startoftext|>", "<|endoftext|>")
 
 
