@@ -19,13 +19,13 @@ LOW_INTEREST = "low_interest"
 
 
 def harmonise_rating(c: Column) -> Column:
-    """Ratings on 0..5, 0..10 or 0..100 scales to 0..10; below 0 and above 100 give NULL."""
+    """Ratings on 0..5, 0..10 or 0..100 scales to 0..10, to 13 decimals; below 0 and above 100 give NULL."""
     return (
         F.when((c < 0) | (c > 100), None)
         .when(c <= 5, c * 2)
         .when(c > 10, c / 10)
         .otherwise(c)
-        .cast("decimal(18,8)")
+        .cast("decimal(28,13)")
     )
 
 
@@ -50,11 +50,14 @@ def revenue_factor(flag: Column) -> Column:
 
 
 def weighted_mean(value: Column, weight: Column, digits: int = 4) -> Column:
-    """Aggregate: mean weighted by votes; the plain mean when no votes exist. A NULL value with votes counts as 0."""
-    votes = F.coalesce(weight, F.lit(0)).cast("decimal(12,0)")
+    """Aggregate: mean weighted by votes; the plain mean when no votes exist. A NULL value with votes counts as 0.
+
+    Values keep 8 decimals, weights 4.
+    """
+    votes = F.coalesce(weight, F.lit(0)).cast("decimal(16,4)")
     total = F.sum(votes)
-    weighed = F.sum(F.coalesce(value.cast("decimal(12,4)"), F.lit(0)) * votes)
-    return F.when(total > 0, exact_ratio(weighed, total, digits)).otherwise(exact_mean(value, digits))
+    weighed = F.sum(F.coalesce(value.cast("decimal(18,8)"), F.lit(0)) * votes)
+    return F.when(total > 0, exact_ratio(weighed, total, digits, "decimal(20,4)")).otherwise(exact_mean(value, digits))
 
 
 def interest_band(votes: Column) -> Column:

@@ -30,8 +30,12 @@ def clean_int(c: Column) -> Column:
 
 
 def exact_ratio(num: Column, den: Column, digits: int, den_type: str = "decimal(20,0)") -> Column:
-    """num / den rounded half away from zero, in decimals; NULL when den is 0 or either is NULL."""
-    wide = num.cast("decimal(28,4)")
+    """num / den rounded half away from zero, in decimals; NULL when den is 0 or either is NULL.
+
+    The numerator keeps 14 decimals and 24 digits before them; the quotient is formed to more than ``digits`` decimals or,
+    where the denominator is long, to six.
+    """
+    wide = num.cast("decimal(38,14)")
     return F.round(wide / F.nullif(den.cast(den_type), F.lit(0).cast(den_type)), digits).cast(f"decimal(28,{digits})")
 
 

@@ -194,3 +194,18 @@ def list_group_performance(
         exact_ratio(F.sum("revenue_amount"), F.lit(1_000_000), 4).alias("total_revenue_millions"),
     )
     return out.orderBy(F.col("total_revenue_millions").desc_nulls_first(), group) if ordered else out
+
+
+def cast_losses(df: DataFrame, table: str, cells: Mapping[str, tuple[Column, Column]]) -> DataFrame:
+    """Per column the cells with text, and those of them whose typed form is NULL, from one aggregate over the table.
+
+    ``cells`` maps a name to its text and its typed form. A key that is lost drops its row from the typed table.
+    """
+    counts = []
+    for name, (text, typed) in cells.items():
+        some = nullify_spaces(text).isNotNull()
+        counts.append(
+            F.struct(F.lit(name).alias("column_name"), F.count_if(some).alias("filled_cells"), F.count_if(some & typed.isNull()).alias("lost_cells"))
+        )
+    one = df.agg(F.array(*counts).alias("counts"))
+    return one.select(F.lit(table).alias("table_name"), F.inline("counts"))

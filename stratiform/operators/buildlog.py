@@ -6,7 +6,7 @@ copied along with each result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from stratiform.functions.dates import wall_clock
 
@@ -22,8 +22,8 @@ RESULTS_SCHEMA = T.StructType([
             T.StructField("completed_at", _TEXT),
         ]))),
         T.StructField("execution_time", T.DoubleType()),
-        # Text, so that only whole numbers can be told from others.
-        T.StructField("adapter_response", T.StructType([T.StructField("rows_affected", _TEXT)])),
+        # Whole numbers only: text and fractions are read as NULL.
+        T.StructField("adapter_response", T.StructType([T.StructField("rows_affected", T.LongType())])),
         T.StructField("relation_name", _TEXT),
         T.StructField("message", _TEXT),
     ]))),
@@ -100,7 +100,7 @@ def flatten_build_logs(results: DataFrame, manifests: DataFrame, stage: str, zon
         "run_id",
         F.col(f"{r}.unique_id").alias("node_id"),
         F.when(raw == "success", "completed").when(raw == "skipped", "skipped").otherwise("failed").alias("status"),
-        F.when(rows.rlike(r"\A\d+\z"), rows.try_cast("long")).alias("rows_out"),
+        F.when(rows >= 0, rows).alias("rows_out"),
         F.col(f"{r}.message").alias("message"),
         wall_clock(_filled(F.get(timing, F.lit(0))["started_at"]), zone).alias("started_at"),
         wall_clock(_filled(F.get(timing, F.size(timing) - 1)["completed_at"]), zone).alias("finished_at"),
@@ -108,6 +108,8 @@ def flatten_build_logs(results: DataFrame, manifests: DataFrame, stage: str, zon
         _bare(F.col(f"{r}.relation_name")).alias("own_relation"),
     )
     tasks = done.join(facts, ["run_id", "node_id"])
+    # A run's tasks come from one document, so a run is no longer than one result file.
+    failures = F.count(F.when(F.col("status") == "failed", 1)).over(Window.partitionBy("run_id"))
     return tasks.select(
         "run_id",
         F.lit(stage).alias("stage_name"),
@@ -121,6 +123,7 @@ def flatten_build_logs(results: DataFrame, manifests: DataFrame, stage: str, zon
         "started_at",
         "finished_at",
         "duration_seconds",
+        F.when(failures == 0, "completed").otherwise("partial").alias("run_status"),
     )
 
 

@@ -13,11 +13,24 @@ from pyspark.sql import Column, DataFrame, functions as F
 from stratiform.functions.text import is_placeholder, strip
 
 
-def _order(order: Sequence[str | Column]) -> Column:
-    """One comparable value for a list of columns."""
-    if len(order) == 1:
-        return F.col(order[0]) if isinstance(order[0], str) else order[0]
-    return F.struct(*order)
+def _name(c: str) -> Column:
+    """A column of any name, also of one that is no SQL word."""
+    return F.col(f"`{c}`")
+
+
+def _columns(order: Sequence[str | Column]) -> list[Column]:
+    return [_name(c) if isinstance(c, str) else c for c in order]
+
+
+def _latest_value(order: Sequence[str | Column]) -> Column:
+    """One comparable value, never NULL itself, whose greatest is the last row; a NULL in it is less than any value."""
+    return F.struct(*[c.alias(f"o{k}") for k, c in enumerate(_columns(order))])
+
+
+def _first_value(order: Sequence[str | Column]) -> Column:
+    """One comparable value, never NULL itself, whose least is the first row; a NULL in it is greater than any value."""
+    parts = [p for c in _columns(order) for p in (c.isNull(), c)]
+    return F.struct(*[p.alias(f"o{k}") for k, p in enumerate(parts)])
 
 
 def key_groups(
@@ -25,29 +38,29 @@ def key_groups(
 ) -> DataFrame:
     """One row per key with all that profiling and collapsing need.
 
-    ``last`` holds ``columns`` of the last row in ``order`` (which must be total), ``value_<c>`` the last non-blank text of a
+    ``last`` holds ``columns`` of the last row in ``order`` (which must be total; a row with a NULL there comes before those
+    with a value), ``value_<c>`` the last non-blank text of a
     signal column, ``filled_<c>`` its non-blank count. Two rows differ if either of two 64-bit row hashes does, so only
     numbers, and not the texts again, are shuffled to find conflicts.
     """
-    texts = [strip(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in signals]
+    texts = [strip(F.coalesce(_name(c).cast("string"), F.lit(""))) for c in signals]
     filled = {c: f"_filled_{c}" for c in signals}
     # Worked out once per row ahead of the aggregate, which reads each of them several times.
     rows = df.select(
-        key,
-        _order(order).alias("_seq"),
-        *columns,
-        *[c for c in signals if c not in columns],
-        *[(~is_placeholder(F.col(c))).alias(filled[c]) for c in signals],
+        _name(key),
+        _latest_value(order).alias("_seq"),
+        *[_name(c) for c in dict.fromkeys([*columns, *signals])],
+        *[(~is_placeholder(_name(c))).alias(filled[c]) for c in signals],
         F.xxhash64(*texts).alias("_hash_0"),
         F.xxhash64(F.lit(key), *reversed(texts)).alias("_hash_1"),
     )
-    aggs = [F.count(F.lit(1)).alias("group_rows"), F.max_by(F.struct(*columns), "_seq").alias("last")]
+    aggs = [F.count(F.lit(1)).alias("group_rows"), F.max_by(F.struct(*[_name(c) for c in columns]), "_seq").alias("last")]
     for n in (0, 1):
         aggs += [F.min(f"_hash_{n}").alias(f"low_{n}"), F.max(f"_hash_{n}").alias(f"high_{n}")]
     for c in signals:
-        aggs.append(F.expr(f"max_by({c}, if({filled[c]}, _seq, NULL))").alias(f"value_{c}"))
-        aggs.append(F.count_if(F.col(filled[c])).alias(f"filled_{c}"))
-    return rows.groupBy(key).agg(*aggs)
+        aggs.append(F.max_by(F.col(f"`{c}`"), F.when(F.col(f"`{filled[c]}`"), F.col("_seq"))).alias(f"value_{c}"))
+        aggs.append(F.count_if(F.col(f"`{filled[c]}`")).alias(f"filled_{c}"))
+    return rows.groupBy(_name(key)).agg(*aggs)
 
 
 def collapse_groups(
@@ -58,23 +71,24 @@ def collapse_groups(
     ``counters`` adds per-key counts (``COUNTERS``) that sum up to the statistics of the step, so no second pass over the
     source is needed for them.
     """
-    flagged = groups.select("*", *[is_placeholder(F.col(f"last.{c}")).alias(f"blank_{c}") for c in signals])
+    last, value, blank_ = (lambda c: F.col(f"last.`{c}`")), (lambda c: F.col(f"`value_{c}`")), (lambda c: F.col(f"`blank_{c}`"))
+    flagged = groups.select("*", *[is_placeholder(last(c)).alias(f"blank_{c}") for c in signals])
     cells = []
     for c in columns:
         if c == key:
-            cells.append(F.col(key))
+            cells.append(_name(key))
         elif c in signals:
-            cells.append(F.expr(f"if(blank_{c}, coalesce(value_{c}, last.{c}), last.{c})").alias(c))
+            cells.append(F.when(blank_(c), F.coalesce(value(c), last(c))).otherwise(last(c)).alias(c))
         else:
-            cells.append(F.col(f"last.{c}"))
+            cells.append(last(c).alias(c))
     if counters:
-        recovered = " + ".join(f"cast(blank_{c} AND value_{c} IS NOT NULL AS bigint)" for c in signals)
-        lost = " + ".join(f"if(blank_{c}, filled_{c}, 0)" for c in signals)
+        recovered = sum(((blank_(c) & value(c).isNotNull()).cast("long") for c in signals), F.lit(0).cast("long"))
+        lost = sum((F.when(blank_(c), F.col(f"`filled_{c}`")).otherwise(0) for c in signals), F.lit(0).cast("long"))
         cells += [
             F.col("group_rows").alias("n_rows"),
             F.expr("group_rows - 1").alias("n_rejected"),
-            F.expr(recovered).alias("n_recovered"),
-            F.expr(lost).alias("n_lost"),
+            recovered.alias("n_recovered"),
+            lost.alias("n_lost"),
             F.expr("low_0 <> high_0 OR low_1 <> high_1").alias("conflict"),
         ]
     return flagged.select(*cells)
@@ -132,14 +146,16 @@ def dedup_profile(df: DataFrame, key: str, order: Sequence[str | Column], signal
 
 def _one_per_key(df: DataFrame, key: str, pick) -> DataFrame:
     others = [c for c in df.columns if c != key]
-    row = pick(F.struct(*others)).alias("row")
-    return df.groupBy(key).agg(row).select(key, *[F.col(f"row.{c}").alias(c) for c in others]).select(*df.columns)
+    row = pick(F.struct(*[_name(c) for c in others])).alias("row")
+    cells = [_name(c) if c == key else F.col(f"row.`{c}`").alias(c) for c in df.columns]
+    return df.groupBy(_name(key)).agg(row).select(*cells)
 
 
 def keep_first(df: DataFrame, key: str, order: Sequence[str | Column]) -> DataFrame:
-    return _one_per_key(df, key, lambda row: F.min_by(row, _order(order)))
+    """The least row per key in ``order``, NULLs last."""
+    return _one_per_key(df, key, lambda row: F.min_by(row, _first_value(order)))
 
 
 def latest_per_key(df: DataFrame, key: str, order: Sequence[str | Column]) -> DataFrame:
     """The greatest row per key in ``order``, NULLs last; rows without a key are dropped before the shuffle."""
-    return _one_per_key(df.filter(F.col(key).isNotNull()), key, lambda row: F.max_by(row, _order(order)))
+    return _one_per_key(df.filter(_name(key).isNotNull()), key, lambda row: F.max_by(row, _latest_value(order)))

@@ -30,7 +30,7 @@ def group_year_metrics(
     if distinct_entities:
         rows = rows.filter(first_flag) if first_flag else rows.dropDuplicates([entity, group, year])
     revenue = F.col("revenue_amount")
-    votes = F.coalesce(F.col("total_ratings"), F.lit(0)).cast("decimal(12,0)")
+    votes = F.coalesce(F.col("total_ratings"), F.lit(0)).cast("decimal(16,4)")
     counted = F.sum(F.col(first_flag).cast("long")) if first_flag else F.count_distinct(F.col(entity))
     return rows.groupBy(group, year).agg(
         counted.alias("movies_released"),

@@ -23,12 +23,12 @@ def _with_stats(df: DataFrame, column: str, stats: dict) -> DataFrame:
 
 def _minmax(column: str, digits: int) -> Column:
     lo, hi = F.col("_stats.lo"), F.col("_stats.hi")
-    return exact_ratio(F.col(column) - lo, hi - lo, digits, "decimal(18,8)")
+    return exact_ratio(F.col(column) - lo, hi - lo, digits, "decimal(28,13)")
 
 
 def _zscore(column: str, digits: int) -> Column:
     distance = F.col(column).cast("double") - F.col("_stats.mean")
-    return F.round(distance / F.nullif(F.col("_stats.dev"), F.lit(0.0)), digits)
+    return F.round(distance / F.nullif(F.col("_stats.dev"), F.lit(0.0)), digits).cast(f"decimal({6 + digits},{digits})")
 
 
 def _range(column: str) -> dict[str, Column]:

@@ -17,7 +17,7 @@ from stratiform.operators.metrics import group_year_metrics, year_over_year
 from stratiform.operators.scorecard import ScoreRules, scorecard, trend_bands
 from stratiform.plans.bridge import base_join, company_bridge
 from stratiform.plans.staging import Staged, prepare_enrichment, stage_core, stage_extended, stage_ratings
-from stratiform.plans.typed import typed_core, typed_extended, typed_ratings
+from stratiform.plans.typed import ratings_on_one_scale, scored_ratings, typed_core, typed_extended, typed_ratings
 from stratiform.sources.tables import write_folder
 
 FIRST = "is_first_listing"
@@ -46,15 +46,18 @@ class Settings:
     rules: ScoreRules = field(default_factory=ScoreRules)
 
 
-def staged_table(name: str, inputs: Inputs, settings: Settings, extra: DataFrame | None = None) -> Staged:
-    """One staged table; ``extra`` is the prepared enrichment source, where it is at hand."""
+def staged_table(
+    name: str, inputs: Inputs, settings: Settings, extra: DataFrame | None = None, core: DataFrame | None = None
+) -> Staged:
+    """One staged table; ``extra`` is the prepared enrichment source and ``core`` the staged core, where they are at hand."""
     extra = extra or prepare_enrichment(inputs.enrichment, inputs.enrichment_order)
     if name == "movies_main":
         return stage_core(inputs.core, extra, inputs.core_order, settings.loaded_at)
     if name == "movie_extended":
         return stage_extended(inputs.extended, extra, inputs.extended_order, settings.loaded_at)
     iso = settings.loaded_at.isoformat() + "+00:00"
-    return stage_ratings(inputs.ratings, inputs.core, extra, inputs.ratings_order, iso, settings.min_votes)
+    known = inputs.core if core is None else core
+    return stage_ratings(inputs.ratings, known, extra, inputs.ratings_order, iso, settings.min_votes, core is not None)
 
 
 STAGED = ("movies_main", "movie_extended", "ratings")
@@ -214,11 +217,19 @@ class Built:
 
 
 def write_typed(inputs: Inputs, settings: Settings, folder: str) -> tuple[dict[str, DataFrame], Models]:
-    """Write the staged and typed tables below ``folder``."""
-    staged = {}
-    for name, step in staged_tables(inputs, settings).items():
+    """Write the staged and typed tables below ``folder``.
+
+    The enrichment source is prepared and written once for all three; ratings take their ids from the staged core table; and
+    the statistics of the rating column are read from its written one-scale form.
+    """
+    extra = write_folder(prepare_enrichment(inputs.enrichment, inputs.enrichment_order), f"{folder}/staged/enrichment")
+    staged: dict[str, DataFrame] = {}
+    for name in STAGED:
+        step = staged_table(name, inputs, settings, extra, staged.get("movies_main"))
         staged[name] = step.over(write_folder(step.wide, f"{folder}/staged/{name}")).rows
-    typed = {n: write_folder(df, f"{folder}/staging/{n}") for n, df in typed_tables(staged).items()}
+    one_scale = write_folder(ratings_on_one_scale(staged["ratings"]), f"{folder}/staged/ratings_on_one_scale")
+    made = {**typed_tables({n: staged[n] for n in STAGED[:2]}), "stg_ratings": scored_ratings(one_scale)}
+    typed = {n: write_folder(df, f"{folder}/staging/{n}") for n, df in made.items()}
     return staged, Models(inputs, settings, typed)
 
 

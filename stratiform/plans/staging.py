@@ -13,10 +13,12 @@ from stratiform.functions.text import is_blank, nullify
 from stratiform.operators.dedup import COUNTERS, collapse_duplicates, group_statistics, keep_first
 from stratiform.operators.enrich import attach, fill_blank
 
+# The columns of each raw table whose blanks are recovered and filled.
 CORE_SIGNALS = ("title", "release_date", "budget", "revenue")
 EXTENDED_SIGNALS = ("genres", "production_countries", "production_companies", "spoken_languages")
 RATING_SIGNALS = ("avg_rating", "total_ratings", "stg_dev")
 
+# The columns of the enrichment source.
 ENRICHMENT_COLUMNS = (
     "id", "title", "release_date", "budget", "revenue", "genres", "production_companies", "production_countries",
     "spoken_languages", "vote_average", "vote_count", "status",
@@ -109,18 +111,22 @@ def stage_ratings(
     order: Sequence[str | Column],
     loaded_at: str,
     min_votes: int = 20,
+    one_row_per_id: bool = False,
 ) -> Staged:
-    """Ratings of the ids in the core table; gaps are filled from released enrichment rows with enough votes.
+    """Ratings of the ids in the core table, raw or, with ``one_row_per_id``, staged; gaps are filled from released enrichment rows with enough votes.
 
     Rows with neither rating nor count are dropped. Collapsed ratings of ids outside the core table count as rejected
     duplicates only, so they stay in the wide form as rows that are neither kept nor dropped.
     """
-    universe = core.select(F.col("id").alias("movie_id")).distinct().withColumn("in_core", F.lit(True))
+    ids = core.select(F.col("id").alias("core_id"))
+    universe = (ids if one_row_per_id else ids.distinct()).withColumn("in_core", F.lit(True))
     own = collapse_duplicates(
         raw, "movie_id", order, RATING_SIGNALS, True, ["movie_id", *RATING_SIGNALS, "loaded_at"]
     )
     votes = enrichment.select(F.col("id").alias("movie_id"), "vote_average", "vote_count", "status")
-    joined = universe.join(own, "movie_id", "full_outer").join(votes, "movie_id", "left")
+    # Rows without a key are one entity on either side, so NULL meets NULL.
+    met = universe.join(own, F.col("core_id").eqNullSafe(F.col("movie_id")), "full_outer")
+    joined = met.withColumn("movie_id", F.coalesce("core_id", "movie_id")).join(votes, "movie_id", "left")
 
     in_core = F.coalesce(F.col("in_core"), F.lit(False))
     matched = in_core & F.col("status").isNotNull()

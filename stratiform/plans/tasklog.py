@@ -1,34 +1,78 @@
-"""Row metrics of steps: rows in, out and rejected, appended to a log table."""
+"""Task log: rows in, out and rejected of steps that completed, failed or were skipped, appended to a table."""
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stratiform.functions.dates import wall_clock
 from stratiform.plans.staging import Staged
 from stratiform.sources.tables import write_folder
 
-LOG_COLUMNS = (
-    "run_id", "stage_name", "task_name", "target_relation", "status", "rows_in", "rows_out", "rows_rejected",
-    "error_message", "started_at",
-)
+# The columns of the log and their types.
+LOG_TYPES = {
+    "run_id": "string", "stage_name": "string", "task_name": "string", "source_file": "string", "source_relation": "string",
+    "target_relation": "string", "status": "string", "rows_in": "long", "rows_out": "long", "rows_rejected": "long",
+    "error_message": "string", "started_at": "timestamp_ntz", "finished_at": "timestamp_ntz", "duration_seconds": "int",
+}
+LOG_COLUMNS = tuple(LOG_TYPES)
 
 
-def _clock(at: dt.datetime):
-    return wall_clock(F.lit(at.isoformat() + "+00:00"))
+@dataclass(frozen=True)
+class Task:
+    """A step of a run, and the log it is recorded in; ``started`` is in UTC."""
 
+    log: str
+    run_id: str
+    stage: str
+    name: str
+    target: str
+    started: dt.datetime
+    source_relation: str | None = None
+    source_file: str | None = None
+
+    def _record(self, rows: DataFrame, status: str, **values: Column) -> None:
+        """Append the one row of ``rows``; columns not given are NULL."""
+        finished = max(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), self.started)
+        known = {
+            "run_id": F.lit(self.run_id), "stage_name": F.lit(self.stage), "task_name": F.lit(self.name),
+            "source_file": F.lit(self.source_file), "source_relation": F.lit(self.source_relation),
+            "target_relation": F.lit(self.target), "status": F.lit(status), "started_at": _clock(self.started),
+            "finished_at": _clock(finished),
+            "duration_seconds": F.lit(round((finished - self.started).total_seconds())),
+        }
+        cells = {**known, **values}
+        write_folder(rows.select(*[cells.get(n, F.lit(None)).cast(t).alias(n) for n, t in LOG_TYPES.items()]), self.log, append=True)
+
+    def skip(self, spark: SparkSession, reason: str) -> None:
+        """Record that the step was not tried."""
+        self._record(spark.range(1), "skipped", error_message=F.lit(reason))
+
+    def run(self, spark: SparkSession, work: Callable[[], DataFrame], counts: Callable[[DataFrame], DataFrame], folder: str) -> DataFrame:
+        """Make a table, write it to ``folder``, and record its counts; a step that raises is recorded as failed and raises on.
+
+        The counts are taken from the written table and not from accumulators on the way, which count a task again when a lost
+        executor makes Spark repeat it.
+        """
+        try:
+            written = write_folder(work(), folder)
+            row = counts(written)
+        except Exception as error:
+            self._record(spark.range(1), "failed", error_message=F.lit(str(error)))
+            raise
+        self._record(row, "completed", **{c: F.col(c) for c in row.columns})
+        return written
+
+
+def _clock(at: dt.datetime) -> Column:
+    return wall_clock(F.lit(at.isoformat() + "+00:00"))
 
-def log_staged(
-    step: Staged, run_id: str, name: str, folder: str, log: str, at: dt.datetime
-) -> DataFrame:
-    """Write a staged step and append its row to the log.
 
-    The counts are taken from the written table and not from accumulators on the way, which count a task again when a lost
-    executor makes Spark repeat it.
-    """
-    written = step.over(write_folder(step.wide, f"{folder}/{name}"))
+def log_staged(step: Staged, run_id: str, name: str, folder: str, log: str, at: dt.datetime) -> DataFrame:
+    """Write a staged step and append its row to the log."""
     summary = F.concat(
         F.lit("dedup_summary: duplicate_groups="), F.col("duplicate_groups"),
         F.lit(", conflicting_groups="), F.col("conflicting_duplicate_groups"),
@@ -36,40 +80,26 @@ def log_staged(
         F.lit(", recovered_keys="), F.col("keys_recovered_from_duplicates"),
         F.lit(", recovered_cells="), F.col("cells_recovered_from_duplicates"),
     )
-    row = written.stats.select(
-        F.lit(run_id).alias("run_id"),
-        F.lit("staging").alias("stage_name"),
-        F.lit(f"build_{name}").alias("task_name"),
-        F.lit(f"staging.{name}").alias("target_relation"),
-        F.lit("completed").alias("status"),
-        (F.col("rows_touched") + F.col("rows_rejected")).alias("rows_in"),
-        "rows_out",
-        "rows_rejected",
-        summary.alias("error_message"),
-        _clock(at).alias("started_at"),
-    )
-    write_folder(row, log, append=True)
-    return written.rows
-
-
-def log_landed(df: DataFrame, run_id: str, name: str, folder: str, log: str, at: dt.datetime) -> DataFrame:
-    """Write a landed table and append its row to the log; landing rejects nothing."""
-    written = write_folder(df, f"{folder}/{name}")
-    count = F.count(F.lit(1))
-    row = written.agg(
-        F.lit(run_id).alias("run_id"),
-        F.lit("ingestion").alias("stage_name"),
-        F.lit(f"load_{name}").alias("task_name"),
-        F.lit(f"raw.{name}").alias("target_relation"),
-        F.lit("completed").alias("status"),
-        count.alias("rows_in"),
-        count.alias("rows_out"),
-        F.lit(0).cast("long").alias("rows_rejected"),
-        F.lit(None).cast("string").alias("error_message"),
-        _clock(at).alias("started_at"),
-    )
-    write_folder(row, log, append=True)
-    return written
+
+    def counts(written: DataFrame) -> DataFrame:
+        rows_in = (F.col("rows_touched") + F.col("rows_rejected")).alias("rows_in")
+        return step.over(written).stats.select(rows_in, "rows_out", "rows_rejected", summary.alias("error_message"))
+
+    task = Task(log, run_id, "staging", f"build_{name}", f"staging.{name}", at, source_relation=f"raw.{name}")
+    return step.over(task.run(step.wide.sparkSession, lambda: step.wide, counts, f"{folder}/{name}")).rows
+
+
+def log_landed(
+    spark: SparkSession, read: Callable[[], DataFrame], run_id: str, name: str, folder: str, log: str, at: dt.datetime, source_file: str
+) -> DataFrame:
+    """Read and write a landed table and append its row to the log; landing rejects nothing."""
+
+    def counts(written: DataFrame) -> DataFrame:
+        n = F.count(F.lit(1))
+        return written.agg(n.alias("rows_in"), n.alias("rows_out"), F.lit(0).cast("long").alias("rows_rejected"))
+
+    task = Task(log, run_id, "ingestion", f"load_{name}", f"raw.{name}", at, source_file=source_file)
+    return task.run(spark, read, counts, f"{folder}/{name}")
 
 
 def read_log(spark: SparkSession, log: str) -> DataFrame:

@@ -40,7 +40,7 @@ def land_csv(
     path: str | Sequence[str],
     columns: Sequence[str],
     loaded_at: dt.datetime | None = None,
-    multi_line: bool = True,
+    multi_line: bool = False,
     missing: Sequence[str] = FILE_MISSING,
     order_as: str | None = None,
     exact: bool = True,
@@ -48,8 +48,8 @@ def land_csv(
     """Read CSV by header name, all cells as text, missing markers and blanks as NULL.
 
     A column the table does not have is an error (``exact``) or is left unread, one the file does not have is NULL.
-    ``multi_line`` allows line breaks in quoted cells but reads each file in one task; switch it off for large files
-    without them, which then split into blocks.
+    Files split into blocks, and a cell whose quotes hold a line break is an error. ``multi_line`` allows such cells, but then
+    reads each file in one task: choose it for files that a task can read.
     """
     reader = spark.read.options(
         header=True, multiLine=multi_line, quote='"', escape='"', enforceSchema=False, mode="FAILFAST"
@@ -75,12 +75,13 @@ def land_json(
     schema: T.StructType = RATINGS_SCHEMA,
     flatten: Mapping[str, str] = RATINGS_COLUMNS,
     loaded_at: str | None = None,
-    multi_line: bool = True,
+    multi_line: bool = False,
     order_as: str | None = None,
 ) -> DataFrame:
-    """Read JSON documents (one object or an array per file, or one per line) and flatten nested fields to columns.
+    """Read JSON and flatten nested fields to columns; a missing nested object gives NULLs.
 
-    A missing nested object gives NULLs. Lines (``multi_line=False``) split into blocks, documents do not.
+    Files hold one object or array a line and split into blocks. With ``multi_line`` a file is one object or array, read in one
+    task: choose it for files that a task can read.
     """
     raw = spark.read.schema(schema).option("mode", "FAILFAST").json(path, multiLine=multi_line)
     cells = [F.col(place).alias(name) for name, place in flatten.items()]

@@ -40,12 +40,15 @@ def _tenths(c: Column) -> Column:
 
 def _arrival() -> Column:
     names = ("shipdate", "linenumber", "partkey", "suppkey", "quantity", "extendedprice", "returnflag", "linestatus")
-    return F.struct(*[F.col(f"l_{n}") for n in names]).alias("arrival")
+    # The day is unknown for first lines of an order, which then come before all others of their id.
+    seen = F.when(F.col("l_linenumber") != 1, F.col("l_shipdate")).alias("seen")
+    return F.struct(seen, *[F.col(f"l_{n}") for n in names]).alias("arrival")
 
 
 def _line_id() -> Column:
     order = _text(F.col("l_orderkey"))
-    return F.when(F.col("l_partkey") % 89 == 0, F.concat(F.lit("x"), order)).otherwise(order).alias("id")
+    unknown = (F.col("l_partkey") % 97 == 0) & (F.col("l_linenumber") != 1)
+    return F.when(unknown, None).when(F.col("l_partkey") % 89 == 0, F.concat(F.lit("x"), order)).otherwise(order).alias("id")
 
 
 def raw_core(spark: SparkSession, sf: str) -> DataFrame:
@@ -114,7 +117,7 @@ def raw_ratings(spark: SparkSession, sf: str) -> DataFrame:
         .when(kind == "signup", "-1").when(kind == "error", "")
     )
     return table(spark, sf, "events").select(
-        _text(event - event % 3).alias("movie_id"),
+        F.when(event % 101 != 0, _text(event - event % 3)).alias("movie_id"),
         rating.alias("avg_rating"),
         F.when(kind == "purchase", "").otherwise(_text(F.col("user_id") * 20)).alias("total_ratings"),
         _text(_money(value)).alias("stg_dev"),
@@ -145,7 +148,7 @@ def enrichment(spark: SparkSession, sf: str) -> DataFrame:
         _tenths(key % 101).alias("vote_average"),
         F.when(key % 37 == 0, "many").otherwise(_text(cust % 60)).alias("vote_count"),
         F.when(status == "F", "Released").when(status == "O", "RELEASED").otherwise("Rumored").alias("status"),
-        day.alias("seen_at"),
+        F.when(key % 17 != 0, day).alias("seen_at"),
     )
 
 
@@ -184,14 +187,15 @@ def dirty_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def mixed_ratings(spark: SparkSession, sf: str) -> DataFrame:
-    """One rating per order on a scale to 5, 10 or 100, some out of range or missing."""
+    """One rating per order on a scale to 5, 10 or 100 with eight decimals, some out of range, missing or just above a scale."""
     key = F.col("o_orderkey")
+    spread = key * 7919 * 104729
     rating = (
-        F.when(key % 6 == 0, None).when(key % 6 == 1, (key % 51) * F.lit(1000)).when(key % 6 == 2, (key % 101) * F.lit(1000))
-        .when(key % 6 == 3, (key % 1001) * F.lit(1000)).when(key % 6 == 4, F.lit(-10000)).otherwise(key % 100000)
+        F.when(key % 6 == 0, None).when(key % 6 == 1, spread % 500_000_000).when(key % 6 == 2, spread % 1_000_000_000)
+        .when(key % 6 == 3, spread % 10_000_000_000).when(key % 6 == 4, F.lit(-1)).otherwise(F.lit(500_000_000) + key % 3)
     )
     return table(spark, sf, "orders").select(
-        key, exact_ratio(rating, F.lit(10000), 4).cast("decimal(18,8)").alias("rating")
+        key, exact_ratio(rating, F.lit(100_000_000), 8).cast("decimal(18,8)").alias("rating")
     )
 
 

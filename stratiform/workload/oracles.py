@@ -108,7 +108,13 @@ CORE = ("title", "release_date", "budget", "revenue")
 EXTENDED = ("genres", "production_countries", "production_companies", "spoken_languages")
 RATING = ("avg_rating", "total_ratings", "stg_dev")
 
-LINE_ID = "CASE WHEN l_partkey % 89 = 0 THEN 'x' || l_orderkey ELSE CAST(l_orderkey AS VARCHAR) END"
+LINE_ID = (
+    "CASE WHEN l_partkey % 97 = 0 AND l_linenumber <> 1 THEN NULL WHEN l_partkey % 89 = 0 THEN 'x' || l_orderkey"
+    " ELSE CAST(l_orderkey AS VARCHAR) END"
+)
+# A first line arrives before all others.
+ARRIVED = f"l_linenumber <> 1, {ARRIVAL}"
+UNDATED = "(SELECT * REPLACE (CASE WHEN l_partkey % 5 <> 0 THEN l_shipdate END AS l_shipdate) FROM lineitem)"
 
 
 def filled(target: str, source: str) -> str:
@@ -258,7 +264,7 @@ CTES: dict[str, str] = {
                l_shipdate AS loaded_at, {ARRIVAL}
         FROM lineitem""",
     "raw_ratings": f"""
-        SELECT CAST(event_id - event_id % 3 AS VARCHAR) AS movie_id,
+        SELECT CASE WHEN event_id % 101 <> 0 THEN CAST(event_id - event_id % 3 AS VARCHAR) END AS movie_id,
                CASE event_type WHEN 'click' THEN (event_id % 50) // 10 || '.' || (event_id % 50) % 10
                     WHEN 'view' THEN {money("value")} WHEN 'signup' THEN '-1' WHEN 'error' THEN '' END AS avg_rating,
                CASE WHEN event_type = 'purchase' THEN '' ELSE CAST(user_id * 20 AS VARCHAR) END AS total_ratings,
@@ -282,7 +288,7 @@ CTES: dict[str, str] = {
                CASE o_orderstatus WHEN 'F' THEN 'Released' WHEN 'O' THEN 'RELEASED' ELSE 'Rumored' END AS status
         FROM orders""",
     "enriched": f"SELECT *, {plain_date('release_date')} AS release_date_norm FROM enrichment",
-    "marked_core": marked("raw_core", "id", ARRIVAL, CORE),
+    "marked_core": marked("raw_core", "id", ARRIVED, CORE),
     "kept_core": collapsed("marked_core", "id", CORE, "loaded_at"),
     "filled_core": f"""
         SELECT k.id, {filled("k.title", "e.title")} AS title, {filled("k.budget", "e.budget")} AS budget,
@@ -298,7 +304,7 @@ CTES: dict[str, str] = {
                coalesce(title, own_date, release_date_norm, budget, revenue) IS NOT NULL AS touched,
                n_rows, conflict, n_rejected, n_recovered, n_lost
         FROM filled_core""",
-    "marked_extended": marked("raw_extended", "id", ARRIVAL, EXTENDED),
+    "marked_extended": marked("raw_extended", "id", ARRIVED, EXTENDED),
     "kept_extended": collapsed("marked_extended", "id", EXTENDED, "loaded_at"),
     "staged_extended": f"""
         SELECT k.id, {", ".join(f"nullif(trim({filled(f'k.{c}', f'e.{c}')}), '') AS {c}" for c in EXTENDED)},
@@ -314,7 +320,7 @@ CTES: dict[str, str] = {
                coalesce(lower(e.status) = 'released' AND TRY_CAST(e.vote_count AS DOUBLE) >= 20, FALSE) AS is_valid,
                e.vote_average, e.vote_count
         FROM (SELECT DISTINCT id FROM raw_core) u
-        LEFT JOIN kept_ratings k ON u.id = k.movie_id LEFT JOIN enriched e ON u.id = e.id""",
+        LEFT JOIN kept_ratings k ON u.id IS NOT DISTINCT FROM k.movie_id LEFT JOIN enriched e ON u.id = e.id""",
     "filled_ratings": f"""
         SELECT *, CASE WHEN is_valid THEN {filled("avg_rating", "vote_average")} ELSE avg_rating END AS rating,
                CASE WHEN is_valid THEN {filled("total_ratings", "vote_count")} ELSE total_ratings END AS votes,
@@ -426,11 +432,11 @@ CTES: dict[str, str] = {
                o_orderstatus || ' | ' || o_orderpriority AS companies
         FROM orders""",
     "ratings_10": """
-        SELECT o_orderkey, CASE WHEN r4 < 0 OR r4 > 1000000 THEN NULL WHEN r4 <= 50000 THEN r4 * 20
-                                WHEN r4 > 100000 THEN r4 ELSE r4 * 10 END AS r5
-        FROM (SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN NULL WHEN 1 THEN (o_orderkey % 51) * 1000
-                         WHEN 2 THEN (o_orderkey % 101) * 1000 WHEN 3 THEN (o_orderkey % 1001) * 1000
-                         WHEN 4 THEN -10000 ELSE o_orderkey % 100000 END AS r4 FROM orders)""",
+        SELECT o_orderkey, CASE WHEN r8 < 0 OR r8 > 10000000000 THEN NULL WHEN r8 <= 500000000 THEN r8 * 20
+                                WHEN r8 > 1000000000 THEN r8 ELSE r8 * 10 END AS r9
+        FROM (SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN NULL WHEN 1 THEN o_orderkey * 829348951 % 500000000
+                         WHEN 2 THEN o_orderkey * 829348951 % 1000000000 WHEN 3 THEN o_orderkey * 829348951 % 10000000000
+                         WHEN 4 THEN -1 ELSE 500000000 + o_orderkey % 3 END AS r8 FROM orders)""",
     "amounts": f"""
         SELECT o_orderkey,
                CASE WHEN o_orderkey % 10 <= 2 THEN (o_custkey % 1000) * 100 WHEN o_orderkey % 10 = 9 THEN NULL
@@ -557,12 +563,43 @@ def scorecard_rows(prefix: str) -> str:
         FROM {prefix}_scored"""
 
 
-def task_row(stage: str, task: str, relation: str, counts: str, message: str, source: str) -> str:
-    return f"""SELECT 'r1' AS run_id, '{stage}' AS stage_name, '{task}' AS task_name, '{relation}' AS target_relation,
-        'completed' AS status, {counts}, {message} AS error_message, '2002-01-01 08:00:00' AS started_at FROM {source}"""
+def task_row(stage: str, task: str, origin: tuple[str, str], relation: str, counts: str, message: str, source: str, status: str = "completed") -> str:
+    file, parent = origin
+    return f"""SELECT 'r1' AS run_id, '{stage}' AS stage_name, '{task}' AS task_name, CAST({file} AS VARCHAR) AS source_file,
+        CAST({parent} AS VARCHAR) AS source_relation, '{relation}' AS target_relation, '{status}' AS status, {counts},
+        {message} AS error_message, '2002-01-01 08:00:00' AS started_at, TRUE AS clocks_in_order FROM {source}"""
+
+
+NO_COUNTS = "CAST(NULL AS DOUBLE) AS rows_in, CAST(NULL AS DOUBLE) AS rows_out, CAST(NULL AS DOUBLE) AS rows_rejected"
+LANDED_COUNTS = "CAST(count(*) AS DOUBLE) AS rows_in, CAST(count(*) AS DOUBLE) AS rows_out, CAST(0 AS DOUBLE) AS rows_rejected"
+STAGED_COUNTS = """CAST(rows_touched + rows_rejected AS DOUBLE) AS rows_in, CAST(rows_out AS DOUBLE) AS rows_out,
+    CAST(rows_rejected AS DOUBLE) AS rows_rejected"""
+
+
+def losses(table: str, source: str, cells: dict[str, str]) -> str:
+    """Cells with text, and those whose typed form is NULL, by column."""
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE {some}) AS filled_cells,"
+        f" count(*) FILTER (WHERE {some} AND ({typed}) IS NULL) AS lost_cells FROM {source}"
+        for c, typed in cells.items() for some in [f"nullif(trim({c}, {SPACE}), '') IS NOT NULL"]
+    )
 
 
-STAGED_COUNTS = "rows_touched + rows_rejected AS rows_in, CAST(rows_out AS DOUBLE) AS rows_out, rows_rejected"
+def digits(c: str) -> str:
+    return f"CASE WHEN regexp_full_match(trim({c}, {SPACE}), '[0-9]+') THEN TRY_CAST(trim({c}, {SPACE}) AS BIGINT) END"
+
+
+def routed(c: str) -> str:
+    """A date by the shape of its text."""
+    text = f"trim({c}, {SPACE})"
+    shapes = {"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}": "%Y-%m-%d", "[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}": "%m/%d/%Y", "[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}": "%d-%m-%Y"}
+    return "CASE " + " ".join(f"WHEN regexp_full_match({text}, '{s}') THEN try_strptime({text}, '{f}')" for s, f in shapes.items()) + " END"
+
+
+def whole(c: str) -> str:
+    """A number without a fraction."""
+    number = clean(c, "DECIMAL(20,4)")
+    return f"CASE WHEN {number} = floor({number}) THEN TRY_CAST({number} AS INTEGER) END"
 STAGED_TEXT = """'dedup_summary: duplicate_groups=' || duplicate_groups || ', conflicting_groups='
     || conflicting_duplicate_groups || ', potential_loss_keys=' || keys_with_potential_value_loss || ', recovered_keys='
     || keys_recovered_from_duplicates || ', recovered_cells=' || cells_recovered_from_duplicates"""
@@ -662,6 +699,14 @@ FINALS: dict[str, str] = {
                     WHEN 3 THEN 'NULL' WHEN 4 THEN o_orderpriority END AS title,
                {money("o_totalprice")} AS budget, CAST(NULL AS VARCHAR) AS revenue, '2002-01-01 00:00:00' AS loaded_at
         FROM orders""",
+    "land_csv_blocks": """
+        SELECT CAST(p_partkey AS VARCHAR) AS id, 'a "' || p_type || '", or b' AS title,
+               CASE WHEN p_size % 3 <> 0 THEN CAST(p_size AS VARCHAR) END AS budget, CAST(NULL AS VARCHAR) AS revenue FROM part""",
+    "land_enrichment": "SELECT * FROM enrichment",
+    "land_json_arrays": """
+        SELECT CAST(c_custkey AS VARCHAR) AS movie_id, CASE WHEN c_custkey % 4 <> 0 THEN CAST(c_nationkey AS VARCHAR) END AS avg_rating,
+               CASE WHEN c_custkey % 4 <> 0 THEN '7' END AS total_ratings, CAST(NULL AS VARCHAR) AS stg_dev, 't' AS loaded_at
+        FROM customer""",
     "land_json": f"""
         SELECT CAST(event_id AS VARCHAR) AS movie_id,
                CASE WHEN event_type <> 'error' THEN {money("value")} END AS avg_rating,
@@ -685,13 +730,13 @@ FINALS: dict[str, str] = {
     "collapse_duplicates": f"SELECT id, {', '.join(CORE)}, n_rejected, n_recovered FROM kept_core",
     "keep_first": f"""
         SELECT l_orderkey, {", ".join(c for c in LINE_ORDER if c != "l_shipdate")}, {stamp("l_shipdate")} AS l_shipdate
-        FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {", ".join(LINE_ORDER)}) AS rn FROM lineitem)
+        FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {", ".join(f"{c} NULLS LAST" for c in LINE_ORDER)}) AS rn FROM {UNDATED})
         WHERE rn = 1""",
     "latest_per_key": f"""
         SELECT l_partkey, l_orderkey, {", ".join(c for c in LINE_ORDER if c not in ("l_shipdate", "l_partkey"))},
                {stamp("l_shipdate")} AS l_shipdate
         FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY
-                 {", ".join(f"{c} DESC" for c in LINE_ORDER if c != "l_partkey")}, l_orderkey DESC) AS rn FROM lineitem)
+                 {", ".join(f"{c} DESC NULLS LAST" for c in LINE_ORDER if c != "l_partkey")}, l_orderkey DESC) AS rn FROM {UNDATED})
         WHERE rn = 1""",
     "fill_missing": f"""
         SELECT r.id, {", ".join(f"{filled(f'r.{c}', f'e.{c}')} AS {c}" for c in ("title", "budget", "revenue"))},
@@ -716,13 +761,13 @@ FINALS: dict[str, str] = {
                    WHEN regexp_full_match(release_date, '\\d{1,2}-\\d{1,2}-\\d{4}') THEN try_strptime(release_date, '%d-%m-%Y')
                END AS DATE) AS VARCHAR) AS release_date FROM dirty""",
     "rewrite_delimiters": "SELECT o_orderkey, replace(companies, ' | ', ',') AS companies FROM dirty",
-    "harmonise_ratings": f"SELECT o_orderkey, {real(ratio('r5', '1', -1), 4)} AS rating_10 FROM ratings_10",
+    "harmonise_ratings": f"SELECT o_orderkey, {real(ratio('r9', '1', -5), 4)} AS rating_10 FROM ratings_10",
     "minmax_ratings": f"""
-        SELECT o_orderkey, {real("r5", 5)} AS rating_10, {real(ratio("(r5 - lo)", "(hi - lo)", 6), 6)} AS rating_minmax
-        FROM ratings_10, (SELECT min(r5) AS lo, max(r5) AS hi FROM ratings_10)""",
+        SELECT o_orderkey, {real("r9", 9)} AS rating_10, {real(ratio("(r9 - lo)", "(hi - lo)", 6), 6)} AS rating_minmax
+        FROM ratings_10, (SELECT min(r9) AS lo, max(r9) AS hi FROM ratings_10)""",
     "zscore_ratings": f"""
-        SELECT o_orderkey, {real("r5", 5)} AS rating_10, round((r5 / 100000.0 - mean) / nullif(dev, 0), 6) AS rating_zscore
-        FROM ratings_10, (SELECT avg(r5 / 100000.0) AS mean, stddev_samp(r5 / 100000.0) AS dev FROM ratings_10)""",
+        SELECT o_orderkey, {real("r9", 9)} AS rating_10, round((r9 / 1000000000.0 - mean) / nullif(dev, 0), 6) AS rating_zscore
+        FROM ratings_10, (SELECT avg(r9 / 1000000000.0) AS mean, stddev_samp(r9 / 1000000000.0) AS dev FROM ratings_10)""",
     "typed_core": f"""
         SELECT movie_id, title, CAST(release_date AS VARCHAR) AS release_date, {BRIDGE_MONEY}, {stamp("loaded_at")} AS loaded_at
         FROM typed_core""",
@@ -763,9 +808,9 @@ FINALS: dict[str, str] = {
     "group_year_metrics": f"SELECT production_company, {METRIC_COLUMNS}, {LOADED} FROM customer_metrics",
     "weighted_mean": f"""
         SELECT production_company, CASE WHEN sum(coalesce(total_ratings, 0)) > 0
-                   THEN {real(ratio("sum(coalesce(r4, 0) * coalesce(total_ratings, 0))", "sum(coalesce(total_ratings, 0))", 0), 4)}
-                   ELSE {real(ratio("sum(r4)", "count(r4)", 0), 4)} END AS weighted_avg_rating
-        FROM customer_bridge GROUP BY production_company""",
+                   THEN {real(ratio("sum(coalesce(r7, 0) * coalesce(total_ratings, 0))", "sum(coalesce(total_ratings, 0))", -1), 6)}
+                   ELSE {real(ratio("sum(r7)", "count(r7)", -1), 6)} END AS weighted_avg_rating
+        FROM (SELECT *, r4 * 1000 + movie_id % 997 AS r7 FROM customer_bridge) GROUP BY production_company""",
     "prior_period": f"""
         SELECT production_company, release_year, {real("total_c", 2)} AS total_revenue, {real("w4", 4)} AS weighted_avg_rating,
                CAST(prior_year AS DOUBLE) AS prior_year, {real("prior_c", 2)} AS prior_year_revenue, {real("prior_w4", 4)} AS prior_year_rating
@@ -862,11 +907,23 @@ FINALS: dict[str, str] = {
               FROM typed_core m JOIN typed_extended e USING (movie_id) LEFT JOIN typed_ratings r USING (movie_id)
               WHERE e.genres IS NOT NULL) WHERE trim(genre) <> '' GROUP BY 1""",
     "task_metrics": " UNION ALL ".join([
-        task_row("ingestion", "load_ratings", "raw.ratings",
-                 "count(*) AS rows_in, CAST(count(*) AS DOUBLE) AS rows_out, CAST(0 AS BIGINT) AS rows_rejected", "NULL", "raw_ratings"),
-        *[task_row("staging", f"build_{t}", f"staging.{t}", STAGED_COUNTS, STAGED_TEXT, s) for t, s in (
+        task_row("ingestion", "load_ratings", ("'ratings.json'", "NULL"), "raw.ratings", LANDED_COUNTS, "NULL", "raw_ratings"),
+        task_row("ingestion", "load_region", ("'region.csv'", "NULL"), "raw.region", NO_COUNTS,
+                 "'columns not in the table: [''r_regionkey'']'", "(SELECT 1)", "failed"),
+        task_row("staging", "build_region", ("NULL", "'raw.region'"), "staging.region", NO_COUNTS,
+                 "'upstream: columns not in the table: [''r_regionkey'']'", "(SELECT 1)", "skipped"),
+        *[task_row("staging", f"build_{t}", ("NULL", f"'raw.{t}'"), f"staging.{t}", STAGED_COUNTS, STAGED_TEXT, s) for t, s in (
             ("movies_main", "core_stats"), ("movie_extended", "extended_stats"), ("ratings", "ratings_stats"))],
     ]),
+    "cast_losses": " UNION ALL ".join([
+        losses("dirty_orders", "dirty", {"id": digits("id"), "release_date": routed("release_date"), "budget": clean("budget")}),
+        losses("movies_main", "staged_core", {"id": digits("id"), "release_date": routed("release_date"),
+                                              "budget": clean("budget"), "revenue": clean("revenue")}),
+        losses("movie_extended", "staged_extended", {"id": digits("id")}),
+        losses("ratings", "staged_ratings", {
+            "movie_id": digits("movie_id"), "avg_rating": clean("avg_rating", "DECIMAL(24,12)"), "total_ratings": whole("total_ratings"),
+            "stg_dev": clean("stg_dev", "DECIMAL(10,4)"), "loaded_at": "TRY_CAST(substr(loaded_at, 1, 19) AS TIMESTAMP)"}),
+    ]),
     "build_log_tasks": f"""
         SELECT run_id, 'marts' AS stage_name, task AS task_name, 'models/' || task || '.sql' AS source_file,
                CASE task WHEN 'a' THEN 'db.raw.z, db.staging.up' ELSE 'db.marts.a' END AS source_relation,
@@ -881,7 +938,7 @@ FINALS: dict[str, str] = {
               UNION ALL
               SELECT 'run-' || event_id, event_type, ts, CAST(floor(value) AS BIGINT), 'b',
                      CASE event_type WHEN 'error' THEN 'failed' WHEN 'view' THEN 'skipped' ELSE 'completed' END,
-                     CASE WHEN event_id % 2 = 1 THEN 12 END,
+                     CASE WHEN event_id % 5 = 0 THEN 12 END,
                      CASE WHEN event_type = 'error' THEN 'partial' ELSE 'completed' END FROM events)""",
     "check_not_null": " UNION ALL ".join(nulls("customer_bridge", "customer_bridge", {
         "movie_id": "movie_id", "revenue_amount": "revenue_c", "avg_rating": "r4", "total_ratings": "total_ratings"})),

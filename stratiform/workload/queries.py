@@ -22,8 +22,9 @@ from stratiform.operators.scaling import minmax, zscore
 from stratiform.functions.measures import weighted_mean
 from stratiform.plans import layers
 from stratiform.plans.bridge import base_join, company_bridge, repair_amounts as repair
-from stratiform.plans.staging import CORE_SIGNALS, Staged, prepare_enrichment
-from stratiform.plans.tasklog import log_landed, log_staged, read_log
+from stratiform.plans.staging import CORE_SIGNALS, ENRICHMENT_COLUMNS, Staged, prepare_enrichment
+from stratiform.plans.tasklog import Task, log_landed, log_staged, read_log
+from stratiform.plans.typed import typing_losses
 from stratiform.session import shared_folder
 from stratiform.sources.landing import land_csv, land_json
 from stratiform.sources.tables import write_folder
@@ -38,7 +39,7 @@ LINE_ORDER = (
 
 
 # Whole numbers that may be NULL, which some engines hand over as floats and some do not.
-GAPPY = {"total_ratings", "prior_year", "prior_observed_year", "release_date_key", "release_month", "rows_out"}
+GAPPY = {"total_ratings", "prior_year", "prior_observed_year", "release_date_key", "release_month", "rows_in", "rows_out", "rows_rejected"}
 
 
 def tidy(df: DataFrame, gappy: set[str] = GAPPY) -> DataFrame:
@@ -75,7 +76,27 @@ def land_csv_files(spark: SparkSession, sf: str) -> DataFrame:
     )
     cells.write.options(header=True, quoteAll=True, escape='"', ignoreLeadingWhiteSpace=False,
                         ignoreTrailingWhiteSpace=False).csv(path)
-    return tidy(land_csv(spark, path, ["id", "title", "budget", "revenue"], src.LOADED_AT))
+    return tidy(land_csv(spark, path, ["id", "title", "budget", "revenue"], src.LOADED_AT, multi_line=True))
+
+
+def land_csv_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """Files without line breaks in cells, which split into blocks."""
+    path = shared_folder(spark)
+    parts = src.table(spark, sf, "part").select(
+        F.col("p_partkey").alias("id"), F.concat(F.lit('a "'), F.col("p_type"), F.lit('", or b')).alias("title"),
+        F.when(F.col("p_size") % 3 == 0, "nan").otherwise(F.col("p_size").cast("string")).alias("budget"),
+    )
+    parts.write.options(header=True, quoteAll=True, escape='"').csv(path)
+    return land_csv(spark, path, ["id", "title", "budget", "revenue"])
+
+
+def land_enrichment(spark: SparkSession, sf: str) -> DataFrame:
+    """The enrichment source as a file of more columns than are read, in another order."""
+    path = shared_folder(spark)
+    rows = src.enrichment(spark, sf)
+    wide = rows.select(F.lit("x").alias("homepage"), *reversed([c for c in rows.columns if c != "seen_at"]), F.col("id").alias("imdb_id"))
+    wide.write.options(header=True, quoteAll=True, escape='"').csv(path)
+    return land_csv(spark, path, ENRICHMENT_COLUMNS, exact=False)
 
 
 def land_json_files(spark: SparkSession, sf: str) -> DataFrame:
@@ -88,7 +109,19 @@ def land_json_files(spark: SparkSession, sf: str) -> DataFrame:
     doc = F.struct(F.col("event_id").alias("movie_id"), summary.alias("ratings_summary"))
     path = shared_folder(spark)
     src.table(spark, sf, "events").select(F.to_json(F.array(doc)).alias("value")).write.text(path)
-    return land_json(spark, path, multi_line=False, loaded_at="2002-01-01T00:00:00+00:00")
+    return land_json(spark, path, loaded_at="2002-01-01T00:00:00+00:00")
+
+
+def land_json_arrays(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of one array each, spread over lines; one file a market segment."""
+    path = shared_folder(spark)
+    doc = F.struct(
+        F.col("c_custkey").alias("movie_id"),
+        F.when(F.col("c_custkey") % 4 != 0, F.struct(F.col("c_nationkey").alias("avg_rating"), F.lit("7").alias("total_ratings"))).alias("ratings_summary"),
+    )
+    files = src.table(spark, sf, "customer").groupBy("c_mktsegment").agg(F.to_json(F.collect_list(doc)).alias("value"))
+    files.select(F.regexp_replace("value", r"\},\{", "},\n{").alias("value"), F.col("c_mktsegment").alias("part")).write.partitionBy("part").text(path)
+    return land_json(spark, f"{path}/part=*", multi_line=True, loaded_at="t")
 
 
 def nullify_text(spark: SparkSession, sf: str) -> DataFrame:
@@ -157,13 +190,18 @@ def collapse_duplicate_rows(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select(*columns, "n_rejected", "n_recovered")
 
 
+def _undated(spark: SparkSession, sf: str) -> DataFrame:
+    """Order lines, some without a date."""
+    dated = F.when(F.col("l_partkey") % 5 != 0, F.col("l_shipdate"))
+    return src.table(spark, sf, "lineitem").withColumn("l_shipdate", dated)
+
+
 def keep_first_rows(spark: SparkSession, sf: str) -> DataFrame:
-    lines = src.table(spark, sf, "lineitem").select("l_orderkey", *LINE_ORDER)
-    return tidy(keep_first(lines, "l_orderkey", LINE_ORDER))
+    return tidy(keep_first(_undated(spark, sf).select("l_orderkey", *LINE_ORDER), "l_orderkey", LINE_ORDER))
 
 
 def latest_rows(spark: SparkSession, sf: str) -> DataFrame:
-    lines = src.table(spark, sf, "lineitem").select("l_partkey", "l_orderkey", *[c for c in LINE_ORDER if c != "l_partkey"])
+    lines = _undated(spark, sf).select("l_partkey", "l_orderkey", *[c for c in LINE_ORDER if c != "l_partkey"])
     return tidy(latest_per_key(lines, "l_partkey", [c for c in LINE_ORDER if c != "l_partkey"] + ["l_orderkey"]))
 
 
@@ -183,8 +221,11 @@ def _staged(spark: SparkSession, sf: str) -> dict[str, Staged]:
 
 
 def _typed(spark: SparkSession, sf: str, *names: str) -> dict[str, DataFrame]:
-    steps = layers.staged_tables(src.layered_inputs(spark, sf), src.SETTINGS, names or layers.STAGED)
-    return layers.typed_tables({n: s.rows for n, s in steps.items()})
+    inputs = src.layered_inputs(spark, sf)
+    if names and "ratings" not in names:
+        return layers.typed_tables({n: s.rows for n, s in layers.staged_tables(inputs, src.SETTINGS, names).items()})
+    _, models = layers.write_typed(inputs, src.SETTINGS, shared_folder(spark))
+    return {n: models[n] for n in layers.MODELS[:3]}
 
 
 def staged_core(spark: SparkSession, sf: str) -> DataFrame:
@@ -223,10 +264,11 @@ def first_enrichment(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def model(name: str) -> Query:
-    """One model of the whole chain, from raw tables on."""
+    """One model of the whole chain, over staged and typed tables as a build writes them."""
 
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        return tidy(layers.Models(src.layered_inputs(spark, sf), src.SETTINGS)[name])
+        _, models = layers.write_typed(src.layered_inputs(spark, sf), src.SETTINGS, shared_folder(spark))
+        return tidy(models[name])
 
     return query
 
@@ -271,8 +313,9 @@ def group_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def weighted_means(spark: SparkSession, sf: str) -> DataFrame:
-    rows = src.customer_bridge(spark, sf).groupBy("production_company")
-    return tidy(rows.agg(weighted_mean(F.col("avg_rating"), F.col("total_ratings")).alias("weighted_avg_rating")))
+    fine = (F.col("avg_rating") + F.col("movie_id") % 997 * F.lit("0.0000001").cast("decimal(8,7)")).cast("decimal(12,7)")
+    rows = src.customer_bridge(spark, sf).withColumn("fine", fine).groupBy("production_company")
+    return tidy(rows.agg(weighted_mean(F.col("fine"), F.col("total_ratings"), 6).alias("weighted_avg_rating")))
 
 
 def prior_periods(spark: SparkSession, sf: str) -> DataFrame:
@@ -475,10 +518,30 @@ def genre_performance(spark: SparkSession, sf: str) -> DataFrame:
 def task_metrics(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_folder(spark)
     log, at = f"{folder}/log", src.LOADED_AT
-    log_landed(src.raw_ratings(spark, sf).drop("arrival"), "r1", "ratings", f"{folder}/raw", log, at)
+    landed = (f"{folder}/raw", log, at)
+    log_landed(spark, lambda: src.raw_ratings(spark, sf).drop("arrival"), "r1", "ratings", *landed, "ratings.json")
+    src.table(spark, sf, "region").select("r_name", "r_regionkey").write.option("header", True).csv(f"{folder}/region")
+    # A file with a column that its table does not have: the step fails, is recorded, and what needs it is skipped.
+    try:
+        log_landed(spark, lambda: land_csv(spark, f"{folder}/region", ["r_name"]), "r1", "region", *landed, "region.csv")
+    except ValueError as error:
+        Task(log, "r1", "staging", "build_region", "staging.region", at, source_relation="raw.region").skip(spark, f"upstream: {error}")
     for name, step in _staged(spark, sf).items():
         log_staged(step, "r1", name, f"{folder}/staged", log, at)
-    return tidy(read_log(spark, log))
+    rows = read_log(spark, log)
+    in_order = (F.col("finished_at") >= F.col("started_at")) & (F.col("duration_seconds") >= 0)
+    return tidy(rows.withColumn("clocks_in_order", in_order).drop("finished_at", "duration_seconds"))
+
+
+def cast_losses(spark: SparkSession, sf: str) -> DataFrame:
+    """What typing loses of the dirty orders and of the staged tables."""
+    c = F.col
+    cells = {
+        "id": (c("id"), digits_to_long(c("id"))), "release_date": (c("release_date"), parse_routed_date(c("release_date"))),
+        "budget": (c("budget"), clean_decimal(c("budget"))),
+    }
+    dirty = audit.cast_losses(src.dirty_orders(spark, sf), "dirty_orders", cells)
+    return dirty.unionByName(typing_losses({n: s.rows for n, s in _staged(spark, sf).items()}))
 
 
 def build_log_tasks(spark: SparkSession, sf: str) -> DataFrame:
@@ -501,9 +564,11 @@ def build_log_tasks(spark: SparkSession, sf: str) -> DataFrame:
         )
 
     none = F.lit(None).cast("string")
+    # Counts as numbers (marked =, unquoted below), a number in quotes, a fraction, a negative, and none.
+    shapes = F.array(*[F.lit(x) for x in ("=12", "12", "=12.0", "=-1", None)])
     results = F.array(
-        result("model.a", F.lit("success"), F.col("user_id").cast("string"), F.lit('"db"."marts"."a"')),
-        result("model.b", ok, F.when(F.col("event_id") % 2 == 0, "-1").otherwise("12"), none),
+        result("model.a", F.lit("success"), F.concat(F.lit("="), F.col("user_id")), F.lit('"db"."marts"."a"')),
+        result("model.b", ok, F.element_at(shapes, (F.col("event_id") % 5 + 1).cast("int")), none),
         result("test.c", F.lit("fail"), none, none),
     )
 
@@ -523,15 +588,15 @@ def build_log_tasks(spark: SparkSession, sf: str) -> DataFrame:
     )
     sources = F.create_map(F.lit("source.z"), node("source", "raw", "z", None, None, []))
     folder = shared_folder(spark)
-    events.select(F.to_json(F.struct(run.alias("run_id"), results.alias("results"))).alias("value")).write.text(f"{folder}/results")
+    document = F.regexp_replace(F.to_json(F.struct(run.alias("run_id"), results.alias("results"))), '"=([^"]*)"', "$1")
+    events.select(document.alias("value")).write.text(f"{folder}/results")
     events.select(F.to_json(F.struct(run.alias("run_id"), nodes.alias("nodes"), sources.alias("sources"))).alias("value")) \
         .write.text(f"{folder}/manifests")
     read = lambda schema, name: spark.read.schema(schema).json(f"{folder}/{name}")
     tasks = buildlog.flatten_build_logs(
         read(buildlog.RESULTS_SCHEMA, "results"), read(buildlog.MANIFEST_SCHEMA, "manifests"), "marts"
     )
-    status = buildlog.run_status(tasks).select("run_id", "run_status")
-    return tidy(tasks.join(status, "run_id"))
+    return tidy(tasks)
 
 
 def check_not_null(spark: SparkSession, sf: str) -> DataFrame:
@@ -566,7 +631,10 @@ def declared_checks(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "land_csv": land_csv_files,
+    "land_csv_blocks": land_csv_blocks,
+    "land_enrichment": land_enrichment,
     "land_json": land_json_files,
+    "land_json_arrays": land_json_arrays,
     "nullify_text": nullify_text,
     "blank_flags": blank_flags,
     "normalise_mixed_dates": normalise_dates,
@@ -633,6 +701,7 @@ QUERIES: dict[str, Query] = {
     "top_k": top_orders,
     "genre_performance": genre_performance,
     "task_metrics": task_metrics,
+    "cast_losses": cast_losses,
     "build_log_tasks": build_log_tasks,
     "check_not_null": check_not_null,
     "check_unique": check_unique,

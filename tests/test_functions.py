@@ -142,3 +142,28 @@ def test_trend_bands(frame):
 def test_interest_bands(frame):
     got = values(frame, [10000, 9999, 999, 99, None], "int", measures.interest_band)
     assert got == ["blockbuster_signal", "high_interest", "medium_interest", "low_interest", "low_interest"]
+
+
+def test_wall_clock_in_the_repeated_hour(spark, frame):
+    """The session zone's clock shows 02:30 twice in the night summer time ends; the instants stay apart."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        texts = ["2024-10-27T00:30:00Z", "2024-10-27T01:30:00Z", "2024-07-01T10:00:00.123456+02:00", "2024-07-01T10:00:00", None]
+        df = frame([(t,) for t in texts], "t string").select(dates.wall_clock(F.col("t")).cast("string").alias("w"))
+        assert [r.w for r in df.collect()] == ["2024-10-27 08:30:00", "2024-10-27 09:30:00", "2024-07-01 16:00:00.123456", "2024-07-01 10:00:00", None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_weighted_mean_keeps_its_decimals(frame):
+    df = frame([(D("7.12345"), 1), (D("7.12344"), 1)], "v decimal(10,5), w int")
+    assert df.agg(measures.weighted_mean(F.col("v"), F.col("w"), 6)).first()[0] == D("7.123445")
+    half = frame([(D("1"), D("0.5")), (D("4"), D("0.25"))], "v decimal(10,5), w decimal(6,2)")
+    assert half.agg(measures.weighted_mean(F.col("v"), F.col("w"), 6)).first()[0] == D("2.000000")
+
+
+def test_rating_scale_is_chosen_before_rounding(frame):
+    df = frame([(D("5.000000001"),), (D("5"),), (D("10.000000001"),)], "r decimal(24,12)")
+    got = [r[0] for r in df.select(measures.harmonise_rating(F.col("r"))).collect()]
+    assert got == [D("5.000000001"), D("10"), D("1.0000000001")]

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 
 from stratiform.sources.landing import land_csv, land_json
+from stratiform.plans.tasklog import log_landed, read_log
 from stratiform.session import cluster_settings
 from stratiform.sources.tables import register_views, write_folder, write_table
 from stratiform.operators.dedup import collapse_duplicates
@@ -15,7 +16,7 @@ AT = dt.datetime(2024, 1, 1)
 def test_csv_by_header_name(spark, tmp_path):
     f = tmp_path / "a.csv"
     f.write_text('title,id\n"x, ""y""\nz", 1 \nN/A,2\n')
-    df = land_csv(spark, str(f), ["id", "title", "budget"], AT)
+    df = land_csv(spark, str(f), ["id", "title", "budget"], AT, multi_line=True)
     assert [tuple(r) for r in df.collect()] == [("1", 'x, "y"\nz', None, AT), ("2", None, None, AT)]
 
 
@@ -40,7 +41,7 @@ def test_file_order_tells_the_last_row(spark, tmp_path, multi_line):
 def test_json_array_or_object(spark, tmp_path, text):
     f = tmp_path / "r.json"
     f.write_text(text)
-    got = sorted(tuple(r) for r in land_json(spark, str(f), loaded_at="t").collect())
+    got = sorted(tuple(r) for r in land_json(spark, str(f), loaded_at="t", multi_line=True).collect())
     assert got[0] == ("1", "7.50", "3", None, "t")
     assert got[1:] in ([], [("2", None, None, None, "t")])
 
@@ -73,3 +74,14 @@ def test_views_read_as_tables(spark):
 def test_shuffles_grow_with_the_data():
     assert cluster_settings(100 << 40, 4000)["spark.sql.shuffle.partitions"] == "524288"
     assert cluster_settings(1 << 30, 4000)["spark.sql.shuffle.partitions"] == "8000"
+
+
+def test_a_failed_step_is_logged_and_raised(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,odd\n1,2\n")
+    log = str(tmp_path / "log")
+    with pytest.raises(ValueError, match="odd"):
+        log_landed(spark, lambda: land_csv(spark, str(tmp_path / "a.csv"), ["id"]), "r", "a", str(tmp_path / "raw"), log, AT, "a.csv")
+    log_landed(spark, lambda: land_csv(spark, str(tmp_path / "a.csv"), ["id"], exact=False), "r", "a", str(tmp_path / "raw"), log, AT, "a.csv")
+    got = {r.status: r for r in read_log(spark, log).collect()}
+    assert set(got) == {"failed", "completed"} and got["completed"].rows_out == 1
+    assert "odd" in got["failed"].error_message and got["failed"].rows_out is None and got["failed"].finished_at > got["failed"].started_at

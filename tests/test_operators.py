@@ -7,6 +7,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
+from stratiform.functions.numbers import clean_decimal, digits_to_long
 from stratiform.operators import audit, buildlog, checks, scorecard as sc
 from stratiform.operators.dedup import collapse_duplicates, dedup_profile, keep_first, latest_per_key
 from stratiform.operators.dimensions import date_dimension, date_spine, name_dimension
@@ -15,6 +16,7 @@ from stratiform.operators.facts import group_year_fact, rating_fact
 from stratiform.operators.lists import explode_list, explode_names, merge_articles
 from stratiform.operators.metrics import group_year_metrics, with_prior
 from stratiform.operators.scaling import minmax, zscore
+from stratiform.plans.staging import stage_ratings
 
 
 def rows(df, *cols):
@@ -74,6 +76,52 @@ def test_first_and_latest(frame):
     assert rows(latest_per_key(df, "k", ["n"]), "k", "v") == [(1, "b"), (2, "d")]
 
 
+@pytest.mark.parametrize("order", [["o"], ["o", "v"]])
+def test_a_null_order_keeps_the_row_and_loses_to_any_value(frame, order):
+    df = frame([(1, None, "a"), (2, None, "c"), (2, 5, "d"), (2, 7, "e")], "k int, o int, v string")
+    assert rows(latest_per_key(df, "k", order), "k", "o", "v") == [(1, None, "a"), (2, 7, "e")]
+    assert rows(keep_first(df, "k", order), "k", "o", "v") == [(1, None, "a"), (2, 5, "d")]
+    assert rows(collapse_duplicates(df, "k", order, ["v"]), "k", "o", "v") == [(1, None, "a"), (2, 7, "e")]
+    recovered = collapse_duplicates(frame([(1, None, "a"), (1, 3, "")], "k int, o int, v string"), "k", order, ["v"])
+    assert rows(recovered, "k", "o", "v") == [(1, 3, "a")]
+    p = dedup_profile(df, "k", order, ["v"]).first()
+    assert (p.duplicate_groups, p.duplicate_rows, p.rows_rejected_dedup) == (1, 3, 2)
+
+
+def test_column_names_of_any_kind(frame):
+    df = frame([(1, 1, "x"), (1, 2, "")], "`a b` int, `order` int, `group` string")
+    assert rows(collapse_duplicates(df, "a b", ["order"], ["group"], True), "order", "group", "n_recovered") == [(2, "x", 1)]
+    assert rows(keep_first(df, "a b", ["order"]), "order") == [(1,)] and rows(latest_per_key(df, "a b", ["order"]), "order") == [(2,)]
+
+
+def test_minmax_of_long_decimals_stays_in_range(frame):
+    values = ["0", "0.00004", "7.65437", "9.99999"]
+    df = frame([(D(v),) for v in values], "v decimal(18,8)")
+    got = [r.m for r in minmax(df, "v", "m").orderBy("v").collect()]
+    assert got == [D("0.000000"), D("0.000004"), D("0.765438"), D("1.000000")]
+    rng = random.Random(3)
+    df = frame([(D(rng.randrange(10**9)) / 10**8,) for _ in range(500)], "v decimal(18,8)")
+    low, high = minmax(df, "v", "m").agg(F.min("m"), F.max("m")).first()
+    assert (low, high) == (D("0.000000"), D("1.000000"))
+    assert dict(zscore(df, "v", "z").dtypes)["z"] == "decimal(12,6)"
+
+
+def test_cast_losses_count_text_that_typing_drops(frame):
+    df = frame([("1", "2.5"), ("x", "n/a"), (" ", None), ("2", "1.2.3")], "id string, v string")
+    cells = {"id": (F.col("id"), digits_to_long(F.col("id"))), "v": (F.col("v"), clean_decimal(F.col("v")))}
+    assert rows(audit.cast_losses(df, "t", cells), "table_name", "column_name", "filled_cells", "lost_cells") == [("t", "id", 3, 1), ("t", "v", 3, 2)]
+
+
+def test_staged_ratings_meet_without_a_key(frame):
+    core = frame([(None,), ("1",)], "id string")
+    raw = frame([(None, "7", "9", None, "t", 1), ("1", "8", "9", None, "t", 2)], "movie_id string, avg_rating string, total_ratings string, stg_dev string, loaded_at string, at int")
+    none = frame([], "id string, vote_average string, vote_count string, status string")
+    for whole in (False, True):
+        step = stage_ratings(raw, core, none, ["at"], "t", one_row_per_id=whole)
+        stats = step.stats.first()
+        assert rows(step.rows, "movie_id", "avg_rating") == [("1", "8"), (None, "7")] and (stats.rows_out, stats.rows_rejected) == (2, 0)
+
+
 def test_fill_only_blank_from_known(frame):
     df = frame([("1", "0"), ("2", " "), ("3", None), ("4", "None")], "id string, v string")
     src = frame([("1", "5"), ("2", "5"), ("3", None), ("4", "5")], "id string, w string")
