@@ -111,49 +111,115 @@ def confirm(pairs: DataFrame, texts: DataFrame, rules: MinHashRules) -> DataFram
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def _agreeing(ids: np.ndarray, comp: np.ndarray, side: np.ndarray, sig: np.ndarray, matches: int) -> np.ndarray:
-    """Pairs (a, b) of one block pair whose components differ and whose signatures agree often enough."""
-    found: list[np.ndarray] = [np.zeros((0, 2), np.int64)]
-    for i in np.flatnonzero(side != 1):
-        other = np.arange(i + 1, len(ids)) if side[i] == 2 else np.flatnonzero(side == 1)
-        other = other[comp[other] != comp[i]]
-        if len(other):
-            hit = other[(sig[other] == sig[i]).sum(axis=1) >= matches]
-            found.append(np.stack([np.minimum(ids[hit], ids[i]), np.maximum(ids[hit], ids[i])], axis=1))
-    return np.concatenate(found)
-
-
-def _remaining(posts: DataFrame, sets: DataFrame, labels: DataFrame, rules: MinHashRules) -> DataFrame:
-    """Candidate pairs (a, b) that share a list but no component yet, compared block against block of their list."""
+@dataclass
+class _Block:
+    """Members of one block pair of a list: ids, components, sides, signatures, the keys of their lists, and full shingle sets."""
+
+    ids: np.ndarray
+    comp: np.ndarray
+    side: np.ndarray
+    sig: np.ndarray
+    keys: np.ndarray
+    sets: np.ndarray
+    bounds: np.ndarray
+
+    def links(self, key: int, rules: MinHashRules) -> list[tuple[int, int]]:
+        """Links between members whose components differ, no more than join these components.
+
+        A pair that shares several lists is compared in the one of the least key. What a link has joined is not compared again.
+        """
+        lead = {c: c for c in self.comp.tolist()}
+
+        def root(c: int) -> int:
+            while lead[c] != c:
+                lead[c] = lead[lead[c]]
+                c = lead[c]
+            return c
+
+        found = []
+        now = self.comp.copy()
+        right = np.flatnonzero(self.side == 1)
+        for i in np.flatnonzero(self.side != 1):
+            other = np.arange(i + 1, len(self.ids)) if self.side[i] == 2 else right
+            other = other[now[other] != now[i]]
+            other = other[(self.sig[other] == self.sig[i]).sum(axis=1) >= rules.matches] if len(other) else other
+            if not len(other):
+                continue
+            shared = (self.keys[other][:, :, None] == self.keys[i][self.keys[i] < key]).any(axis=(1, 2))
+            own = self.sets[self.bounds[i] : self.bounds[i + 1]]
+            for j in other[~shared]:
+                if now[j] == now[i]:
+                    continue
+                its = self.sets[self.bounds[j] : self.bounds[j + 1]]
+                if 100 * min(len(own), len(its)) < rules.percent * max(len(own), len(its)):
+                    continue
+                common = int((own[np.searchsorted(own, its).clip(max=len(own) - 1)] == its).sum())
+                if 100 * common >= rules.percent * (len(own) + len(its) - common):
+                    found.append((int(self.ids[i]), int(self.ids[j])))
+                    x, y = sorted((root(now[i]), root(now[j])))
+                    lead[y] = x
+                    now[(now == now[i]) | (now == now[j])] = x
+        return found
+
+
+def full_sets(texts: DataFrame, rules: MinHashRules) -> DataFrame:
+    """(id, shingles): the full sets of stored texts, as packed sorted 64-bit hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            value, bounds = shingle_sets(batch.column("text"), rules.shingle)
+            packed = [value[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(packed, pa.binary())], names=["id", "shingles"])
+
+    return texts.select("id", "text").mapInArrow(run, "id long, shingles binary")
+
+
+def _remaining(posts: DataFrame, sets: DataFrame, texts: DataFrame, labels: DataFrame, rules: MinHashRules) -> DataFrame:
+    """Links (a, b) between sets that share a list but no component yet, compared block against block of their list.
+
+    A task holds two blocks with their full sets, and gives no more links than join the components it has met.
+    """
     known = posts.join(labels, posts.id == labels.node, "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     open_lists = known.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key", "n")
-    member = known.join(open_lists, "key").join(sets, "id")
+    member = stored(known.join(open_lists, "key"))
+    lists = member.groupBy("id").agg(F.array_sort(F.collect_set("key")).alias("keys"))
+    member = member.join(sets.join(lists, "id").join(full_sets(texts, rules), "id"), "id")
     blocks = F.ceil(F.col("n") / rules.block).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
-    other = F.explode(F.sequence(F.lit(0), blocks - 1))
-    dealt = member.withColumn("own", own).withColumn("other", other)
+    dealt = member.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     dealt = dealt.withColumn("p", F.least("own", "other")).withColumn("q", F.greatest("own", "other"))
     dealt = dealt.withColumn("side", F.when(F.col("p") == F.col("q"), 2).when(F.col("own") == F.col("p"), 0).otherwise(1))
+    columns = ["key", "p", "q", "id", "component", "side", "signature", "keys", "shingles"]
+
+    def blocks_of(now: pa.Table, last: bool) -> tuple[list[tuple[int, _Block]], pa.Table | None]:
+        key, p, q, ids, comp, side = (now.column(c).to_numpy() for c in columns[:6])
+        starts = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]) | (p[1:] != p[:-1]) | (q[1:] != q[:-1])) + 1, [len(key)]])
+        out = []
+        for x, y in zip(starts[:-1] if last else starts[:-2], starts[1:], strict=False):
+            if comp[x:y].min() == comp[x:y].max():
+                continue
+            part = now.slice(int(x), int(y - x)).combine_chunks()
+            sig = np.asarray(part.column("signature").combine_chunks().flatten()).reshape(-1, rules.coordinates)
+            lists = part.column("keys").to_pylist()
+            keys = np.full((y - x, max(map(len, lists))), np.iinfo(np.int64).max)
+            for k, own_keys in enumerate(lists):
+                keys[k, : len(own_keys)] = own_keys
+            raw = [np.frombuffer(v, np.uint64) for v in part.column("shingles").to_pylist()]
+            out.append((int(key[x]), _Block(ids[x:y], comp[x:y], side[x:y], sig, keys, np.concatenate(raw), np.concatenate([[0], np.cumsum([len(v) for v in raw])]))))
+        return out, None if last else now.slice(int(starts[-2]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by block pair; one that may go on in the next batch waits for it."""
         rest: pa.Table | None = None
         for batch in _ending(batches):
-            now = rest if batch is None else pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+            parts = [] if batch is None else [pa.Table.from_batches([batch])]
+            now = pa.concat_tables(([rest] if rest is not None else []) + parts) if rest is not None or parts else None
             if now is None or not now.num_rows:
                 continue
-            now = now.combine_chunks()
-            key, p, q, ids, comp, side = (now.column(c).to_numpy() for c in columns[:-1])
-            sig = now.column("signature").combine_chunks().flatten().to_numpy().reshape(-1, rules.coordinates)
-            starts = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]) | (p[1:] != p[:-1]) | (q[1:] != q[:-1])) + 1, [len(key)]])
-            last = len(starts) - 1 if batch is None else len(starts) - 2
-            pairs = [_agreeing(ids[x:y], comp[x:y], side[x:y], sig[x:y], rules.matches) for x, y in zip(starts[:last], starts[1 : last + 1], strict=True)]
-            rest = now.slice(int(starts[last]))
-            if pairs:
-                made = np.unique(np.concatenate(pairs), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(made[:, 0]), pa.array(made[:, 1])], names=["a", "b"])
-
-    columns = ["key", "p", "q", "id", "component", "side", "signature"]
+            full, rest = blocks_of(now.combine_chunks(), batch is None)
+            links = [x for key, block in full for x in block.links(key, rules)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
     sorted_blocks = dealt.select(*columns).repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "id")
     return sorted_blocks.mapInArrow(run, "a long, b long").distinct()
 
@@ -188,7 +254,7 @@ def near_duplicates(docs: DataFrame, rules: MinHashRules = MinHashRules(), id_co
 
     links = stored(confirm(star, texts, rules).distinct())
     labels = components(links)
-    more = stored(confirm(_remaining(posts, sets, labels, rules), texts, rules).distinct())
+    more = stored(_remaining(posts, sets, texts, labels, rules))
     if more.limit(1).count():
         joined = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
         labels = components(joined.union(more))
