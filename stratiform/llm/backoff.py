@@ -25,11 +25,12 @@ from stratiform.llm.words import slices, words_of
 
 @dataclass(frozen=True)
 class BackoffRules:
-    """least_share: a word is a state if it is at least this share of the training tokens, so there are at most its inverse.
+    """least_share: a word is a state if it is at least this share of the training tokens, so there are at most its inverse; so is the
+    end of a text.
     block: rows that share the arcs they ask for. parts, part: rows whose CRC-32 of the id modulo parts is part do not train."""
 
     least_share: float = 1 / 4000
-    block: int = 16384
+    block: int = 8192
     parts: int = 7
     part: int = 2
 
@@ -155,8 +156,10 @@ def score_texts(docs: DataFrame, rules: BackoffRules = BackoffRules(), text_col:
 
     arcs = _totals(_block_counts(rows, rules, words))
     total, known = arcs.where("lead").agg(F.coalesce(F.sum("total"), F.lit(0)), F.count(F.when(F.col("total") > 0, 1))).first()
-    frequent = arcs.where(F.col("lead") & (F.col("total") >= max(1.0, total * rules.least_share))).select("key", "total").collect()
-    starts = next((n for k, n in frequent if k == int(END.view(np.int64))), 0)
+    end = int(END.view(np.int64))
+    often = (F.col("total") >= max(1.0, total * rules.least_share)) | ((F.col("key") == end) & (F.col("total") > 0))
+    frequent = arcs.where(F.col("lead") & often).select("key", "total").collect()
+    starts = next((n for k, n in frequent if k == end), 0)
     count_of = {np.int64(k).view(np.uint64): n for k, n in frequent} | {START: starts or 1}
     states = np.array(sorted(count_of), np.uint64)
     count = np.array([count_of[s] for s in states], np.float64)
