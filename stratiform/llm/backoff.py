@@ -219,7 +219,7 @@ def _score(part: pa.RecordBatch, root: Root, words: np.ndarray, counts: np.ndarr
     score = np.log10(p)
 
     def total(x: np.ndarray) -> pa.Array:
-        return pa.array(np.bincount(t.row, x, n))
+        return pa.array(np.bincount(t.row, x, n), pa.float64())
 
     tokens, known = np.bincount(t.row, minlength=n), np.bincount(t.row[c > 0], minlength=n)
     columns = [part.column("doc_id"), part.column("held_out"), pa.array(tokens), pa.array(known), pa.array(np.full(n, root.tokens)), total(base), total(score)]

@@ -99,7 +99,7 @@ def log_weights(docs: DataFrame, model: ResampleModel, rules: ResampleRules = Re
         for batch in slices(batches, text_col):
             row, bucket = _features(batch.column(text_col), rules.buckets)
             weight = np.bincount(row, held.value[bucket], minlength=batch.num_rows)
-            made = [pa.array(weight), pa.array(np.bincount(row, minlength=batch.num_rows))]
+            made = [pa.array(weight, pa.float64()), pa.array(np.bincount(row, minlength=batch.num_rows), pa.int64())]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in names] + made, names=[*names, *added.names])
 
     read = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*names, text_col])])
