@@ -234,8 +234,8 @@ def near_duplicates(docs: DataFrame, rules: MinHashRules = MinHashRules(), id_co
 
     Equal sets are one class first, so exact copies cost one row each. Then each set is confirmed against the best of the first
     members of its lists, which joins large groups in a linear number of pairs; only lists that still hold several components have
-    the rest compared, in blocks, so no link between different sets is lost. A null id belongs to no group (component null, not
-    kept); rows that repeat an id are one document, linked by any of their texts. Null and empty texts have no shingles and stand alone.
+    the rest compared, in blocks, so no link between different sets is lost. A null id is not kept, and has a component
+    only where a row with an id has the same set; rows that repeat an id are one document, linked by any of their texts. Null and empty texts have no shingles and stand alone.
     """
     marks = stored(signatures(docs, rules, id_col, text_col))
     classes = stored(
