@@ -65,12 +65,42 @@ def test_year_range_reaches_the_scan(spark, sf):
     assert "GreaterThanOrEqual(o_orderdate,1990-01-01" in details
 
 
+# The declared columns of the models, with types where they are declared.
+DECLARED_TYPES = {
+    "stg_movies_main": "movie_id bigint, title string, release_date date, budget_amount decimal(18,2), revenue_amount decimal(18,2), loaded_at timestamp_ntz",
+    "stg_movie_extended": "movie_id bigint, genres string, production_countries string, production_companies string, spoken_languages string,"
+                          " loaded_at timestamp_ntz",
+    "stg_ratings": "movie_id bigint, avg_rating decimal(10,4), total_ratings int, std_dev decimal(10,4), avg_rating_minmax decimal(12,6),"
+                   " avg_rating_zscore decimal(12,6), loaded_at timestamp_ntz",
+}
+METRICS = "movies_released total_revenue avg_revenue weighted_avg_rating avg_vote_count prior_year_revenue prior_year_rating revenue_yoy_pct rating_yoy_delta"
+DECLARED_COLUMNS = {
+    "int_movie_company_bridge": "movie_id title release_date release_year budget_amount revenue_amount avg_rating total_ratings genres production_countries"
+                                " production_company budget_correction_flag record_loaded_at",
+    "int_company_year_metrics": f"production_company release_year {METRICS} record_loaded_at",
+    "dim_movies": "movie_id title release_date_key release_date budget_amount revenue_amount genres production_countries production_companies"
+                  " spoken_languages record_loaded_at",
+    "dim_production_companies": "production_company_key production_company first_release_year latest_release_year loaded_at",
+    "fct_movie_ratings": "movie_id title release_date_key release_date release_year release_month genres production_countries budget_amount revenue_amount"
+                         " roi_pct avg_rating total_ratings std_dev avg_rating_minmax avg_rating_zscore interest_band rating_loaded_at",
+}
+
+
+def check_schemas(models):
+    for name, declared in DECLARED_TYPES.items():
+        assert [f"{n} {t}" for n, t in models[name].dtypes] == declared.replace("(18,2)", "(18;2)").replace("(10,4)", "(10;4)").replace("(12,6)", "(12;6)") \
+            .replace(", ", "|").replace(";", ",").split("|"), name
+    for name, declared in DECLARED_COLUMNS.items():
+        assert set(models[name].columns) == set(declared.split()), name
+
+
 def test_build_writes_every_layer(spark, sf, tmp_path):
     built = layers.build_layers(src.layered_inputs(spark, sf), src.SETTINGS, str(tmp_path))
     assert built.checks.count() == 33 and built.checks.filter("violations > 0").count() == 0
     bridge = built.models["int_movie_company_bridge"]
     assert layers.FIRST not in bridge.columns and bridge.count() > 0
     assert set(built.models) == set(layers.MODELS)
+    check_schemas(built.models)
     written = {str(p.relative_to(tmp_path)) for p in tmp_path.glob("*/*") if p.is_dir()}
     assert {"staged/ratings", "staging/stg_ratings", "intermediate/int_movie_company_bridge", "marts/dim_date"} <= written
 
