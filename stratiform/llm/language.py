@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratiform.llm.store import stored
+
 UNKNOWN = "und"
 
 
@@ -50,7 +52,8 @@ def learn_languages(docs: DataFrame, rules: LanguageRules = LanguageRules(), id_
     rows = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 20)).alias("h")
     )
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    # Stored, so that its size is known before the join and no text is shuffled to it: one row a language.
+    counts = stored(rows.groupBy("lang").agg(F.count("*").alias("n")))
     # The slice sits in the middle of long texts: openings are often shared lines.
     middle = F.greatest(F.lit(1), ((F.length("text") - rules.sample_chars) / 2).cast("int") + 1)
     near = rows.join(counts, "lang").where(F.col("h") * F.col("n") <= F.lit(4 * rules.samples * (1 << 20)))
