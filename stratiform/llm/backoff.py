@@ -78,7 +78,8 @@ def _block_counts(rows: DataFrame, rules: BackoffRules, keys_of) -> DataFrame:
 
         for batch in slices(batches):
             block = batch.column("block").to_numpy()
-            for at, to in zip(*(lambda c: (c[:-1], c[1:]))(np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1, [len(block)]])), strict=True):
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1, [len(block)]])
+            for at, to in zip(cuts[:-1], cuts[1:], strict=True):
                 if parts and block[at] != current:
                     yield flush()
                 current = block[at]
