@@ -17,7 +17,7 @@ from stratiform.llm.store import stored
 class MixRules:
     """weights: of the sources in code point order, null last, repeating. budget: words of the mix per word of the corpus.
     most: times a source may be taken. block: words of a block. shard: least slots of an output shard; shards: their greatest
-    number. rows: documents in a bucket of the running sums. seed: of draws and permutations."""
+    number. rows: documents in a bucket of the running sums. unfold: slots that a task unfolds. seed: of draws and permutations."""
 
     weights: tuple[int, ...] = (3, 1, 2)
     budget: float = 1.5
@@ -26,6 +26,7 @@ class MixRules:
     shard: int = 4096
     shards: int = 50_000
     rows: int = 50_000
+    unfold: int = 500_000
     seed: int = 5
 
 
@@ -108,8 +109,9 @@ def _block_takes(plan: DataFrame, rules: MixRules) -> DataFrame:
     running = Window.partitionBy("sid").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
     runs = counts.union(lacking).withColumn("to", F.sum("n").over(running)).withColumn("from", F.col("to") - F.col("n")).join(plan, "sid")
     runs = runs.withColumn("to", F.least("to", "slots")).where("from < to")
-    # A run is cut to parts of at most a shard's slots before it is unfolded.
+    # A run is cut to parts of at most a shard's slots, which are dealt out before they are unfolded: few rows become many here.
     parts = runs.select("sid", "blocks", "to", F.explode(F.sequence("from", F.col("to") - 1, F.lit(shard))).alias("part"))
+    parts = parts.repartition(total // rules.unfold + 1, "sid", "part")
     slots = parts.select("sid", "blocks", F.explode(F.sequence("part", F.least(F.col("part") + shard, F.col("to")) - 1)).alias("j"))
     taken = slots.select("sid", _permuted(F.col("j") % F.col("blocks"), F.col("blocks"), F.col("sid"), rules.seed).alias("block"))
     return taken.groupBy("sid", "block").agg(F.count("*").alias("times"))
