@@ -143,11 +143,32 @@ def mix_sources(docs: DataFrame, rules: MixRules = MixRules(), text_col: str = "
     return summed.unionByName(empty)
 
 
+def _whole_copies(takes: DataFrame, rules: MixRules) -> DataFrame:
+    """(doc_id, _copies): whole copies of each document, without bias and near each source's taken words. takes: of ``mix_sources``.
+
+    Documents of a bucket of a source are sorted by size and their takes per word summed up from a hash of the bucket; a document gets
+    as many copies as whole numbers are passed, which is floor(taken / size + u) with u in [0, 1). So each document's chance is exact,
+    and a bucket's words miss what was taken by its longest document at most. Rows that share an id share the mean of their takes and
+    count with their first source; rows without words stay.
+    """
+    by_id = takes.groupBy("doc_id").agg(F.min("source").alias("source"), F.sum("size").alias("size"), F.sum("taken").alias("taken"))
+    by_id = stored(by_id)
+    buckets = max(1, -(-by_id.count() // rules.rows))
+    placed = by_id.where("size > 0").withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)))
+    # Whole numbers of 2^-32 copies, so that sums are exact.
+    unit = 1 << 32
+    part = F.round(F.col("taken") / F.col("size") * unit).cast("long")
+    draw = F.pmod(F.xxhash64(F.lit(rules.seed + 2), "source", "bucket"), F.lit(unit))
+    order = Window.partitionBy("source", "bucket").orderBy("size", F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    summed = placed.withColumn("part", part).withColumn("upto", F.sum("part").over(order) + draw)
+    copies = F.shiftright("upto", 32) - F.shiftright(F.col("upto") - F.col("part"), 32)
+    some = summed.select("doc_id", F.least(copies, F.lit(rules.most)).cast("int").alias("_copies"))
+    return some.unionByName(by_id.where("size = 0").select("doc_id", F.lit(1).alias("_copies"))).where("_copies > 0")
+
+
 def mixed_documents(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
-    """docs as the mix takes them: each row as often as its taken words make whole copies (0, 1 or 2, rounded), columns unchanged."""
+    """docs as the mix takes them: each row as often as its taken words make whole copies, rounded without bias, columns unchanged."""
     names = docs.columns
-    takes = mix_sources(docs.select("doc_id", "source", "text"), rules)
-    # Rows that share an id share the mean of their takes; rows without words stay.
-    copies = takes.groupBy("doc_id").agg(F.when(F.sum("size") > 0, F.round(F.sum("taken") / F.sum("size"))).otherwise(1).cast("int").alias("_copies")).where("_copies > 0")
+    copies = _whole_copies(mix_sources(docs.select("doc_id", "source", "text"), rules), rules)
     joined = docs.join(copies.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")))
     return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*[F.col(f"`{c}`") for c in names])

@@ -69,6 +69,21 @@ def test_mixed_documents_keep_columns_and_whole_copies(spark, sf):
     assert counts.where("n > 2").count() == 0 and out.distinct().join(docs, docs.columns, "left_anti").count() == 0
 
 
+@pytest.mark.parametrize("rows", [50_000, 60])
+def test_whole_copies_meet_the_targets_of_sources(spark, rows):
+    """Documents span several blocks, so their takes lie near the ratio of their source, one below 0.5 among them."""
+    source = F.when(F.col("id") % 3 == 0, "b").when(F.col("id") % 3 == 1, F.concat(F.lit("a"), F.col("id") % 2)).otherwise(F.concat(F.lit("c"), F.col("id") % 4))
+    docs = spark.range(1200).select(F.col("id").alias("doc_id"), source.alias("source"), F.expr("repeat('word ', 200 + cast(id * 7919 % 400 as int))").alias("text"))
+    rules = MixRules(weights=(3, 1, 2), budget=0.9, block=8, rows=rows)
+    targets = {r.source: (r.size, r.target) for r in mix_sources(docs, rules).groupBy("source").agg(F.sum("size").alias("size"), F.first("target").alias("target")).collect()}
+    assert any(t < 0.5 * n for n, t in targets.values()) and any(0.5 * n < t < n for n, t in targets.values())
+    out = mixed_documents(docs, rules)
+    got = {r.source: r.n for r in out.groupBy("source").agg(F.sum(F.size(F.split(F.trim("text"), " "))).alias("n")).collect()}
+    for source, (size, target) in targets.items():
+        assert abs(got.get(source, 0) - target) <= 600 * -(-1200 // rows) + 2 * 8
+    assert out.groupBy("doc_id").count().where("count > 2").count() == 0
+
+
 def test_no_python_on_the_way(spark, sf):
     plan = mix_sources(spark.read.parquet(f"{sf}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian", plan)
