@@ -1,12 +1,12 @@
 """Language-model scoring by a weighted backoff automaton.
 
-The model is a smoothed bigram model in backoff form. A state stands for the last word where that word is frequent, or for the start
-of a text; every other word leads to the root. A state has an arc for each frequent word seen after it, with its probability, and a
-failure arc to the root with the weight left over; the root has an arc for every word of the corpus and one for unknown words.
-Reading a text from left to right carries the state and adds up the logarithms.
+The model is a smoothed bigram model in backoff form. A state stands for the last word, or for the start of a text. A state has an arc
+for each word seen after it, with its probability, and a failure arc to the root with the weight left over; the root has an arc for
+every word of the corpus and one for unknown words. Reading a text from left to right carries the state and adds up the logarithms.
 
-The root's arcs grow with the corpus, so the automaton is never in one place. Texts are scored in blocks of rows: each block asks for
-the arcs that its own words can take, and only those come back to it.
+States and arcs grow with the corpus, so the automaton is never in one place. Texts are scored in blocks of rows: each block asks for
+the words, states and arcs that its own texts can take, and only those come back to it. Arcs that no other block has counted do not
+move: the block counts them again.
 """
 
 from __future__ import annotations
@@ -20,13 +20,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratiform.llm.store import stored
-from stratiform.llm.words import slices, words_of
+from stratiform.llm.words import mix, slices, words_of
 
 
 @dataclass(frozen=True)
 class BackoffRules:
-    """least_share: a word is a state if it is at least this share of the training tokens, so there are at most its inverse; so is the
-    end of a text.
+    """least_share: above 0 the model is pruned: only words of at least this share of the training tokens, and the end of a text, are
+    states and have arcs, and at most its inverse of them are held by every task. At 0 every pair of words has its arc.
     block: rows that share the arcs they ask for. parts, part: rows whose CRC-32 of the id modulo parts is part do not train."""
 
     least_share: float = 1 / 4000
@@ -35,8 +35,13 @@ class BackoffRules:
     part: int = 2
 
 
+#: The whole model.
+EVERY_PAIR = BackoffRules(least_share=0.0)
+
 END, START = np.uint64(0x1D8AF066B5F5F7A1), np.uint64(0x5C2E0D3A9B64C117)
 
+MOVED = "a block misses words that it asked for: the rows changed their order between readings; store the table first"
+
 
 def held_out(rules: BackoffRules, id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % rules.parts == rules.part, F.lit(False))
@@ -58,47 +63,61 @@ def tokens_of(texts: pa.Array) -> Tokens:
     return Tokens(np.insert(w.hash, ends, END), np.insert(w.row, ends, np.arange(len(n))), ends - n + np.arange(len(n)))
 
 
-def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    return keys, np.bincount(place, np.concatenate([p[1] for p in parts]), len(keys)).astype(np.int64)
+#: Keys, the context of each (of arcs) and its count.
+Counts = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def _merged(parts: list[Counts]) -> Counts:
+    """Counts by key, in the order of contexts and keys. A key has one context."""
+    key, context, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.lexsort((key, context))
+    key, context = key[order], context[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    return key[first], context[first], np.add.reduceat(n[order], first) if len(first) else n
+
+
+def _trained(part: pa.RecordBatch, found: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Counts:
+    """Counts of keys in training rows; those of held-out ones count 0. found: key, context and text number of each token."""
+    key, context, row = found
+    return _merged([(key, context, (~part.column("held_out").to_numpy(zero_copy_only=False))[row].astype(np.int64))])
 
 
-def _block_counts(rows: DataFrame, rules: BackoffRules, keys_of) -> DataFrame:
-    """(block, key, n): every key of each block of rows, and how often its training rows have it. keys_of: key and text number
-    of each token of some texts."""
+def _block_counts(rows: DataFrame, keys_of) -> DataFrame:
+    """(block, key, context, n): every key of each block of rows, and how often its training rows have it. keys_of: key, context and
+    text number of each token of some texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        parts: list[Counts] = []
         current = None
 
-        def flush() -> pa.RecordBatch:
-            keys, n = _merged(parts)
+        def flush() -> Iterator[pa.RecordBatch]:
+            key, context, n = _merged(parts)
             parts.clear()
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), current)), pa.array(keys.view(np.int64)), pa.array(n)], names=["block", "key", "n"])
+            for at in range(0, len(key), 1 << 16):
+                made = [pa.array(x[at : at + (1 << 16)].view(np.int64)) for x in (key, context, n)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(made[0]), current)), *made], names=["block", "key", "context", "n"])
 
         for batch in slices(batches):
             block = batch.column("block").to_numpy()
             cuts = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1, [len(block)]])
             for at, to in zip(cuts[:-1], cuts[1:], strict=True):
                 if parts and block[at] != current:
-                    yield flush()
+                    yield from flush()
                 current = block[at]
                 part = batch.slice(int(at), int(to - at))
-                key, row = keys_of(part.column("text"))
-                parts.append(_merged([(key, ~part.column("held_out").to_numpy(zero_copy_only=False)[row])]))
-                if len(parts) > 64:
+                parts.append(_trained(part, keys_of(part.column("text"))))
+                if len(parts) > 16:
                     parts[:] = [_merged(parts)]
         if parts:
-            yield flush()
+            yield from flush()
 
-    return rows.select("block", "held_out", "text").mapInArrow(run, "block long, key long, n long")
+    return rows.select("block", "held_out", "text").mapInArrow(run, "block long, key long, context long, n long")
 
 
 def _totals(counts: DataFrame) -> DataFrame:
-    """(block, key, total, lead): for each request the count over all blocks; lead marks one of a key's rows."""
+    """counts with total, the count over all blocks, and lead, which marks one of a key's rows."""
     by_key = Window.partitionBy("key")
-    lead = F.col("block") == F.min("block").over(by_key)
-    return stored(counts.select("block", "key", F.sum("n").over(by_key).alias("total"), lead.alias("lead")))
+    return counts.withColumn("total", F.sum("n").over(by_key)).withColumn("lead", F.col("block") == F.min("block").over(by_key))
 
 
 def _discount(arcs: DataFrame) -> float:
@@ -109,16 +128,15 @@ def _discount(arcs: DataFrame) -> float:
 
 @dataclass(frozen=True)
 class Root:
-    """Of the training tokens: their number, that of distinct ones, and the discount; states by hash, with the weight of their
-    failure arc and their count; and the discount of their arcs."""
+    """Of the training tokens: their number, that of distinct ones, and the discount; of the start of texts how often it trained, how
+    often an arc follows and how many; the discount of arcs; and the states of a pruned model, None for all."""
 
     tokens: int
     known: int
     discount: float
-    states: np.ndarray
-    count: np.ndarray
-    failure: np.ndarray
+    start: tuple[int, int, int]
     arc_discount: float
+    states: np.ndarray | None
 
     def unigram(self, count: np.ndarray) -> np.ndarray:
         """Probability at the root by count; that of all unknown words together for 0."""
@@ -127,21 +145,21 @@ class Root:
         return np.where(count > 0, (count - self.discount) / self.tokens, self.discount * self.known / self.tokens)
 
 
-def _state_of(states: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Number of each word's state, -1 for the root."""
-    spot = np.searchsorted(states, word).clip(max=len(states) - 1)
-    return np.where(states[spot] == word, spot, -1)
+def _arcs(t: Tokens, states: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The arc that each token would take, the word before it (the start for a text's first), and which tokens can have one."""
+    before = np.concatenate([t.hash[:1], t.hash[:-1]])
+    before[t.first] = START
+    there = np.ones(len(before), bool) if states is None else np.isin(t.hash, states) & (np.isin(before, states) | (before == START))
+    return mix(before * np.uint64(0xC2B2AE3D27D4EB4F) + t.hash), before, there
 
 
-def _pairs(states: np.ndarray, t: Tokens) -> tuple[np.ndarray, np.ndarray]:
-    """State before each token (the start's for a text's first), and the number of the arc it would take, -1 for none."""
-    own = _state_of(states, t.hash)
-    before = np.concatenate([[-1], own[:-1]])
-    before[t.first] = _state_of(states, np.array([START]))[0]
-    return before, np.where((before >= 0) & (own >= 0), before * len(states) + own, -1)
+def _steps(texts: pa.Array, states: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    t = tokens_of(texts)
+    key, before, there = _arcs(t, states)
+    return (key, before, t.row) if states is None else (key[there], before[there], t.row[there])
 
 
-def score_texts(docs: DataFrame, rules: BackoffRules = BackoffRules(), text_col: str = "text") -> DataFrame:
+def score_texts(docs: DataFrame, rules: BackoffRules = EVERY_PAIR, text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of docs.
 
     docs must give its rows in the same order whenever it is read, as a table does; a block that misses a word it asked for raises.
@@ -151,72 +169,91 @@ def score_texts(docs: DataFrame, rules: BackoffRules = BackoffRules(), text_col:
     spark = docs.sparkSession
     rows = docs.select("doc_id", held_out(rules).alias("held_out"), F.col(text_col).alias("text"), F.floor(F.monotonically_increasing_id() / rules.block).alias("block"))
 
-    def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         t = tokens_of(texts)
-        return t.hash, t.row
+        return t.hash, np.zeros(len(t.hash), np.uint64), t.row
 
-    arcs = _totals(_block_counts(rows, rules, words))
-    total, known = arcs.where("lead").agg(F.coalesce(F.sum("total"), F.lit(0)), F.count(F.when(F.col("total") > 0, 1))).first()
+    asked = stored(_totals(_block_counts(rows, words)).select("block", "key", "total", "lead"))
+    total, known = asked.where("lead").agg(F.coalesce(F.sum("total"), F.lit(0)), F.count(F.when(F.col("total") > 0, 1))).first()
     end = int(END.view(np.int64))
-    often = (F.col("total") >= max(1.0, total * rules.least_share)) | ((F.col("key") == end) & (F.col("total") > 0))
-    frequent = arcs.where(F.col("lead") & often).select("key", "total").collect()
-    starts = next((n for k, n in frequent if k == end), 0)
-    count_of = {np.int64(k).view(np.uint64): n for k, n in frequent} | {START: starts or 1}
-    states = np.array(sorted(count_of), np.uint64)
-    count = np.array([count_of[s] for s in states], np.float64)
-    held = spark.sparkContext.broadcast(states)
-
-    def steps(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        t = tokens_of(texts)
-        _, arc = _pairs(held.value, t)
-        there = arc >= 0
-        return arc[there].view(np.uint64), t.row[there]
-
-    pairs = _totals(_block_counts(rows, rules, steps))
-    size = len(states)
-    sums = pairs.where("lead and total > 0").groupBy(F.floor(F.col("key") / size).alias("s")).agg(F.sum("total"), F.count("*")).collect()
-    arc_discount = _discount(pairs)
-    failure = np.ones(size)
-    for s, seen, distinct in sums:
-        failure[s] = 1 - (seen - arc_discount * distinct) / count[s]
+    ends = asked.where(F.col("lead") & (F.col("key") == end)).select("total").first()
+    held = None
+    if rules.least_share > 0:
+        often = (F.col("total") >= max(1.0, total * rules.least_share)) | ((F.col("key") == end) & (F.col("total") > 0))
+        held = np.sort(np.array([k for (k,) in asked.where(F.col("lead") & often).select("key").collect()], np.int64).view(np.uint64))
+    states = spark.sparkContext.broadcast(held)
+
+    counted = _totals(_block_counts(rows, lambda texts: _steps(texts, states.value)))
+    # A row is kept for its arc's context, once an arc, or for a block that has not counted all of the arc itself.
+    one, other = F.col("lead") & (F.col("total") > 0), F.col("total") != F.col("n")
+    pairs = stored(counted.where(one | other).select("block", F.when(other, F.col("key")).alias("key"), F.when(one, F.col("context")).alias("context"), "total", "lead"))
+    sums = pairs.where(F.col("context").isNotNull()).groupBy("context").agg(F.sum("total").alias("seen"), F.count("*").alias("distinct"))
+    start = sums.where(F.col("context") == int(START.view(np.int64))).select("seen", "distinct").first() or (0, 0)
     # Plain values: a broadcast is unpickled where the package may not be installed.
-    model = spark.sparkContext.broadcast((total, known, _discount(arcs), states, count, failure, arc_discount))
+    model = spark.sparkContext.broadcast((total, known, _discount(asked), (ends[0] if ends else 0, *start), _discount(pairs), held))
 
-    asked = arcs.select("block", F.lit(0).alias("kind"), "key", "total").union(pairs.select("block", F.lit(1), "key", "total"))
+    none = F.lit(0).cast("long")
+    of_words = asked.join(sums, F.col("key") == F.col("context"), "left")
+    of_words = of_words.select("block", F.lit(0).alias("kind"), "key", "total", F.coalesce("seen", none).alias("seen"), F.coalesce("distinct", none).alias("distinct"))
+    given = of_words.union(pairs.where(F.col("key").isNotNull()).select("block", F.lit(1), "key", "total", none, none))
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
     def run(texts: pa.Table, given: pa.Table) -> pa.Table:
-        kind, key, n = (given.column(c).to_numpy() for c in ("kind", "key", "total"))
-        tables = []
-        for k in (0, 1):
-            own = key[kind == k].view(np.uint64)
-            order = np.argsort(own)
-            tables.append((own[order], n[kind == k][order]))
+        kind = given.column("kind").to_numpy()
+
+        def of(k: int, *names: str) -> list[np.ndarray]:
+            key, *values = (given.column(c).to_numpy()[kind == k] for c in ("key", *names))
+            order = np.argsort(key.view(np.uint64))
+            return [key.view(np.uint64)[order], *[x[order] for x in values]]
+
         root = Root(*model.value)
-        out = [_score(part, root, *tables[0], *tables[1]) for part in slices(iter(texts.combine_chunks().to_batches()))]
-        return pa.Table.from_batches(out)
+        held_by = of(0, "total", "seen", "distinct")
+        parts: list[Counts] = []
+        batches = texts.combine_chunks().to_batches()
+        for part in slices(iter(batches)):
+            parts.append(_trained(part, _steps(part.column("text"), root.states)))
+            if len(parts) > 16:
+                parts[:] = [_merged(parts)]
+        own, _, n = _merged(parts)
+        order = np.argsort(own)
+        own, n = own[order], n[order]
+        key, n_all = of(1, "total")
+        spot = np.searchsorted(own, key)
+        if len(key) and not (own[spot.clip(max=len(own) - 1)] == key).all():
+            raise RuntimeError(MOVED)
+        n[spot] = n_all
+        return pa.Table.from_batches([_score(part, root, held_by, own, n) for part in slices(iter(batches))])
 
     left = rows.select("block", F.col("doc_id").cast("long").alias("doc_id"), "held_out", "text")
-    return left.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(run, schema)
+    return left.groupBy("block").cogroup(given.groupBy("block")).applyInArrow(run, schema)
 
 
-def _score(part: pa.RecordBatch, root: Root, words: np.ndarray, counts: np.ndarray, arcs: np.ndarray, arc_counts: np.ndarray) -> pa.RecordBatch:
+def _score(part: pa.RecordBatch, root: Root, given: list[np.ndarray], arcs: np.ndarray, arc_counts: np.ndarray) -> pa.RecordBatch:
+    """given: hash, count, and number of arc tokens and of arcs after it, of each word."""
     t = tokens_of(part.column("text"))
     n = part.num_rows
+    words, counts, seen, distinct = given
     spot = np.searchsorted(words, t.hash).clip(max=len(words) - 1)
     if len(t.hash) and not (words[spot] == t.hash).all():
-        raise RuntimeError("a block misses words that it asked for: the rows changed their order between readings; store the table first")
+        raise RuntimeError(MOVED)
     c = counts[spot]
     base = np.log10((c + 1) / (root.tokens + root.known + 1))
     p = root.unigram(c)
-    before, arc = _pairs(root.states, t)
+    key, _, there = _arcs(t, root.states)
+
+    def before(x: np.ndarray, start: int) -> np.ndarray:
+        out = np.concatenate([x[:1], x[:-1]])
+        out[t.first] = start
+        return out
+
+    history, follow, kinds = (before(x, s) for x, s in zip((c, seen[spot], distinct[spot]), root.start, strict=True))
+    history = np.maximum(history, 1)
     # The failure arc leads to the root, whose probability counts by the weight left over; an own arc adds its share.
-    p = p * np.where(before >= 0, root.failure[before], 1.0)
-    some = np.flatnonzero(arc >= 0)
-    if len(some) and len(arcs):
-        at = np.searchsorted(arcs, arc[some].view(np.uint64)).clip(max=len(arcs) - 1)
-        seen = np.where(arcs[at] == arc[some].view(np.uint64), arc_counts[at], 0)
-        p[some] += np.maximum(seen - root.arc_discount, 0) / root.count[before[some]]
+    p = p * ((history - follow + root.arc_discount * kinds) / history)
+    if len(arcs):
+        at = np.searchsorted(arcs, key).clip(max=len(arcs) - 1)
+        arc = np.where(there & (arcs[at] == key), arc_counts[at], 0)
+        p = p + np.maximum(arc - root.arc_discount, 0) / history
     score = np.log10(p)
 
     def total(x: np.ndarray) -> pa.Array:

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stratiform.llm.backoff import BackoffRules, score_texts
+from stratiform.llm.backoff import EVERY_PAIR, BackoffRules, score_texts
 
 
 def tokens(text):
@@ -79,3 +79,25 @@ def test_nothing_to_train_on(frame):
     held = [k for k in range(200) if zlib.crc32(str(k).encode()) % 7 == 2]
     out = score_texts(frame([(k, "a b") for k in held], "doc_id long, text string")).collect()
     assert all((r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) == (3, 0, 0, 0.0, 0.0) for r in out)
+
+
+def test_rare_words_have_arcs(spark, frame, tmp_path):
+    """Every word has a share of the tokens below 1/4000; a pair that was trained is still likelier than one that was not."""
+    held = lambda k: zlib.crc32(str(k).encode()) % 7 == 2
+    one, two = [k for k in range(6000) if not held(k)][:2]
+    first, second = [k for k in range(6000, 6100) if held(k)][:2]
+    rows = [(k, f"u{k} v{k}") for k in range(6000)] + [(first, f"u{one} v{one}"), (second, f"u{one} v{two}")]
+    path = str(tmp_path / "t")
+    frame(rows, "doc_id long, text string").coalesce(1).write.parquet(path)
+    out = got(score_texts(spark.read.parquet(path)))
+    assert out[first][0] and out[second][0] and out[first][4] == pytest.approx(out[second][4]) and out[first][5] > out[second][5] + 0.1
+
+
+@pytest.mark.parametrize("block", [7, 8192])
+def test_every_pair_counts(spark, sf, tmp_path, block):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").limit(25).select("doc_id", F.substring("text", 1, 600).alias("text"))
+    path = str(tmp_path / "t")
+    docs.coalesce(1).write.parquet(path)
+    rules = BackoffRules(least_share=0.0, block=block)
+    assert EVERY_PAIR.least_share == 0
+    same(got(score_texts(spark.read.parquet(path), rules)), brute([(r.doc_id, r.text) for r in docs.collect()], rules))
