@@ -49,6 +49,23 @@ def test_common_lines_are_a_longest_common_subsequence(a, b):
     assert all(any(a[i] == y for y in rest) for i in got)
 
 
+@pytest.mark.parametrize("bits", [1, 500, 1 << 26])
+def test_common_lines_of_many_repeats(bits):
+    draw = np.random.default_rng(3)
+    for _ in range(40):
+        a, b = (draw.integers(0, 3, draw.integers(40, 90)).tolist() for _ in "ab")
+        best = np.zeros((len(a) + 1, len(b) + 1), int)
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1, j + 1] = best[i, j] + 1 if x == y else max(best[i, j + 1], best[i + 1, j])
+        got = common_lines(a, b, bits)
+        rest = iter(b)
+        assert len(got) == best[-1, -1] and got == sorted(set(got)) and all(any(a[i] == y for y in rest) for i in got)
+    # One more occurrence in front shifts none of the others.
+    a, b = [v for k in range(30) for v in (7, 100 + k)], [v for k in range(30) for v in (7, 200 + k)]
+    assert common_lines(a, [7, 300, *b], bits) == list(range(0, 60, 2))
+
+
 def test_lines_shared_with_the_nearest_page_go(frame):
     page = lambda *lines: "<body>" + "".join(f"<div>{x}</div>" for x in lines) + "</body>"
     rows = [
