@@ -36,6 +36,17 @@ def test_lines_of_odd_pages(page, lines):
     assert page_lines(page)[0] == lines
 
 
+@pytest.mark.parametrize(
+    "page,lines",
+    [("<body class='single has-sidebar'>x</body>", ["x"]), ("<article class='post comments-open'>x</article>", ["x"]), ("<main class='with-sidebar'>x</main>", ["x"]),
+     ("<article><p class='share-price'>x<div class='related-work'>y</div></article>", ["x", "y"]), ("<article id=banner><div class=notice>x</div></article>", ["x"]),
+     ("<div class='share-price'>x</div>", ["x"]), ("<div class='site-nav'>no</div><div class='sidebar-left'>no</div><div id=related-posts>no</div>x", ["x"]),
+     ("<article><div class='comment-list'>no</div><div class='ad-slot-2'>no</div><div class=share>x</div></article>", ["x"])],
+)
+def test_classes_that_only_hold_a_word_drop_nothing(page, lines):
+    assert page_lines(page)[0] == lines
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(0, 6), max_size=14), st.lists(st.integers(0, 6), max_size=14))
 def test_common_lines_are_a_longest_common_subsequence(a, b):
