@@ -91,6 +91,23 @@ def test_lines_shared_with_the_nearest_page_go(frame):
     assert extract_main_text(frame([], "page_id long, url string, html string")).count() == 0
 
 
+def _pages(frame, parts=1):
+    page = lambda *lines: "<body>" + "".join(f"<div>{x}</div>" for x in lines) + "</body>"
+    story = lambda k: [f"Story {k} line {n} of words told at length" for n in range(6)]
+    rows = [(k, f"http://h.com/news/{k:02}", page("Site name", *story(k), "All rights")) for k in range(12)]
+    rows += [(100 + n, f"http://h.com/news/05{end}", page("Site name", *story(5), "All rights")) for n, end in enumerate(("?page=2", "?utm_source=feed", "#top", "/"))]
+    rows += [(200, "http://h.com/news/07b", page("Site name", *story(7)[:-1], "Changed", "All rights"))]
+    rows += [(300 + n, f"http://alone.com/a{end}", page("Only", *story(5))) for n, end in enumerate(("", "?x=1", "?x=2"))]
+    return frame(rows, "page_id long, url string, html string").repartition(parts)
+
+
+def test_copies_under_other_urls_keep_their_article(frame):
+    out = {r.page_id: r.text.split("\n") for r in extract_main_text(_pages(frame)).collect()}
+    story = lambda k: [f"Story {k} line {n} of words told at length" for n in range(6)]
+    assert all(out[k] == story(k) for k in range(12)) and all(out[100 + n] == story(5) for n in range(4))
+    assert out[200] == [*story(7)[:-1], "Changed"] and all(out[300 + n] == ["Only", *story(5)] for n in range(3))
+
+
 def test_given_pages_give_their_articles(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet")
     out = {r.page_id: r.text for r in extract_main_text(pages).collect()}
