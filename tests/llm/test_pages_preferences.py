@@ -108,6 +108,24 @@ def test_copies_under_other_urls_keep_their_article(frame):
     assert out[200] == [*story(7)[:-1], "Changed"] and all(out[300 + n] == ["Only", *story(5)] for n in range(3))
 
 
+def test_results_do_not_depend_on_partitions(spark, frame):
+    def texts():
+        return sorted((r.page_id, r.text) for r in extract_main_text(_pages(frame, 3)).collect())
+
+    coalesced = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    shuffles = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = []
+        for n in (1, 5, 17):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got.append(texts())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesced)
+    assert got[0] == got[1] == got[2]
+
+
 def test_given_pages_give_their_articles(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet")
     out = {r.page_id: r.text for r in extract_main_text(pages).collect()}
