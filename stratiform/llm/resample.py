@@ -67,8 +67,8 @@ def bucket_counts(docs: DataFrame, rules: ResampleRules, text_col: str = "text",
 def fit_resampler(docs: DataFrame, labels: DataFrame, rules: ResampleRules = ResampleRules()) -> ResampleModel:
     """Target model from at most ``examples`` rows labelled good and not toxic (the first by a hash of the id), raw model from all rows.
 
-    The model is one number a bucket, so it may pass through the driver. The kept share is that of good rows among all labelled
-    ones, and of the spared bad ones; without labels nothing is known and all rows are kept.
+    The model is one number a bucket, so it may pass through the driver. The kept share is that of good rows among the labelled
+    ones of docs, and of the spared bad ones; without labels nothing is known and all rows are kept.
     """
     good = labels.where((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)).select("doc_id")
     examples = good.where(F.col("doc_id").isNotNull()).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rules.examples)
@@ -79,7 +79,9 @@ def fit_resampler(docs: DataFrame, labels: DataFrame, rules: ResampleRules = Res
         raw[bucket], target[bucket] = r, t
     share = rules.keep_share
     if share is None:
-        n, ok = labels.where(F.col("quality").isNotNull()).agg(F.count("*"), F.coalesce(F.sum((F.col("quality") == 1).cast("long")), F.lit(0))).first()
+        # Of the rows that are here: an earlier stage may have rejected bad ones already.
+        here = labels.where(F.col("quality").isNotNull()).join(docs.select("doc_id").where(F.col("doc_id").isNotNull()).distinct(), "doc_id", "left_semi")
+        n, ok = here.agg(F.count("*"), F.coalesce(F.sum((F.col("quality") == 1).cast("long")), F.lit(0))).first()
         share = 1 - (1 - rules.spare) * (1 - ok / n) if n else 1.0
     if not target.sum():
         return ResampleModel(np.zeros(rules.buckets), 1.0)

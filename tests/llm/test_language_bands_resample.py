@@ -131,3 +131,11 @@ def test_resampling_edges(frame):
     assert resample.resample_decisions(docs.drop("log_weight"), none).where("kept").count() == 3
     assert resample.resample(docs, none).columns == docs.columns
     assert resample.resample_decisions(docs.limit(0), none).count() == 0
+
+
+def test_labels_of_rows_that_are_gone_take_no_others(frame):
+    """Bad rows that an earlier stage rejected do not count for the kept share."""
+    labels = frame([(k, 1 if k < 10 else 0, 0) for k in range(20)], "doc_id long, quality int, toxic int")
+    docs = frame([(k, f"some words {k}") for k in range(10)], "doc_id long, text string")
+    assert resample.fit_resampler(docs, labels).keep_share == 1.0
+    assert resample.fit_resampler(docs.union(frame([(15, "bad words")], "doc_id long, text string")), labels).keep_share < 1.0
