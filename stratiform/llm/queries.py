@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm import backoff, bands, gridjoin, language, minhash, mixing, packing, pages, preferences, resample
+from stratiform.llm import backoff, bands, gridjoin, language, merkle, minhash, mixing, negatives, packing, pages, preferences, resample, tokenbits
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -63,6 +63,37 @@ def op10_compression_language(spark: SparkSession, sf: str) -> DataFrame:
     return language.predict_languages(_table(spark, sf, "documents"))
 
 
+def op11_fixed_width_ids(spark: SparkSession, sf: str) -> DataFrame:
+    return tokenbits.token_index(_table(spark, sf, "documents")).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op12_strassen_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    """Components in 256ths, rounded down; every 50th row is an anchor and every 7th bears the next label."""
+    x = F.transform("embedding", lambda v: v.cast("double"))
+    finite = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")))
+    label = F.col("label").cast("long")
+    rows = _table(spark, sf, "embeddings").where(F.col("embedding").isNotNull() & finite).select(
+        "vec_id",
+        F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"),
+        F.transform(x, lambda v: F.floor(v * 256)).alias("vector"),
+        (F.col("vec_id") % 50 == 0).alias("anchor"),
+    )
+    return negatives.mine_negatives(rows)
+
+
+def op13_bitmap_rank_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Where 2 divides the crc32 of a document's id, the line ends of its text are gone when the proof is checked."""
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    bare = F.when(hit, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    made = merkle.manifest(_table(spark, sf, "documents"), changed={"text": bare})
+    made = merkle.fold_proofs(made, F.coalesce("changed_leaf", "leaf"))
+    text = lambda c: F.lower(F.hex(c))
+    shown = [text(c).alias(c) for c in ("leaf", "subroot", "root")]
+    proof = F.sha2(text("proof").cast("binary"), 256).alias("proof_sha256")
+    verified = F.col("folded_root") == F.col("root")
+    return made.select("doc_id", *shown, proof, text("folded_root").alias("folded_root"), verified.alias("verified"))
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
 
@@ -82,6 +113,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_backoff_automaton,
         op9_compression_bands,
         op10_compression_language,
+        op11_fixed_width_ids,
+        op12_strassen_negatives,
+        op13_bitmap_rank_manifest,
         pipeline,
     )
 }
@@ -118,4 +152,76 @@ SELECT pair_id, any_value(n_shared) AS n_shared,
 FROM o GROUP BY pair_id
 """
 
-ORACLES: dict[str, str] = {"op4_preference_formatting": _PREFERENCES}
+_NEGATIVES = """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS id, a.label = c.label AS same,
+         list_sum(list_transform(range(1, len(a.v) + 1), lambda k: a.v[k] * c.v[k]))::BIGINT AS score
+  FROM r a JOIN r c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INTEGER AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+# crc32 is computed bit by bit; levels of the source trees are 0, 1, ..., those of the tree of sources 1000, 1001, ...
+_MANIFEST = """
+WITH RECURSIVE
+f AS (
+  SELECT doc_id, source, lang, n_chars, text,
+    list_reduce(list_transform(range(1, len(doc_id::VARCHAR) + 1), lambda k: ascii((doc_id::VARCHAR)[k])::BIGINT),
+      lambda c, b: list_reduce(range(8)::BIGINT[], lambda d, k: xor(d >> 1, 3988292384 * (d & 1)), xor(c, b)), 4294967295::BIGINT) AS crc
+  FROM documents),
+e AS (
+  SELECT *, CASE WHEN (4294967295 - crc) % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS bare,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head
+  FROM f),
+l AS (
+  SELECT doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, leaf, other,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank, count(*) OVER (PARTITION BY source) AS size
+  FROM (SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+               sha256(head || coalesce(strlen(bare) || ':' || bare, '-')) AS other FROM e)),
+t AS (
+  SELECT tree, 0 AS level, rank, leaf AS h, size FROM l
+  UNION ALL
+  SELECT tree, level + 1, rank // 3, sha256(string_agg(h, '' ORDER BY rank)), (any_value(size) + 2) // 3
+  FROM t WHERE size > 1 GROUP BY tree, level, rank // 3),
+s AS (SELECT tree AS rank, h, count(*) OVER () AS size FROM t WHERE size = 1),
+u AS (
+  SELECT 1000 AS level, rank, h, size FROM s
+  UNION ALL
+  SELECT level + 1, rank // 3, sha256(string_agg(h, '' ORDER BY rank)), (any_value(size) + 2) // 3
+  FROM u WHERE size > 1 GROUP BY level, rank // 3),
+runs AS (
+  SELECT tree, level, rank // 3 AS up, list(h ORDER BY rank) AS hs FROM t WHERE size > 1 GROUP BY ALL
+  UNION ALL SELECT -1, level, rank // 3, list(h ORDER BY rank) FROM u WHERE size > 1 GROUP BY ALL),
+steps AS (
+  SELECT l.tree, l.rank AS leaf_rank, r.level, r.hs, (l.rank // pow(3, r.level)::BIGINT) % 3 AS pos
+  FROM l JOIN runs r ON r.tree = l.tree AND r.up = l.rank // pow(3, r.level + 1)::BIGINT
+  UNION ALL
+  SELECT l.tree, l.rank, r.level, r.hs, (l.tree // pow(3, r.level - 1000)::BIGINT) % 3
+  FROM l JOIN runs r ON r.tree = -1 AND r.up = l.tree // pow(3, r.level - 999)::BIGINT),
+w AS (
+  SELECT tree, leaf_rank, list({'pre': array_to_string(hs[1:pos], ''), 'post': array_to_string(hs[pos + 2:len(hs)], '')} ORDER BY level) AS way
+  FROM steps GROUP BY ALL),
+v AS (
+  SELECT l.*, s.h AS subroot, (SELECT h FROM u WHERE size = 1) AS root, coalesce(way, []) AS way
+  FROM l JOIN s ON s.rank = l.tree LEFT JOIN w ON w.tree = l.tree AND w.leaf_rank = l.rank),
+x AS (
+  SELECT *, list_reduce(list_prepend({'pre': other, 'post': ''}, way), lambda h, x: {'pre': sha256(x.pre || h.pre || x.post), 'post': ''}).pre AS folded_root
+  FROM v)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(way, lambda x: x.pre || x.post), '')) AS proof_sha256,
+       folded_root, folded_root = root AS verified
+FROM x
+"""
+
+ORACLES: dict[str, str] = {"op13_bitmap_rank_manifest": _MANIFEST, "op12_strassen_negatives": _NEGATIVES, "op4_preference_formatting": _PREFERENCES}
