@@ -16,6 +16,7 @@ that is run again leaves no double.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratiform.llm.store import stored
-from stratiform.llm.words import WINDOW, worker_memory
+from stratiform.llm.words import BY_SPACE, WINDOW, mix, words_of, worker_memory
 from stratiform.session import shared_folder
 
 MAGIC = b"\x89idbits\n"
@@ -39,13 +40,15 @@ HEAD, TAIL = "<8sIII", "<QQQQ8s"
 @dataclass(frozen=True)
 class BitRules:
     """tokenizer: file of a byte-level BPE, None for the public one's place. end: id after each text. block: ids in a block, a
-    multiple of 8. file_ids: ids after which a file is closed. part_ids: ids that one task reads back at a time."""
+    multiple of 8. file_ids: ids after which a file is closed. part_ids: ids that one task reads back at a time. cache: segments whose
+    ids a worker remembers."""
 
     tokenizer: str | None = None
     end: int = 0
     block: int = 4096
     file_ids: int = 1 << 26
     part_ids: int = 1 << 23
+    cache: int = 2_000_000
 
 
 def bits_for(vocabulary: int) -> int:
@@ -201,15 +204,98 @@ def pieces(text: str, size: int = WINDOW) -> Iterator[str]:
     yield text[at:]
 
 
-def _tokenizer(path: str | None):
-    from tokenizers import Tokenizer
-
-    if path is None:
-        import public_tokenizers
-
-        path = public_tokenizers.path("byte_bpe_50k.json")
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    return worker_memory(f"bits:{path}", lambda: Tokenizer.from_file(path))
+class SegmentIds:
+    """Ids of texts by their segments: white space and the word after it, which a byte-level BPE never joins with what is beside them.
+    Each distinct segment is encoded once by a worker and then found by its hash; after ``limit`` of them it starts anew."""
+
+    def __init__(self, path: str | None, limit: int) -> None:
+        from tokenizers import Tokenizer
+
+        if path is None:
+            import public_tokenizers
+
+            path = public_tokenizers.path("byte_bpe_50k.json")
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        self.model, self.limit = Tokenizer.from_file(path), limit
+        marks = [(k, t.content) for k, t in self.model.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip or t.single_word)]
+        self.mark = marks[0] if marks else None  # parts segments, so that one call encodes many
+        self.clear()
+
+    def clear(self) -> None:
+        self.key, self.at, self.n, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def plain(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, np.uint32) for x in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, key: np.ndarray, texts: list[str]) -> None:
+        made: list[np.ndarray] = []
+        if self.mark is None or any(self.mark[1] in t for t in texts):
+            made = self.plain(texts)
+        else:
+            for at in range(0, len(texts), 256):
+                ids = self.plain([self.mark[1].join(texts[at : at + 256])])[0]
+                cuts = np.flatnonzero(ids == self.mark[0])
+                made += [ids[a:b] for a, b in zip([0, *(cuts + 1)], [*cuts, len(ids)], strict=True)]
+        n = np.fromiter(map(len, made), np.int64, len(made))
+        at = len(self.ids) + np.cumsum(n) - n
+        self.ids = np.concatenate([self.ids, *made])
+        keys = np.concatenate([self.key, key])
+        order = np.argsort(keys, kind="stable")
+        self.key, self.at, self.n = keys[order], np.concatenate([self.at, at])[order], np.concatenate([self.n, n])[order]
+
+    def find(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        spot = np.searchsorted(self.key, key).clip(max=max(len(self.key) - 1, 0))
+        return spot, (self.key[spot] == key) if len(self.key) else np.zeros(len(key), bool)
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text, equal to those of encoding it as a whole."""
+        runs = words_of(texts, lower=False, classes=_RUNS)
+        data, offsets = runs.data, runs.offsets
+        if not len(runs):
+            return [np.zeros(0, np.uint32)] * len(texts)
+        space = _RUNS[data[runs.start]] == 2
+        joined = np.zeros(len(runs), bool)  # a word that belongs to the white space before it
+        joined[1:] = space[:-1] & ~space[1:] & (runs.row[1:] == runs.row[:-1])
+        first = np.flatnonzero(~joined)
+        last = np.append(first[1:], len(runs)) - 1
+        key = runs.hash[first].copy()
+        pair = last > first
+        key[pair] = mix(key[pair] * np.uint64(0xC2B2AE3D27D4EB4F) + runs.hash[last[pair]])
+        start, stop = runs.start[first], runs.end[last]
+        distinct, example, which = np.unique(key, return_index=True, return_inverse=True)
+        if len(self.key) + len(distinct) > self.limit:
+            self.clear()
+        new = ~self.find(distinct)[1]
+        if new.any():
+            told = data.tobytes()
+            self.learn(distinct[new], [told[start[k] : stop[k]].decode() for k in example[new].tolist()])
+        spot = self.find(distinct)[0][which]
+        n = self.n[spot]
+        ends = np.cumsum(n)
+        ids = self.ids[np.repeat(self.at[spot] - ends + n, n) + np.arange(ends[-1])]
+        bounds = np.concatenate([[0], ends])[np.searchsorted(start, offsets)]
+        out = [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        odd = _other_spaces(data, offsets)
+        for k, whole in zip(odd.tolist(), self.plain([texts[k].as_py() for k in odd.tolist()]), strict=True):
+            out[k] = whole
+        return out
+
+
+_RUNS = np.where(BY_SPACE, 1, 2).astype(np.uint8)
+# White space beyond ASCII, and control signs that some count as such. Texts that hold any are encoded as a whole.
+_OTHER_SPACE = re.compile(
+    "[\x1c-\x1f]|\x85|\xa0|\u1680|[\u2000-\u200a]|\u2028|\u2029|\u202f|\u205f|\u3000".encode().replace(b"[\xe2\x80\x80-\xe2\x80\x8a]", b"\xe2\x80[\x80-\x8a]")
+)
+
+
+def _other_spaces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Numbers of the texts that hold white space beyond ASCII."""
+    at = np.fromiter((m.start() for m in _OTHER_SPACE.finditer(data.tobytes())), np.int64)
+    return np.unique(np.searchsorted(offsets, at, "right") - 1)
+
+
+def _segments(rules: "BitRules") -> SegmentIds:
+    return worker_memory(f"bits:{rules.tokenizer}", lambda: SegmentIds(rules.tokenizer, rules.cache))
 
 
 def write_token_files(docs: DataFrame, folder: str, rules: BitRules = BitRules()) -> DataFrame:
@@ -226,8 +312,8 @@ def write_token_files(docs: DataFrame, folder: str, rules: BitRules = BitRules()
     dealt = told.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _tokenizer(rules.tokenizer)
-        width = bits_for(max(model.get_vocab_size(with_added_tokens=True), rules.end + 1))
+        model = _segments(rules)
+        width = bits_for(max(model.model.get_vocab_size(with_added_tokens=True), rules.end + 1))
         part, out, name, made = TaskContext.get().partitionId(), None, "", []
         end = np.array([rules.end], np.uint32)
 
@@ -259,29 +345,25 @@ def write_token_files(docs: DataFrame, folder: str, rules: BitRules = BitRules()
     return files.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 
 
-def _encoded(model, texts: Iterator[str]) -> Iterator[tuple[np.ndarray, int | None]]:
+def _encoded(model: SegmentIds, texts: Iterator[str]) -> Iterator[tuple[np.ndarray, int | None]]:
     """Ids of pieces of texts in order; with a text's last piece comes the text's number. Calls hold about WINDOW characters."""
     held: list[str] = []
     ends: list[int | None] = []
     size = 0
-
-    def flush() -> Iterator[tuple[np.ndarray, int | None]]:
-        for made, last in zip(model.encode_batch_fast(held, add_special_tokens=False), ends, strict=True):
-            yield np.array(made.ids, np.uint32), last
-
     for k, text in enumerate(texts):
         for piece in pieces(text):
             held.append(piece)
             ends.append(None)
             size += len(piece)
-            if size >= WINDOW // 2:
-                yield from flush()
+            if size >= WINDOW:
+                yield from zip(model.encode(pa.array(held, pa.large_string())), ends, strict=True)
                 held, ends, size = [], [], 0
         if held:
             ends[-1] = k
         else:  # the text's last piece has gone out already
             yield np.zeros(0, np.uint32), k
-    yield from flush()
+    if held:
+        yield from zip(model.encode(pa.array(held, pa.large_string())), ends, strict=True)
 
 
 def read_token_files(files: DataFrame, rules: BitRules = BitRules()) -> DataFrame:
