@@ -371,7 +371,8 @@ def read_token_files(files: DataFrame, rules: BitRules = BitRules()) -> DataFram
     unsigned 32-bit numbers), file, place (its number in the file). A file is read in spans by several tasks."""
     last = F.floor(F.greatest(F.col("n_ids") - 1, F.lit(0)) / rules.part_ids)
     spans = files.select("*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("span"))
-    dealt = spans.select("file", "start", "span").repartition("file", "span")
+    tasks = files.agg(F.sum(last + 1)).first()[0] or 1
+    dealt = spans.select("file", "start", "span").repartition(min(tasks, 20_000), "file", "span")  # by number, as so small rows would be joined in one task
     step = rules.part_ids
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
