@@ -702,11 +702,19 @@ FINALS: dict[str, str] = {
     "land_csv_blocks": """
         SELECT CAST(p_partkey AS VARCHAR) AS id, 'a "' || p_type || '", or b' AS title,
                CASE WHEN p_size % 3 <> 0 THEN CAST(p_size AS VARCHAR) END AS budget, CAST(NULL AS VARCHAR) AS revenue FROM part""",
+    "land_csv_parallel": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS id,
+               CASE WHEN o_orderkey % 3 = 0 THEN 'he said "no"' || chr(10) || '5,6,' || o_orderpriority ELSE 'x,' || o_custkey END AS title,
+               o_orderstatus AS budget FROM orders""",
     "land_enrichment": "SELECT * FROM enrichment",
     "land_json_arrays": """
         SELECT CAST(c_custkey AS VARCHAR) AS movie_id, CASE WHEN c_custkey % 4 <> 0 THEN CAST(c_nationkey AS VARCHAR) END AS avg_rating,
                CASE WHEN c_custkey % 4 <> 0 THEN '7' END AS total_ratings, CAST(NULL AS VARCHAR) AS stg_dev, 't' AS loaded_at
         FROM customer""",
+    "land_json_parallel": """
+        SELECT CAST(c_custkey AS VARCHAR) AS movie_id, CASE WHEN c_custkey % 4 <> 0 THEN CAST(c_nationkey AS VARCHAR) END AS avg_rating,
+               CASE WHEN c_custkey % 4 <> 0 THEN '7' END AS total_ratings, CAST(NULL AS VARCHAR) AS stg_dev, 't' AS loaded_at
+        FROM customer""",
     "land_json": f"""
         SELECT CAST(event_id AS VARCHAR) AS movie_id,
                CASE WHEN event_type <> 'error' THEN {money("value")} END AS avg_rating,

@@ -90,6 +90,16 @@ def land_csv_blocks(spark: SparkSession, sf: str) -> DataFrame:
     return land_csv(spark, path, ["id", "title", "budget", "revenue"])
 
 
+def land_csv_parallel(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells with line breaks, also such that both halves have as many cells as the table."""
+    key = F.col("o_orderkey")
+    note = F.when(key % 3 == 0, F.concat(F.lit('he said "no"'), F.lit("\n5,6,"), F.col("o_orderpriority"))).otherwise(F.concat(F.lit("x,"), F.col("o_custkey")))
+    path = shared_folder(spark)
+    cells = src.table(spark, sf, "orders").select(key.alias("id"), F.col("o_orderstatus").alias("budget"), note.alias("title"))
+    cells.write.options(header=True, quoteAll=True, escape='"').csv(path)
+    return land_csv(spark, path, ["id", "title", "budget"], breaks=True)
+
+
 def land_enrichment(spark: SparkSession, sf: str) -> DataFrame:
     """The enrichment source as a file of more columns than are read, in another order."""
     path = shared_folder(spark)
@@ -112,16 +122,27 @@ def land_json_files(spark: SparkSession, sf: str) -> DataFrame:
     return land_json(spark, path, loaded_at="2002-01-01T00:00:00+00:00")
 
 
-def land_json_arrays(spark: SparkSession, sf: str) -> DataFrame:
-    """Files of one array each, spread over lines; one file a market segment."""
+def array_files(spark: SparkSession, sf: str) -> str:
+    """Files of one array each, spread over lines; as many for a market segment as keep each array at about 10,000 documents."""
     path = shared_folder(spark)
     doc = F.struct(
         F.col("c_custkey").alias("movie_id"),
         F.when(F.col("c_custkey") % 4 != 0, F.struct(F.col("c_nationkey").alias("avg_rating"), F.lit("7").alias("total_ratings"))).alias("ratings_summary"),
     )
-    files = src.table(spark, sf, "customer").groupBy("c_mktsegment").agg(F.to_json(F.collect_list(doc)).alias("value"))
-    files.select(F.regexp_replace("value", r"\},\{", "},\n{").alias("value"), F.col("c_mktsegment").alias("part")).write.partitionBy("part").text(path)
-    return land_json(spark, f"{path}/part=*", multi_line=True, loaded_at="t")
+    customer = src.table(spark, sf, "customer")
+    bucket = F.pmod(F.xxhash64("c_custkey"), F.lit(customer.count() // 50_000 + 1)).alias("bucket")
+    files = customer.groupBy("c_mktsegment", bucket).agg(F.to_json(F.collect_list(doc)).alias("value"))
+    files.select(F.regexp_replace("value", r"\},\{", "},\n{").alias("value"), F.concat_ws("-", "c_mktsegment", "bucket").alias("part")).write.partitionBy("part").text(path)
+    return f"{path}/part=*"
+
+
+def land_json_arrays(spark: SparkSession, sf: str) -> DataFrame:
+    return land_json(spark, array_files(spark, sf), multi_line=True, loaded_at="t")
+
+
+def land_json_parallel(spark: SparkSession, sf: str) -> DataFrame:
+    """The same files in ranges."""
+    return land_json(spark, array_files(spark, sf), arrays=True, loaded_at="t")
 
 
 def nullify_text(spark: SparkSession, sf: str) -> DataFrame:
@@ -628,9 +649,11 @@ def declared_checks(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "land_csv": land_csv_files,
     "land_csv_blocks": land_csv_blocks,
+    "land_csv_parallel": land_csv_parallel,
     "land_enrichment": land_enrichment,
     "land_json": land_json_files,
     "land_json_arrays": land_json_arrays,
+    "land_json_parallel": land_json_parallel,
     "nullify_text": nullify_text,
     "blank_flags": blank_flags,
     "normalise_mixed_dates": normalise_dates,
