@@ -35,6 +35,19 @@ CUTS = "path string, block long, piece long, record string, edge int, first bool
 WHOLE, ENDS, BEGINS, MIDDLE = range(4)  # what a row of CUTS holds of its record
 
 
+#: State and depth before each piece, and after the last.
+Walk = tuple[np.ndarray, np.ndarray, int, int]
+
+
+def _bytes(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a text column one after the other, and where each text begins and the last ends."""
+    values = values.cast(pa.large_string())
+    _, offsets, data = values.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[values.offset : values.offset + len(values) + 1]
+    data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+    return data, offsets - offsets[0]
+
+
 class CsvPieces:
     """Lines. State 1: inside a quoted cell. A quote opens a cell only at its start; a doubled one is a quote of the text; what follows
     a closing quote up to the next delimiter is taken as it is."""
@@ -45,17 +58,33 @@ class CsvPieces:
     def __init__(self, delimiter: str = ",") -> None:
         self.delimiter = delimiter
 
-    def changing(self, values: pa.Array) -> np.ndarray:
-        """Places of pieces that can change the state."""
-        return np.flatnonzero(pc.match_substring(values, '"').to_numpy(zero_copy_only=False))
+    def walk(self, values: pa.Array, state: int, depth: int) -> Walk:
+        """Where quotes lie as the format has them, each one changes the state. Lines with others are gone through one by one."""
+        data, offsets = _bytes(values)
+        quote = np.flatnonzero(data == 34)
+        if not len(quote):
+            return np.full(len(values), state), np.full(len(values), depth), state, depth
+        inside = (state + np.arange(len(quote))) & 1 == 1
+        line = np.searchsorted(offsets, quote, "right") - 1
+        before, after = data[np.maximum(quote - 1, 0)], data[np.minimum(quote + 1, len(data) - 1)]
+        first, rest = quote == offsets[line], offsets[line + 1] - quote
+        opens = first | (before == ord(self.delimiter)) | (before == 34)
+        closes = (rest == 1) | (after == ord(self.delimiter)) | (after == 34) | ((after == 13) & (rest == 2))
+        if np.where(inside, closes, opens).all():
+            states = (state + np.searchsorted(quote, offsets)) & 1
+        else:
+            texts = values.to_pylist()
+            states = np.full(len(values) + 1, state)
+            at = 0
+            for k in np.unique(line).tolist():
+                states[at : k + 1] = state
+                state, at = self._end(texts[k], state), k + 1
+            states[at:] = state
+        return states[:-1], np.full(len(values), depth), int(states[-1]), depth
 
     def base(self, first: str) -> int:
         return 0
 
-    def table(self, line: str) -> tuple[tuple[int, int], tuple[int, int]]:
-        """For both states at the start: the state at the end, and how much deeper it is."""
-        return (self._end(line, 0), 0), (self._end(line, 1), 0)
-
     def _end(self, line: str, inside: int) -> int:
         at = 0
         while True:
@@ -92,26 +121,28 @@ class JsonPieces:
 
     separator = "}"
     closes = True
-    _escape = re.compile(r"\\.", re.DOTALL)
-    _other = re.compile(r"[^\[\]{}]+")
-
-    def changing(self, values: pa.Array) -> np.ndarray:
-        return np.arange(len(values))
+    def walk(self, values: pa.Array, state: int, depth: int) -> Walk:
+        data, offsets = _bytes(values)
+        quote = data == 34
+        slash = data == 92
+        if slash.any():  # a quote after an odd number of backslashes is of the text
+            edge = np.diff(np.concatenate([[0], slash.view(np.int8), [0]]))
+            begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+            hidden = end[((end - begin) & 1 == 1) & (end < len(data))]
+            quote[hidden[~np.isin(hidden, offsets)]] = False
+        turns = np.concatenate([[0], np.cumsum(quote)])
+        outside = (turns[:-1] + state) & 1 == 0
+        deeper = ((data == 123) | (data == 91)).astype(np.int64) - ((data == 125) | (data == 93))
+        deeper = np.concatenate([[0], np.cumsum(deeper * outside)])
+        states = (turns[offsets] + state) & 1
+        depths = depth + deeper[offsets]
+        depths[1:] -= np.cumsum(states[1:] == 0)  # the brace that ends each piece
+        return states[:-1], depths[:-1], int(states[-1]), int(depths[-1])
 
     def base(self, first: str) -> int:
         """Depth between records: 1 in an array, 0 among plain objects."""
         return int(first.lstrip("\ufeff \t\r\n").startswith("["))
 
-    def table(self, piece: str) -> tuple[tuple[int, int], tuple[int, int]]:
-        parts = self._escape.sub("", piece).split('"')
-        made = []
-        for state in (0, 1):
-            marks = self._other.sub("", "".join(parts[state::2]))
-            deeper = marks.count("{") + marks.count("[")
-            end = state ^ (len(parts) - 1) & 1
-            made.append((end, 2 * deeper - len(marks) - (end == 0)))
-        return made[0], made[1]
-
     def check(self, record: str) -> None:
         pass
 
@@ -130,7 +161,7 @@ def open_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Beginnings of lines (``value``) that end inside a quoted cell."""
     pieces = CsvPieces()
     for batch in batches:
-        found = [line[:200] for line in batch.column("value").to_pylist() if pieces.table(line)[0][0]]
+        found = [line[:200] for line in batch.column("value").to_pylist() if pieces._end(line, 0)]
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["value"])
 
 
@@ -162,12 +193,9 @@ def _summed(batches: Iterator[pa.RecordBatch], pieces: Pieces) -> Iterator[pa.Re
             held = key | {"pieces": 0, "bytes": 0, "size": part.column("size")[0].as_py(), "base": base, "end0": 0, "end1": 1, "depth0": 0, "depth1": 0}
         held["pieces"] += part.num_rows
         held["bytes"] += pc.sum(part.column("bytes")).as_py() + part.num_rows
-        for k in pieces.changing(values).tolist():
-            table = pieces.table(values[k].as_py())
-            for s in "01":
-                end, deeper = table[held["end" + s]]
-                held["end" + s] = end
-                held["depth" + s] += deeper
+        now = [(held["end0"], held["depth0"]), (held["end1"], held["depth1"])]
+        after = {x: pieces.walk(values, *x)[2:] for x in set(now)}  # often one: quoted cells end, whatever came before
+        (held["end0"], held["depth0"]), (held["end1"], held["depth1"]) = (after[x] for x in now)
     if held:
         yield pa.RecordBatch.from_pylist([held], schema=_arrow(RANGES))
 
@@ -216,37 +244,41 @@ class Range:
         return self.state == 0 and self.depth == self.base
 
     def feed(self, values: pa.Array) -> Iterator[pa.RecordBatch]:
-        n, at, starts = len(values), 0, np.zeros(len(values), bool)
-        for k in self.pieces.changing(values).tolist():
-            starts[at : k + 1] = self.between()
-            self.state, deeper = self.pieces.table(values[k].as_py())[self.state]
-            self.depth += deeper
-            at = k + 1
-        starts[at:] = self.between()
+        states, depths, self.state, self.depth = self.pieces.walk(values, self.state, self.depth)
+        starts = (states == 0) & (depths == self.base)
         if self.block == 0 and not self.seen:
             starts[0] = True
         begin = np.flatnonzero(starts)
-        end = np.append(begin[1:], n)
-        rows = []
-        self.open += values.slice(0, int(begin[0]) if len(begin) else n).to_pylist()
+        self.open += values.slice(0, int(begin[0]) if len(begin) else len(values)).to_pylist()
         if self.open and (len(begin) or self.between()):
-            rows.append(self.row(self.open, self.at, WHOLE if self.began else ENDS))
-            self.open = []
+            yield _batch([self.row(self.open, self.at, WHOLE if self.began else ENDS)])
+            self.open, self.began = [], True
         if len(begin):
+            bounds = np.append(begin, len(values))
             self.began = True
-            if not self.between():
-                self.open, self.at = values.slice(int(begin[-1])).to_pylist(), self.seen + int(begin[-1])
-                begin, end = begin[:-1], end[:-1]
-        elif self.between():
-            self.began = True
-        alone = (end - begin == 1) & (not self.fresh and not self.pieces.doubtful(values))
-        for a, b in zip(begin[~alone].tolist(), end[~alone].tolist(), strict=True):
-            rows.append(self.row(values.slice(a, b - a).to_pylist(), self.seen + a, WHOLE))
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _arrow(CUTS), strict=True)], schema=_arrow(CUTS))
-        if alone.any():
-            yield self.single(values.take(pa.array(begin[alone])).cast(pa.string()), self.seen + begin[alone])
-        self.seen += n
+            if not self.between():  # the last record goes on
+                bounds = bounds[:-1]
+                self.open, self.at = values.slice(int(bounds[-1])).to_pylist(), self.seen + int(bounds[-1])
+            if len(bounds) > 1:
+                yield self.whole(values, bounds)
+        self.seen += len(values)
+
+    def whole(self, values: pa.Array, bounds: np.ndarray) -> pa.RecordBatch:
+        """Records that lie between these places of the batch."""
+        texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), values.cast(pa.string())), self.pieces.separator)
+        if self.pieces.closes:
+            texts = pc.binary_join_element_wise(texts, self.pieces.separator, "")
+        if self.pieces.doubtful(texts):
+            for text in texts.to_pylist():
+                self.pieces.check(text)
+        n = len(texts)
+        first = np.zeros(n, bool)
+        for k in range(n if self.fresh else 0):
+            if texts[k].as_py().strip():
+                first[k], self.fresh = True, False
+                break
+        columns = [[self.path] * n, np.full(n, self.block), self.seen + bounds[:-1], texts, np.full(n, WHOLE), first, np.full(n, self.base)]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _arrow(CUTS), strict=True)], schema=_arrow(CUTS))
 
     def row(self, parts: list[str], piece: int, edge: int) -> tuple:
         text = self.pieces.separator.join(parts)
@@ -258,14 +290,6 @@ class Range:
         self.fresh = self.fresh and not first
         return self.path, self.block, piece, text, edge, first, self.base
 
-    def single(self, texts: pa.Array, at: np.ndarray) -> pa.RecordBatch:
-        """Records of one piece each."""
-        n = len(texts)
-        if self.pieces.closes:
-            texts = pc.binary_join_element_wise(texts, self.pieces.separator, "")
-        columns = [[self.path] * n, np.full(n, self.block), at, texts, np.full(n, WHOLE), np.zeros(n, bool), np.full(n, self.base)]
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _arrow(CUTS), strict=True)], schema=_arrow(CUTS))
-
     def close(self) -> Iterator[pa.RecordBatch]:
         """What the range leaves open. After a file's last record there may only be its end."""
         if self.seen != self.told["pieces"]:
@@ -275,8 +299,11 @@ class Range:
         if self.told["last"] and self.pieces.closes:
             self.pieces.check_end(self.pieces.separator.join(self.open))
             return
-        row = self.row(self.open, self.at, BEGINS if self.began else MIDDLE)
-        yield pa.RecordBatch.from_pylist([dict(zip(_arrow(CUTS).names, row, strict=True))], schema=_arrow(CUTS))
+        yield _batch([self.row(self.open, self.at, BEGINS if self.began else MIDDLE)])
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _arrow(CUTS), strict=True)], schema=_arrow(CUTS))
 
 
 def _cut(batches: Iterator[pa.RecordBatch], pieces: Pieces) -> Iterator[pa.RecordBatch]:
