@@ -17,8 +17,8 @@ from stratiform.operators.metrics import group_year_metrics, year_over_year
 from stratiform.operators.scorecard import ScoreRules, scorecard, trend_bands
 from stratiform.plans.bridge import base_join, company_bridge
 from stratiform.plans.staging import Staged, prepare_enrichment, stage_core, stage_extended, stage_ratings
+from stratiform.plans.tasklog import Writer
 from stratiform.plans.typed import ratings_on_one_scale, scored_ratings, typed_core, typed_extended, typed_ratings
-from stratiform.sources.tables import write_folder
 
 FIRST = "is_first_listing"
 
@@ -39,11 +39,15 @@ class Inputs:
 
 @dataclass(frozen=True)
 class Settings:
+    """``buckets``: of every typed table, by entity key, so that they join without a shuffle; None: as many as the session's shuffle
+    partitions when they are written."""
+
     loaded_at: dt.datetime
     today: dt.date
     min_votes: int = 20
     metric_years: tuple[int, int] = (1990, 2024)
     rules: ScoreRules = field(default_factory=ScoreRules)
+    buckets: int | None = None
 
 
 def staged_table(
@@ -198,8 +202,9 @@ class ChecksFailed(RuntimeError):
     """A layer broke its declared tests; later layers were not built."""
 
 
-def _test_layer(layer: str, tables: Mapping[str, DataFrame], folder: str) -> DataFrame:
-    result = write_folder(run_checks(tables, DECLARED[layer]), f"{folder}/checks/{layer}")
+def _test_layer(layer: str, tables: Mapping[str, DataFrame], to: Writer) -> DataFrame:
+    spark = next(iter(tables.values())).sparkSession
+    result = to.table(spark, "checks", layer, lambda: run_checks(tables, DECLARED[layer]))
     # One row per declared test, so the driver reads a list as long as the declarations.
     broken = result.filter("violations > 0").collect()
     if broken:
@@ -216,36 +221,39 @@ class Built:
     checks: DataFrame
 
 
-def write_typed(inputs: Inputs, settings: Settings, folder: str) -> tuple[dict[str, DataFrame], Models]:
-    """Write the staged and typed tables below ``folder``.
+def write_typed(inputs: Inputs, settings: Settings, to: Writer) -> tuple[dict[str, DataFrame], Models]:
+    """Write the staged and typed tables.
 
     The enrichment source is prepared and written once for all three; ratings take their ids from the staged core table; and
-    the statistics of the rating column are read from its written one-scale form.
+    the statistics of the rating column are read from its written one-scale form. Typed tables lie in the same buckets of the entity.
     """
-    extra = write_folder(prepare_enrichment(inputs.enrichment, inputs.enrichment_order), f"{folder}/staged/enrichment")
+    spark = inputs.core.sparkSession
+    extra = to.table(spark, "staged", "enrichment", lambda: prepare_enrichment(inputs.enrichment, inputs.enrichment_order))
     staged: dict[str, DataFrame] = {}
     for name in STAGED:
-        step = staged_table(name, inputs, settings, extra, staged.get("movies_main"))
-        staged[name] = step.over(write_folder(step.wide, f"{folder}/staged/{name}")).rows
-    one_scale = write_folder(ratings_on_one_scale(staged["ratings"]), f"{folder}/staged/ratings_on_one_scale")
+        staged[name] = to.staged(staged_table(name, inputs, settings, extra, staged.get("movies_main")), name)
+    one_scale = to.table(spark, "staged", "ratings_on_one_scale", lambda: ratings_on_one_scale(staged["ratings"]))
     made = {**typed_tables({n: staged[n] for n in STAGED[:2]}), "stg_ratings": scored_ratings(one_scale)}
-    typed = {n: write_folder(df, f"{folder}/staging/{n}") for n, df in made.items()}
+    buckets = settings.buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    typed = {n: to.table(spark, "staging", n, lambda df=df: df, (buckets, ["movie_id"])) for n, df in made.items()}
     return staged, Models(inputs, settings, typed)
 
 
-def build_layers(inputs: Inputs, settings: Settings, folder: str) -> Built:
+def build_layers(inputs: Inputs, settings: Settings, folder: str, log: str | None = None, run_id: str = "") -> Built:
     """Write staged, typed, intermediate and mart tables below ``folder``, and test each layer before the next is built.
 
     Each table is read back from where it was written, so later layers do not repeat the work of earlier ones and a lost
-    executor costs no more than the table at hand. The two reports stay views, as nothing reads them but queries.
+    executor costs no more than the table at hand; and each is published whole or not at all. The two reports stay views, as nothing
+    reads them but queries. With a ``log``, every table and test is recorded there under ``run_id``.
     """
-    staged, models = write_typed(inputs, settings, folder)
-    tested = [_test_layer("staging", models, folder)]
-    models.put("bridge", write_folder(models._get("bridge"), f"{folder}/intermediate/int_movie_company_bridge"))
+    spark, to = inputs.core.sparkSession, Writer(folder, log, run_id)
+    staged, models = write_typed(inputs, settings, to)
+    tested = [_test_layer("staging", models, to)]
+    models.put("bridge", to.table(spark, "intermediate", "int_movie_company_bridge", lambda: models._get("bridge")))
     layers = {"intermediate": ["int_company_year_metrics"], "marts": [n for n in MODELS if n.startswith(("dim_", "fct_"))]}
     for layer, names in layers.items():
         for name in names:
-            models.put(name, write_folder(models[name], f"{folder}/{layer}/{name}"))
-        tested.append(_test_layer(layer, models, folder))
-    tested.append(_test_layer("analytics", models, folder))
+            models.put(name, to.table(spark, layer, name, lambda name=name: models[name]))
+        tested.append(_test_layer(layer, models, to))
+    tested.append(_test_layer("analytics", models, to))
     return Built(staged, models, reduce(DataFrame.unionByName, tested))

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stratiform.functions.dates import wall_clock
 from stratiform.plans.staging import Staged
-from stratiform.sources.tables import write_folder
+from stratiform.sources.tables import read_folder, write_folder
 
 # The columns of the log and their types.
 LOG_TYPES = {
@@ -19,11 +19,13 @@ LOG_TYPES = {
     "error_message": "string", "started_at": "timestamp_ntz", "finished_at": "timestamp_ntz", "duration_seconds": "int",
 }
 LOG_COLUMNS = tuple(LOG_TYPES)
+Buckets = tuple[int, Sequence[str]] | None
 
 
 @dataclass(frozen=True)
 class Task:
-    """A step of a run, and the log it is recorded in; ``started`` is in UTC."""
+    """A step of a run, and the log it is recorded in; ``started`` is in UTC. A step recorded again with the same outcome and attempt
+    replaces its row, so a repeated append leaves one."""
 
     log: str
     run_id: str
@@ -33,6 +35,7 @@ class Task:
     started: dt.datetime
     source_relation: str | None = None
     source_file: str | None = None
+    attempt: int = 1
 
     def _record(self, rows: DataFrame, status: str, **values: Column) -> None:
         """Append the one row of ``rows``; columns not given are NULL."""
@@ -45,20 +48,23 @@ class Task:
             "duration_seconds": F.lit(round((finished - self.started).total_seconds())),
         }
         cells = {**known, **values}
-        write_folder(rows.select(*[cells.get(n, F.lit(None)).cast(t).alias(n) for n, t in LOG_TYPES.items()]), self.log, append=True)
+        row = rows.select(*[cells.get(n, F.lit(None)).cast(t).alias(n) for n, t in LOG_TYPES.items()])
+        write_folder(row.coalesce(1), self.log, append=True, key="/".join([self.run_id, self.stage, self.name, str(self.attempt), status]))
 
     def skip(self, spark: SparkSession, reason: str) -> None:
         """Record that the step was not tried."""
         self._record(spark.range(1), "skipped", error_message=F.lit(reason))
 
-    def run(self, spark: SparkSession, work: Callable[[], DataFrame], counts: Callable[[DataFrame], DataFrame], folder: str) -> DataFrame:
+    def run(
+        self, spark: SparkSession, work: Callable[[], DataFrame], counts: Callable[[DataFrame], DataFrame], folder: str, bucket_by: Buckets = None
+    ) -> DataFrame:
         """Make a table, write it to ``folder``, and record its counts; a step that raises is recorded as failed and raises on.
 
         The counts are taken from the written table and not from accumulators on the way, which count a task again when a lost
         executor makes Spark repeat it.
         """
         try:
-            written = write_folder(work(), folder)
+            written = write_folder(work(), folder, bucket_by=bucket_by)
             row = counts(written)
         except Exception as error:
             self._record(spark.range(1), "failed", error_message=F.lit(str(error)))
@@ -67,6 +73,29 @@ class Task:
         return written
 
 
+@dataclass(frozen=True)
+class Writer:
+    """Writes tables below ``folder``, one subfolder a layer, and records each in the log if there is one."""
+
+    folder: str
+    log: str | None = None
+    run_id: str = ""
+
+    def task(self, layer: str, name: str) -> Task:
+        return Task(self.log, self.run_id, layer, f"build_{name}", f"{layer}.{name}", dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
+
+    def table(self, spark: SparkSession, layer: str, name: str, work: Callable[[], DataFrame], bucket_by: Buckets = None) -> DataFrame:
+        path = f"{self.folder}/{layer}/{name}"
+        if self.log is None:
+            return write_folder(work(), path, bucket_by=bucket_by)
+        return self.task(layer, name).run(spark, work, lambda df: df.agg(F.count(F.lit(1)).alias("rows_out")), path, bucket_by)
+
+    def staged(self, step: Staged, name: str) -> DataFrame:
+        if self.log is None:
+            return step.over(write_folder(step.wide, f"{self.folder}/staged/{name}")).rows
+        return log_staged(step, self.run_id, name, f"{self.folder}/staged", self.log, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
+
+
 def _clock(at: dt.datetime) -> Column:
     return wall_clock(F.lit(at.isoformat() + "+00:00"))
 
@@ -103,4 +132,4 @@ def log_landed(
 
 
 def read_log(spark: SparkSession, log: str) -> DataFrame:
-    return spark.read.parquet(log).select(*LOG_COLUMNS)
+    return read_folder(spark, log).select(*LOG_COLUMNS)

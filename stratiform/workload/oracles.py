@@ -776,6 +776,10 @@ FINALS: dict[str, str] = {
     "zscore_ratings": f"""
         SELECT o_orderkey, {real("r9", 9)} AS rating_10, round((r9 / 1000000000.0 - mean) / nullif(dev, 0), 6) AS rating_zscore
         FROM ratings_10, (SELECT avg(r9 / 1000000000.0) AS mean, stddev_samp(r9 / 1000000000.0) AS dev FROM ratings_10)""",
+    "typed_layers": """
+        SELECT 'stg_movies_main' AS table_name, count(*) AS n_rows FROM typed_core
+        UNION ALL SELECT 'stg_movie_extended', count(*) FROM typed_extended
+        UNION ALL SELECT 'stg_ratings', count(*) FROM typed_ratings""",
     "typed_core": f"""
         SELECT movie_id, title, CAST(release_date AS VARCHAR) AS release_date, {BRIDGE_MONEY}, {stamp("loaded_at")} AS loaded_at
         FROM typed_core""",

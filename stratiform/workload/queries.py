@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from stratiform.functions.dates import normalise_mixed_date, parse_routed_date
@@ -23,11 +25,11 @@ from stratiform.functions.measures import weighted_mean
 from stratiform.plans import layers
 from stratiform.plans.bridge import base_join, company_bridge, repair_amounts as repair
 from stratiform.plans.staging import CORE_SIGNALS, ENRICHMENT_COLUMNS, Staged, prepare_enrichment
-from stratiform.plans.tasklog import Task, log_landed, log_staged, read_log
+from stratiform.plans.tasklog import Task, Writer, log_landed, log_staged, read_log
 from stratiform.plans.typed import typing_losses
 from stratiform.session import shared_folder
 from stratiform.sources.landing import land_csv, land_json
-from stratiform.sources.tables import write_folder
+from stratiform.sources.tables import read_folder, write_folder
 from stratiform.workload import inputs as src
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -241,9 +243,46 @@ def _staged(spark: SparkSession, sf: str) -> dict[str, Staged]:
     return layers.staged_tables(src.layered_inputs(spark, sf), src.SETTINGS)
 
 
-def _typed(spark: SparkSession, sf: str, *names: str) -> dict[str, DataFrame]:
-    steps = layers.staged_tables(src.layered_inputs(spark, sf), src.SETTINGS, names or layers.STAGED)
-    return layers.typed_tables({n: s.rows for n, s in steps.items()})
+def _typed(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A typed table planned from the raw ones."""
+    steps = layers.staged_tables(src.layered_inputs(spark, sf), src.SETTINGS, [name])
+    return layers.typed_tables({n: s.rows for n, s in steps.items()})[f"stg_{name}"]
+
+
+def _write_typed(spark: SparkSession, sf: str) -> str:
+    folder = shared_folder(spark)
+    layers.write_typed(src.layered_inputs(spark, sf), src.SETTINGS, Writer(folder))
+    return folder
+
+
+# Where a session has written the typed tables of a data folder.
+_WRITTEN: dict[tuple[str, str], str] = {}
+
+
+def _stored(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The typed tables as a build writes them, in buckets. The first query of a session that needs them writes them; they are written
+    again if they are gone."""
+    at = (spark.sparkContext.applicationId, sf)
+    read = lambda: {n: read_folder(spark, f"{_WRITTEN[at]}/staging/{n}") for n in layers.MODELS[:3]}
+    if at in _WRITTEN:
+        try:
+            return read()
+        except AnalysisException:
+            pass
+    _WRITTEN[at] = _write_typed(spark, sf)
+    return read()
+
+
+def _models(spark: SparkSession, sf: str) -> layers.Models:
+    """Models over the stored typed tables."""
+    return layers.Models(src.layered_inputs(spark, sf), src.SETTINGS, _stored(spark, sf))
+
+
+def typed_layers(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the typed tables, all three written anew from the raw ones."""
+    folder = _write_typed(spark, sf)
+    counts = [read_folder(spark, f"{folder}/staging/{n}").agg(F.lit(n).alias("table_name"), F.count("*").alias("n_rows")) for n in layers.MODELS[:3]]
+    return reduce(DataFrame.unionByName, counts)
 
 
 def staged_core(spark: SparkSession, sf: str) -> DataFrame:
@@ -272,7 +311,7 @@ def staged_ratings_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 def typed_table(name: str) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        return tidy(_typed(spark, sf, name)[f"stg_{name}"])
+        return tidy(_typed(spark, sf, name))
 
     return query
 
@@ -282,17 +321,17 @@ def first_enrichment(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def model(name: str) -> Query:
-    """One model of the whole chain, from raw tables on."""
+    """One model of the whole chain, over the typed tables as written."""
 
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        return tidy(layers.Models(src.layered_inputs(spark, sf), src.SETTINGS)[name])
+        return tidy(_models(spark, sf)[name])
 
     return query
 
 
 def company_scorecard(spark: SparkSession, sf: str) -> DataFrame:
     """The scorecard of the whole chain, over the fact table as written."""
-    models = layers.Models(src.layered_inputs(spark, sf), src.SETTINGS)
+    models = _models(spark, sf)
     fact = "fct_company_year_performance"
     models.put(fact, write_folder(models[fact], f"{shared_folder(spark)}/{fact}"))
     return tidy(models["vw_high_value_studio_performance"])
@@ -302,7 +341,7 @@ def company_scorecard(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def joined_base(spark: SparkSession, sf: str) -> DataFrame:
-    typed = _typed(spark, sf)
+    typed = _stored(spark, sf)
     return tidy(base_join(typed["stg_movies_main"], typed["stg_movie_extended"], typed["stg_ratings"]))
 
 
@@ -357,7 +396,7 @@ def date_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def entity_dimension(spark: SparkSession, sf: str) -> DataFrame:
-    typed = _typed(spark, sf, "movies_main", "movie_extended")
+    typed = _stored(spark, sf)
     return tidy(attribute_dimension(typed["stg_movies_main"], typed["stg_movie_extended"]))
 
 
@@ -366,7 +405,7 @@ def names_dimension(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ratings_fact(spark: SparkSession, sf: str) -> DataFrame:
-    typed = _typed(spark, sf)
+    typed = _stored(spark, sf)
     movies = attribute_dimension(typed["stg_movies_main"], typed["stg_movie_extended"])
     return tidy(rating_fact(typed["stg_ratings"], movies), GAPPY | {"release_year"})
 
@@ -462,7 +501,7 @@ def _quality(spark: SparkSession, sf: str) -> DataFrame:
 def _written(spark: SparkSession, sf: str) -> tuple[layers.Inputs, dict[str, DataFrame], layers.Models]:
     """Staged and typed tables as written, for reports that read several of them."""
     raw = src.layered_inputs(spark, sf)
-    return raw, *layers.write_typed(raw, src.SETTINGS, shared_folder(spark))
+    return raw, *layers.write_typed(raw, src.SETTINGS, Writer(shared_folder(spark)))
 
 
 def _layer_rows(raw: layers.Inputs, staged: dict[str, DataFrame], models: layers.Models) -> DataFrame:
@@ -485,7 +524,7 @@ def _impact(models) -> DataFrame:
 
 
 def filter_impact(spark: SparkSession, sf: str) -> DataFrame:
-    return _impact(_typed(spark, sf, "movies_main", "movie_extended"))
+    return _impact(_stored(spark, sf))
 
 
 def audit_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -499,7 +538,7 @@ def audit_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def correction_audit(spark: SparkSession, sf: str) -> DataFrame:
-    bridge = layers.bridge_table(_typed(spark, sf))
+    bridge = layers.bridge_table(_stored(spark, sf))
     return tidy(audit.correction_audit(bridge))
 
 
@@ -522,7 +561,7 @@ def top_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def genre_performance(spark: SparkSession, sf: str) -> DataFrame:
-    typed = _typed(spark, sf)
+    typed = _stored(spark, sf)
     rated = typed["stg_ratings"].select("movie_id", "avg_rating")
     rows = (
         typed["stg_movies_main"].select("movie_id", "revenue_amount")
@@ -676,6 +715,7 @@ QUERIES: dict[str, Query] = {
     "harmonise_ratings": harmonise_ratings,
     "minmax_ratings": minmax_ratings,
     "zscore_ratings": zscore_ratings,
+    "typed_layers": typed_layers,
     "typed_core": typed_table("movies_main"),
     "typed_extended": typed_table("movie_extended"),
     "typed_ratings": typed_table("ratings"),

@@ -3,11 +3,13 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from stratiform.sources.landing import land_csv, land_json
 from stratiform.plans.tasklog import log_landed, read_log
 from stratiform.session import cluster_settings
-from stratiform.sources.tables import register_views, write_folder, write_table
+from stratiform.sources import tables
+from stratiform.sources.tables import read_folder, register_views, write_folder, write_table
 from stratiform.operators.dedup import collapse_duplicates
 
 AT = dt.datetime(2024, 1, 1)
@@ -53,6 +55,57 @@ def test_append_and_overwrite(spark, tmp_path):
     assert write_folder(df, path).count() == 3
 
 
+def test_a_write_that_fails_halfway_leaves_the_old_version(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_folder(spark.range(100), path)
+    broken = spark.range(100, numPartitions=4).select(F.when(F.col("id") == 90, F.raise_error(F.lit("stop"))).otherwise(F.col("id")).alias("id"))
+    for append in (False, True):
+        with pytest.raises(Exception, match="stop"):
+            write_folder(broken, path, append=append)
+        assert read_folder(spark, path).count() == 100
+
+
+def test_readers_keep_the_version_they_began_with(spark, tmp_path):
+    path = str(tmp_path / "t")
+    old = write_folder(spark.range(5), path)
+    assert write_folder(old.unionAll(old), path).count() == 10 and old.count() == 5
+    write_folder(spark.range(1), path)
+    assert read_folder(spark, path).count() == 1 and len(list((tmp_path / "t").glob("data-*"))) == 2
+
+
+def test_an_append_with_a_key_replaces_itself(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for key, n in (("a", 3), ("b", 4), ("a", 1)):
+        write_folder(spark.range(n), path, append=True, key=key)
+    assert read_folder(spark, path).count() == 5
+
+
+def test_a_second_writer_adds_to_the_first(spark, tmp_path, monkeypatch):
+    path, taken = str(tmp_path / "t"), []
+    create = tables._Files.create_whole
+
+    def late(self, name, text):
+        if not taken:
+            taken.append(name)
+            write_folder(spark.range(2), path, append=True)  # another writer comes first
+        return create(self, name, text)
+
+    monkeypatch.setattr(tables._Files, "create_whole", late)
+    assert write_folder(spark.range(3), path, append=True).count() == 5
+
+
+def test_partitions_and_buckets_are_published(spark, tmp_path):
+    rows = spark.range(20).select("id", (F.col("id") % 3).alias("p"))
+    path = str(tmp_path / "p")
+    write_folder(rows, path, partition_by=["p"])
+    assert write_folder(rows, path, append=True, partition_by=["p"]).where("p = 1").count() == 14
+    made = write_folder(rows, str(tmp_path / "b"), bucket_by=(4, ["id"]))
+    assert sorted(made.collect()) == sorted(rows.collect())
+    assert sorted(read_folder(spark, str(tmp_path / "b")).collect()) == sorted(rows.collect())
+    with pytest.raises(ValueError):
+        write_folder(rows, path, append=True, bucket_by=(4, ["id"]))
+
+
 def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
