@@ -4,9 +4,10 @@ The model is a smoothed bigram model in backoff form. A state stands for the las
 for each word seen after it, with its probability, and a failure arc to the root with the weight left over; the root has an arc for
 every word of the corpus and one for unknown words. Reading a text from left to right carries the state and adds up the logarithms.
 
-States and arcs grow with the corpus, so the automaton is never in one place. Texts are scored in blocks of rows: each block asks for
-the words, states and arcs that its own texts can take, and only those come back to it. Arcs that no other block has counted do not
-move: the block counts them again.
+States and arcs grow with the corpus, so the automaton is never in one place. Texts are scored in blocks of some MB. Each block sends
+one packed list of its arcs to every range of states: the states in order, and for each its arcs, about 6 bytes an arc. A range adds up
+the lists of all blocks and answers each block with the counts of its states, and with those of its arcs that other blocks have
+counted too, by their place in the list. The block then counts its own texts again and reads them with the model's true counts.
 """
 
 from __future__ import annotations
@@ -16,7 +17,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+import zstandard
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratiform.llm.store import stored
@@ -25,22 +29,18 @@ from stratiform.llm.words import mix, slices, words_of
 
 @dataclass(frozen=True)
 class BackoffRules:
-    """least_share: above 0 the model is pruned: only words of at least this share of the training tokens, and the end of a text, are
-    states and have arcs, and at most its inverse of them are held by every task. At 0 every pair of words has its arc.
-    block: rows that share the arcs they ask for. parts, part: rows whose CRC-32 of the id modulo parts is part do not train."""
+    """block: bytes of text in a block, though a longer text is one. range_bytes: bytes of all texts for each range of states. parts,
+    part: rows whose CRC-32 of the id modulo parts is part do not train."""
 
-    least_share: float = 1 / 4000
-    block: int = 8192
+    block: int = 16 << 20
+    range_bytes: int = 8 << 20
     parts: int = 7
     part: int = 2
 
 
-#: The whole model.
-EVERY_PAIR = BackoffRules(least_share=0.0)
-
 END, START = np.uint64(0x1D8AF066B5F5F7A1), np.uint64(0x5C2E0D3A9B64C117)
 
-MOVED = "a block misses words that it asked for: the rows changed their order between readings; store the table first"
+MOVED = "a block is not what it was: the rows changed their order between two readings of the table; store it first"
 
 
 def held_out(rules: BackoffRules, id_col: str = "doc_id") -> Column:
@@ -63,80 +63,213 @@ def tokens_of(texts: pa.Array) -> Tokens:
     return Tokens(np.insert(w.hash, ends, END), np.insert(w.row, ends, np.arange(len(n))), ends - n + np.arange(len(n)))
 
 
-#: Keys, the context of each (of arcs) and its count.
-Counts = tuple[np.ndarray, np.ndarray, np.ndarray]
+@dataclass(frozen=True)
+class Arcs:
+    """Arcs of some texts, by state and then by hash: the state before, the arc's hash, and how often training rows take it."""
 
+    state: np.ndarray
+    hash: np.ndarray
+    n: np.ndarray
 
-def _merged(parts: list[Counts]) -> Counts:
-    """Counts by key, in the order of contexts and keys. A key has one context."""
-    key, context, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.lexsort((key, context))
-    key, context = key[order], context[order]
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    return key[first], context[first], np.add.reduceat(n[order], first) if len(first) else n
+    @staticmethod
+    def merged(parts: list[Arcs]) -> Arcs:
+        state, hash_, n = (np.concatenate([getattr(p, f) for p in parts]) for f in ("state", "hash", "n"))
+        order = np.lexsort((hash_, state))
+        state, hash_ = state[order], hash_[order]
+        first = np.flatnonzero(np.concatenate([[True], hash_[1:] != hash_[:-1]])) if len(state) else np.zeros(0, np.int64)
+        return Arcs(state[first], hash_[first], np.add.reduceat(n[order], first) if len(first) else n)
 
 
-def _trained(part: pa.RecordBatch, found: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Counts:
-    """Counts of keys in training rows; those of held-out ones count 0. found: key, context and text number of each token."""
-    key, context, row = found
-    return _merged([(key, context, (~part.column("held_out").to_numpy(zero_copy_only=False))[row].astype(np.int64))])
+def _before(t: Tokens) -> np.ndarray:
+    """The state in which each token is read."""
+    out = np.concatenate([t.hash[:1], t.hash[:-1]])
+    out[t.first] = START
+    return out
 
 
-def _block_counts(rows: DataFrame, keys_of) -> DataFrame:
-    """(block, key, context, n): every key of each block of rows, and how often its training rows have it. keys_of: key, context and
-    text number of each token of some texts."""
+def _arc_hash(state: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mix(state * np.uint64(0xC2B2AE3D27D4EB4F) + word)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[Counts] = []
-        current = None
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            key, context, n = _merged(parts)
-            parts.clear()
-            for at in range(0, len(key), 1 << 16):
-                made = [pa.array(x[at : at + (1 << 16)].view(np.int64)) for x in (key, context, n)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(made[0]), current)), *made], names=["block", "key", "context", "n"])
-
-        for batch in slices(batches):
-            block = batch.column("block").to_numpy()
-            cuts = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1, [len(block)]])
-            for at, to in zip(cuts[:-1], cuts[1:], strict=True):
-                if parts and block[at] != current:
-                    yield from flush()
-                current = block[at]
-                part = batch.slice(int(at), int(to - at))
-                parts.append(_trained(part, keys_of(part.column("text"))))
-                if len(parts) > 16:
-                    parts[:] = [_merged(parts)]
-        if parts:
-            yield from flush()
+class Counter:
+    """Adds up the arcs of batches of rows."""
 
-    return rows.select("block", "held_out", "text").mapInArrow(run, "block long, key long, context long, n long")
+    def __init__(self) -> None:
+        self.parts: list[Arcs] = []
 
+    def add(self, part: pa.RecordBatch) -> None:
+        t = tokens_of(part.column("text"))
+        state = _before(t)
+        trains = ~part.column("held_out").to_numpy(zero_copy_only=False)
+        self.parts.append(Arcs.merged([Arcs(state, _arc_hash(state, t.hash), trains[t.row].astype(np.int64))]))
+        if len(self.parts) > 16:
+            self.parts = [self.all()]
 
-def _totals(counts: DataFrame) -> DataFrame:
-    """counts with total, the count over all blocks, and lead, which marks one of a key's rows."""
-    by_key = Window.partitionBy("key")
-    return counts.withColumn("total", F.sum("n").over(by_key)).withColumn("lead", F.col("block") == F.min("block").over(by_key))
+    def all(self) -> Arcs:
+        return Arcs.merged(self.parts)
 
 
-def _discount(arcs: DataFrame) -> float:
-    """Absolute discount from how many counts are one and two, kept off 0 and 1."""
-    one, two = arcs.where("lead").agg(F.count(F.when(F.col("total") == 1, 1)), F.count(F.when(F.col("total") == 2, 1))).first()
-    return min(max(one / (one + 2 * two), 0.1), 0.9) if one + two else 0.5
+# ---- packed lists ----
+
+
+def _pack(x: np.ndarray, size: int) -> bytes:
+    """Whole numbers of ``size`` bytes, like bytes side by side, compressed."""
+    planes = np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _unpack(data: bytes, size: int) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(size, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :size] = planes.T
+    return out.reshape(-1).view("<u8")
+
+
+LIST = "block long, range long, states binary, runs binary, arcs binary, counts binary, sum long"
+ANSWER = "block long, range long, seen binary, kinds binary, places binary, totals binary, sum long, stats array<long>"
+
+
+def _range_of(state: np.ndarray, bits: int) -> np.ndarray:
+    return (state >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(state), np.int64)
+
+
+def _ranges(arcs: Arcs, bits: int) -> Iterator[tuple[int, slice]]:
+    """Ranges of states that the arcs have, and where each one's arcs lie."""
+    of = _range_of(arcs.state, bits)
+    cuts = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1).tolist(), len(of)]
+    for at, to in zip(cuts[:-1], cuts[1:], strict=True):
+        if to > at:
+            yield int(of[at]), slice(at, to)
+
+
+def _sum(arcs: Arcs, at: slice) -> int:
+    """Tells lists apart."""
+    x = mix(arcs.state[at]) ^ arcs.hash[at]
+    return int((x.sum(dtype=np.uint64) + np.uint64(at.stop - at.start)).view(np.int64))
+
+
+def _listed(block: int, arcs: Arcs, bits: int) -> Iterator[dict]:
+    for range_, at in _ranges(arcs, bits):
+        state = arcs.state[at]
+        first = np.flatnonzero(np.concatenate([[True], state[1:] != state[:-1]]))
+        runs = np.diff(np.append(first, len(state)))
+        gaps = np.diff(state[first], prepend=np.uint64(0))
+        yield {
+            "block": block, "range": range_, "states": _pack(gaps, 8), "runs": _pack(runs, 4),
+            "arcs": _pack(arcs.hash[at] >> np.uint64(16), 6), "counts": _pack(arcs.n[at], 8), "sum": _sum(arcs, at),
+        }
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], rules: BackoffRules) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Slices of a task's rows with the block they are in: rows in the order they are read, until a block is full."""
+    block, size = TaskContext.get().partitionId() << 32, 0
+    for batch in batches:
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at, done = 0, 0
+        while at < batch.num_rows:
+            to = max(int(np.searchsorted(sizes, done + rules.block - size, "right")), at + (size == 0))
+            if to > at:
+                yield block, batch.slice(at, to - at)
+                size += int(sizes[to - 1]) - done
+                done, at = int(sizes[to - 1]), to
+            if at < batch.num_rows:
+                block, size = block + 1, 0
+
+
+def _block_lists(rows: DataFrame, rules: BackoffRules, bits: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter, current = Counter(), None
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            made: list[dict] = []
+            for row in _listed(current, counter.all(), bits):
+                made.append(row)
+                if len(made) == 64:
+                    yield _batch(made, LIST)
+                    made = []
+            if made:
+                yield _batch(made, LIST)
+
+        for block, part in _blocks(batches, rules):
+            if block != current and current is not None:
+                yield from flush()
+                counter = Counter()
+            current = block
+            for piece in slices(iter([part])):
+                counter.add(piece)
+        if current is not None:
+            yield from flush()
+
+    return rows.select("held_out", "text").mapInArrow(run, LIST)
+
+
+_KINDS = {"long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
+
+
+def _batch(rows: list[dict], schema: str) -> pa.RecordBatch:
+    fields = [x.split() for x in schema.split(", ")]
+    return pa.RecordBatch.from_pylist(rows, schema=pa.schema([(n, _KINDS[t]) for n, t in fields]))
+
+
+def _answered(lists: pa.Table) -> pa.Table:
+    """Answers of one range of states to the lists of all blocks. The first row has what the range adds to the whole: its words'
+    tokens, how many words have trained, once and twice; arcs that have once and twice; and count and arcs of the start."""
+    held = lists.to_pylist()
+    runs = [_unpack(r["runs"], 4).astype(np.int64) for r in held]
+    states = [np.cumsum(_unpack(r["states"], 8), dtype=np.uint64) for r in held]
+    state = np.concatenate([np.repeat(s, n) for s, n in zip(states, runs, strict=True)])
+    arc = np.concatenate([_unpack(r["arcs"], 6) for r in held])
+    own = np.concatenate([_unpack(r["counts"], 8).astype(np.int64) for r in held])
+    order = np.lexsort((arc, state))
+    s, a = state[order], arc[order]
+    new_state = np.concatenate([[True], s[1:] != s[:-1]])
+    new = new_state | np.concatenate([[True], a[1:] != a[:-1]])
+    first = np.flatnonzero(new)
+    total = np.add.reduceat(own[order], first)
+    back = np.empty(len(order), np.int64)
+    back[order] = np.cumsum(new) - 1
+    begin = np.flatnonzero(new_state[first])
+    distinct = s[first][begin]
+    seen, kinds = np.add.reduceat(total, begin), np.add.reduceat((total > 0).astype(np.int64), begin)
+    words = distinct != START
+    start = (int(seen[~words].sum()), int(kinds[~words].sum()))
+    count = lambda x, k: int((x == k).sum())
+    stats = [int(seen[words].sum()), int((seen[words] > 0).sum()), count(seen[words], 1), count(seen[words], 2), count(total, 1), count(total, 2), *start]
+    out, at = [], 0
+    for row, mine, n in zip(held, states, runs, strict=True):
+        to = at + int(n.sum())
+        totals = total[back[at:to]]
+        shared = np.flatnonzero(totals != own[at:to])
+        spot = np.searchsorted(distinct, mine)
+        out.append({
+            "block": row["block"], "range": row["range"], "seen": _pack(seen[spot], 8), "kinds": _pack(kinds[spot], 8),
+            "places": _pack(np.diff(shared, prepend=0), 8), "totals": _pack(totals[shared], 8), "sum": row["sum"], "stats": None if out else stats,
+        })
+        at = to
+    return pa.Table.from_batches([_batch(out, ANSWER)])
+
+
+# ---- scores ----
 
 
 @dataclass(frozen=True)
 class Root:
-    """Of the training tokens: their number, that of distinct ones, and the discount; of the start of texts how often it trained, how
-    often an arc follows and how many; the discount of arcs; and the states of a pruned model, None for all."""
+    """Of the training tokens: their number, that of distinct ones, and the discount; how often the start and so the end trained, and
+    how many arcs the start has; the discount of arcs."""
 
     tokens: int
     known: int
     discount: float
-    start: tuple[int, int, int]
+    ends: int
+    start_kinds: int
     arc_discount: float
-    states: np.ndarray | None
+
+    @staticmethod
+    def of(stats: list[int]) -> Root:
+        """The end of a text counts as a word, as often as texts train."""
+        tokens, known, one, two, arc_one, arc_two, ends, kinds = stats
+        discount = _discount(one + (ends == 1), two + (ends == 2))
+        return Root(tokens + ends, known + (ends > 0), discount, ends, kinds, _discount(arc_one, arc_two))
 
     def unigram(self, count: np.ndarray) -> np.ndarray:
         """Probability at the root by count; that of all unknown words together for 0."""
@@ -145,120 +278,90 @@ class Root:
         return np.where(count > 0, (count - self.discount) / self.tokens, self.discount * self.known / self.tokens)
 
 
-def _arcs(t: Tokens, states: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The arc that each token would take, the word before it (the start for a text's first), and which tokens can have one."""
-    before = np.concatenate([t.hash[:1], t.hash[:-1]])
-    before[t.first] = START
-    there = np.ones(len(before), bool) if states is None else np.isin(t.hash, states) & (np.isin(before, states) | (before == START))
-    return mix(before * np.uint64(0xC2B2AE3D27D4EB4F) + t.hash), before, there
-
-
-def _steps(texts: pa.Array, states: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    t = tokens_of(texts)
-    key, before, there = _arcs(t, states)
-    return (key, before, t.row) if states is None else (key[there], before[there], t.row[there])
+def _discount(one: int, two: int) -> float:
+    """Absolute discount from how many counts are one and two, kept off 0 and 1."""
+    return min(max(one / (one + 2 * two), 0.1), 0.9) if one + two else 0.5
 
 
-def score_texts(docs: DataFrame, rules: BackoffRules = EVERY_PAIR, text_col: str = "text") -> DataFrame:
+@dataclass(frozen=True)
+class Model:
+    """The part of the automaton that a block can take: states in order with count and number of arcs, arcs by hash with count."""
+
+    states: np.ndarray
+    seen: np.ndarray
+    kinds: np.ndarray
+    arcs: np.ndarray
+    counts: np.ndarray
+
+    @staticmethod
+    def of(own: Arcs, answers: list[dict], root: Root, bits: int) -> Model:
+        told = {r["range"]: r for r in answers}
+        states, seen, kinds, counts = [np.array([END])], [np.array([root.ends])], [np.array([0])], own.n.copy()
+        for range_, at in _ranges(own, bits):
+            row = told.get(range_)
+            if row is None or row["sum"] != _sum(own, at):
+                raise RuntimeError(MOVED)
+            states.append(np.unique(own.state[at]))
+            seen.append(_unpack(row["seen"], 8).astype(np.int64))
+            kinds.append(_unpack(row["kinds"], 8).astype(np.int64))
+            counts[at.start + np.cumsum(_unpack(row["places"], 8)).astype(np.int64)] = _unpack(row["totals"], 8).astype(np.int64)
+        if len(told) != len(states) - 1:
+            raise RuntimeError(MOVED)
+        states, seen, kinds = (np.concatenate(x) for x in (states, seen, kinds))
+        by_state, by_hash = np.argsort(states), np.argsort(own.hash)
+        return Model(states[by_state], seen[by_state], kinds[by_state], own.hash[by_hash], counts[by_hash])
+
+    def score(self, part: pa.RecordBatch, root: Root) -> pa.RecordBatch:
+        t = tokens_of(part.column("text"))
+        n = part.num_rows
+        spot = np.searchsorted(self.states, t.hash).clip(max=len(self.states) - 1)
+        # A text's last word is a state as well, for the end is read in it; so every token is among the states.
+        c = self.seen[spot]
+        before = _before(t)
+        at = np.searchsorted(self.states, before)
+        history, kinds = self.seen[at], self.kinds[at]
+        base = np.log10((c + 1) / (root.tokens + root.known + 1))
+        # The failure arc leads to the root, whose probability counts by the weight left over; an own arc adds its share.
+        left = np.where(history > 0, root.arc_discount * kinds / np.maximum(history, 1), 1.0)
+        arc = self.counts[np.searchsorted(self.arcs, _arc_hash(before, t.hash))]
+        score = np.log10(root.unigram(c) * left + np.maximum(arc - root.arc_discount, 0) / np.maximum(history, 1))
+
+        def total(x: np.ndarray) -> pa.Array:
+            return pa.array(np.bincount(t.row, x, n), pa.float64())
+
+        tokens, known = np.bincount(t.row, minlength=n), np.bincount(t.row[c > 0], minlength=n)
+        columns = [part.column("doc_id"), part.column("held_out"), pa.array(tokens), pa.array(known), pa.array(np.full(n, root.tokens)), total(base), total(score)]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+
+def score_texts(docs: DataFrame, rules: BackoffRules = BackoffRules(), text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of docs.
 
-    docs must give its rows in the same order whenever it is read, as a table does; a block that misses a word it asked for raises.
-    Null and empty texts are one end token. Unknown words share one probability, as in the base score. Rows with a null id train;
-    repeated rows each count. Without training tokens every probability is 1. An empty table gives an empty result.
+    docs must give its rows in the same order whenever it is read, as a table does; a block that is not what it was raises. Null and
+    empty texts are one end token. Unknown words share one probability, as in the base score. Rows with a null id train; repeated
+    rows each count. Without training tokens every probability is 1. An empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    rows = docs.select("doc_id", held_out(rules).alias("held_out"), F.col(text_col).alias("text"), F.floor(F.monotonically_increasing_id() / rules.block).alias("block"))
-
-    def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        t = tokens_of(texts)
-        return t.hash, np.zeros(len(t.hash), np.uint64), t.row
-
-    asked = stored(_totals(_block_counts(rows, words)).select("block", "key", "total", "lead"))
-    total, known = asked.where("lead").agg(F.coalesce(F.sum("total"), F.lit(0)), F.count(F.when(F.col("total") > 0, 1))).first()
-    end = int(END.view(np.int64))
-    ends = asked.where(F.col("lead") & (F.col("key") == end)).select("total").first()
-    held = None
-    if rules.least_share > 0:
-        often = (F.col("total") >= max(1.0, total * rules.least_share)) | ((F.col("key") == end) & (F.col("total") > 0))
-        held = np.sort(np.array([k for (k,) in asked.where(F.col("lead") & often).select("key").collect()], np.int64).view(np.uint64))
-    states = spark.sparkContext.broadcast(held)
-
-    counted = _totals(_block_counts(rows, lambda texts: _steps(texts, states.value)))
-    # A row is kept for its arc's context, once an arc, or for a block that has not counted all of the arc itself.
-    one, other = F.col("lead") & (F.col("total") > 0), F.col("total") != F.col("n")
-    pairs = stored(counted.where(one | other).select("block", F.when(other, F.col("key")).alias("key"), F.when(one, F.col("context")).alias("context"), "total", "lead"))
-    sums = pairs.where(F.col("context").isNotNull()).groupBy("context").agg(F.sum("total").alias("seen"), F.count("*").alias("distinct"))
-    start = sums.where(F.col("context") == int(START.view(np.int64))).select("seen", "distinct").first() or (0, 0)
-    # Plain values: a broadcast is unpickled where the package may not be installed.
-    model = spark.sparkContext.broadcast((total, known, _discount(asked), (ends[0] if ends else 0, *start), _discount(pairs), held))
-
-    none = F.lit(0).cast("long")
-    of_words = asked.join(sums, F.col("key") == F.col("context"), "left")
-    of_words = of_words.select("block", F.lit(0).alias("kind"), "key", "total", F.coalesce("seen", none).alias("seen"), F.coalesce("distinct", none).alias("distinct"))
-    given = of_words.union(pairs.where(F.col("key").isNotNull()).select("block", F.lit(1), "key", "total", none, none))
-    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-
-    def run(texts: pa.Table, given: pa.Table) -> pa.Table:
-        kind = given.column("kind").to_numpy()
-
-        def of(k: int, *names: str) -> list[np.ndarray]:
-            key, *values = (given.column(c).to_numpy()[kind == k] for c in ("key", *names))
-            order = np.argsort(key.view(np.uint64))
-            return [key.view(np.uint64)[order], *[x[order] for x in values]]
-
-        root = Root(*model.value)
-        held_by = of(0, "total", "seen", "distinct")
-        parts: list[Counts] = []
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(rules).alias("held_out"), text.alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = max(size // rules.range_bytes, 1).bit_length()
+    lists = _block_lists(rows, rules, bits)
+    answers = stored(lists.groupBy("range").applyInArrow(_answered, ANSWER))
+    stats = answers.where(F.col("stats").isNotNull()).agg(*[F.coalesce(F.sum(F.col("stats")[k]), F.lit(0)) for k in range(8)]).first()
+    root = Root.of(list(stats))
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, part in _blocks(batches, rules):
+            yield part.append_column("block", pa.array(np.full(part.num_rows, block)))
+
+    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        counter = Counter()
         batches = texts.combine_chunks().to_batches()
         for part in slices(iter(batches)):
-            parts.append(_trained(part, _steps(part.column("text"), root.states)))
-            if len(parts) > 16:
-                parts[:] = [_merged(parts)]
-        own, _, n = _merged(parts)
-        order = np.argsort(own)
-        own, n = own[order], n[order]
-        key, n_all = of(1, "total")
-        spot = np.searchsorted(own, key)
-        if len(key) and not (own[spot.clip(max=len(own) - 1)] == key).all():
-            raise RuntimeError(MOVED)
-        n[spot] = n_all
-        return pa.Table.from_batches([_score(part, root, held_by, own, n) for part in slices(iter(batches))])
-
-    left = rows.select("block", F.col("doc_id").cast("long").alias("doc_id"), "held_out", "text")
-    return left.groupBy("block").cogroup(given.groupBy("block")).applyInArrow(run, schema)
-
-
-def _score(part: pa.RecordBatch, root: Root, given: list[np.ndarray], arcs: np.ndarray, arc_counts: np.ndarray) -> pa.RecordBatch:
-    """given: hash, count, and number of arc tokens and of arcs after it, of each word."""
-    t = tokens_of(part.column("text"))
-    n = part.num_rows
-    words, counts, seen, distinct = given
-    spot = np.searchsorted(words, t.hash).clip(max=len(words) - 1)
-    if len(t.hash) and not (words[spot] == t.hash).all():
-        raise RuntimeError(MOVED)
-    c = counts[spot]
-    base = np.log10((c + 1) / (root.tokens + root.known + 1))
-    p = root.unigram(c)
-    key, _, there = _arcs(t, root.states)
-
-    def before(x: np.ndarray, start: int) -> np.ndarray:
-        out = np.concatenate([x[:1], x[:-1]])
-        out[t.first] = start
-        return out
-
-    history, follow, kinds = (before(x, s) for x, s in zip((c, seen[spot], distinct[spot]), root.start, strict=True))
-    history = np.maximum(history, 1)
-    # The failure arc leads to the root, whose probability counts by the weight left over; an own arc adds its share.
-    p = p * ((history - follow + root.arc_discount * kinds) / history)
-    if len(arcs):
-        at = np.searchsorted(arcs, key).clip(max=len(arcs) - 1)
-        arc = np.where(there & (arcs[at] == key), arc_counts[at], 0)
-        p = p + np.maximum(arc - root.arc_discount, 0) / history
-    score = np.log10(p)
-
-    def total(x: np.ndarray) -> pa.Array:
-        return pa.array(np.bincount(t.row, x, n), pa.float64())
-
-    tokens, known = np.bincount(t.row, minlength=n), np.bincount(t.row[c > 0], minlength=n)
-    columns = [part.column("doc_id"), part.column("held_out"), pa.array(tokens), pa.array(known), pa.array(np.full(n, root.tokens)), total(base), total(score)]
-    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+            counter.add(part)
+        model = Model.of(counter.all(), answers.to_pylist(), root, bits)
+        return pa.Table.from_batches([model.score(part, root) for part in slices(iter(batches))])
+
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    left = rows.mapInArrow(placed, "doc_id long, held_out boolean, text string, block long")
+    return left.groupBy("block").cogroup(answers.drop("stats").groupBy("block")).applyInArrow(run, schema)
