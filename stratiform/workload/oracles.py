@@ -823,6 +823,11 @@ FINALS: dict[str, str] = {
                    THEN {real(ratio("sum(coalesce(r7, 0) * coalesce(total_ratings, 0))", "sum(coalesce(total_ratings, 0))", -1), 6)}
                    ELSE {real(ratio("sum(r7)", "count(r7)", -1), 6)} END AS weighted_avg_rating
         FROM (SELECT *, r4 * 1000 + movie_id % 997 AS r7 FROM customer_bridge) GROUP BY production_company""",
+    "prior_lines": """
+        SELECT l_returnflag, l_orderkey, l_linenumber, CAST(lag(l_orderkey) OVER w AS DOUBLE) AS prior_orderkey,
+               CAST(lag(l_quantity) OVER w AS DOUBLE) AS prior_quantity
+        FROM lineitem
+        WINDOW w AS (PARTITION BY l_returnflag ORDER BY l_shipdate NULLS FIRST, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity)""",
     "prior_period": f"""
         SELECT production_company, release_year, {real("total_c", 2)} AS total_revenue, {real("w4", 4)} AS weighted_avg_rating,
                CAST(prior_year AS DOUBLE) AS prior_year, {real("prior_c", 2)} AS prior_year_revenue, {real("prior_w4", 4)} AS prior_year_rating

@@ -19,7 +19,7 @@ from stratiform.operators.dimensions import attribute_dimension, date_dimension,
 from stratiform.operators.enrich import fill_missing
 from stratiform.operators.facts import group_year_fact, rating_fact
 from stratiform.operators.lists import explode_list, merge_articles
-from stratiform.operators.metrics import change_measures, group_year_metrics, with_prior, year_over_year
+from stratiform.operators.metrics import change_measures, group_year_metrics, with_prior, with_prior_spread, year_over_year
 from stratiform.operators.scaling import minmax, zscore
 from stratiform.functions.measures import weighted_mean
 from stratiform.plans import layers
@@ -381,6 +381,15 @@ def prior_periods(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(with_prior(metrics, "production_company", ["release_year"], prior))
 
 
+def prior_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """The order line shipped before each one with the same return flag: three groups that are the whole table."""
+    lines = src.table(spark, sf, "lineitem").select("l_returnflag", "l_shipdate", "l_orderkey", "l_linenumber", "l_quantity", "l_partkey", "l_suppkey")
+    order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
+    prior = {"prior_orderkey": "l_orderkey", "prior_quantity": "l_quantity"}
+    spread = with_prior_spread(lines, "l_returnflag", order, prior)
+    return tidy(spread.select("l_returnflag", "l_orderkey", "l_linenumber", "prior_orderkey", "prior_quantity"), GAPPY | {"prior_orderkey"})
+
+
 def change_rates(spark: SparkSession, sf: str) -> DataFrame:
     metrics = src.customer_metrics(spark, sf)
     prior = {"prior_year_revenue": "total_revenue", "prior_year_rating": "weighted_avg_rating"}
@@ -728,6 +737,7 @@ QUERIES: dict[str, Query] = {
     "group_year_metrics": group_metrics,
     "weighted_mean": weighted_means,
     "prior_period": prior_periods,
+    "prior_lines": prior_lines,
     "change_measures": change_rates,
     "company_year_metrics": model("int_company_year_metrics"),
     "date_dimension": date_table,

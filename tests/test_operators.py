@@ -14,7 +14,7 @@ from stratiform.operators.dimensions import date_dimension, date_spine, name_dim
 from stratiform.operators.enrich import fill_missing
 from stratiform.operators.facts import group_year_fact, rating_fact
 from stratiform.operators.lists import explode_list, explode_names, merge_articles
-from stratiform.operators.metrics import group_year_metrics, with_prior
+from stratiform.operators.metrics import group_year_metrics, with_prior, with_prior_spread
 from stratiform.operators.scaling import minmax, zscore
 from stratiform.plans.staging import stage_ratings
 
@@ -316,3 +316,15 @@ def test_build_log_edges(spark, tmp_path):
     assert (b.status, b.error_message, b.source_relation, b.target_relation, b.duration_seconds, b.started_at) == (
         "failed", "broke", None, "d.s.b", None, None)
     assert buildlog.run_status(tasks).first()[1:] == (2, 1, "partial")
+
+
+def test_look_back_in_a_hot_group_spreads_over_tasks(spark, frame):
+    rows = [("hot" if i % 3 else None if i % 2 else "g%d" % (i % 8), None if i % 50 == 0 else i * 37 % 1009, i, "v%d" % i) for i in range(3000)]
+    df, prior = frame(rows, "g string, at long, id long, v string"), {"was": "v", "was_at": "at"}
+    want = sorted(map(repr, with_prior(df, "g", ["at", "id"], prior).collect()))
+    for n in (1, 7, 40):
+        got = with_prior_spread(df, "g", ["at", "id"], prior, n)
+        assert sorted(map(repr, got.collect())) == want
+    tasks = got.where("g = 'hot'").select(F.spark_partition_id()).distinct().count()
+    assert tasks > 20
+    assert with_prior_spread(df.limit(0), "g", ["at", "id"], prior).count() == 0
