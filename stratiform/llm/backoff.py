@@ -65,7 +65,7 @@ def tokens_of(texts: pa.Array) -> Tokens:
 
 @dataclass(frozen=True)
 class Arcs:
-    """Arcs of some texts, by state and then by hash: the state before, the arc's hash, and how often training rows take it."""
+    """Distinct arcs of some texts: the state before, the arc's hash, and how often training rows take it."""
 
     state: np.ndarray
     hash: np.ndarray
@@ -73,11 +73,17 @@ class Arcs:
 
     @staticmethod
     def merged(parts: list[Arcs]) -> Arcs:
+        """In the order of their hashes."""
         state, hash_, n = (np.concatenate([getattr(p, f) for p in parts]) for f in ("state", "hash", "n"))
-        order = np.lexsort((hash_, state))
-        state, hash_ = state[order], hash_[order]
-        first = np.flatnonzero(np.concatenate([[True], hash_[1:] != hash_[:-1]])) if len(state) else np.zeros(0, np.int64)
-        return Arcs(state[first], hash_[first], np.add.reduceat(n[order], first) if len(first) else n)
+        order = np.argsort(hash_)
+        hash_ = hash_[order]
+        first = np.flatnonzero(np.concatenate([[True], hash_[1:] != hash_[:-1]])) if len(hash_) else np.zeros(0, np.int64)
+        return Arcs(state[order[first]], hash_[first], np.add.reduceat(n[order], first) if len(first) else n)
+
+    def by_state(self) -> Arcs:
+        """Arcs in the order of their hashes, by state and then by hash."""
+        order = np.argsort(self.state, kind="stable")
+        return Arcs(self.state[order], self.hash[order], self.n[order])
 
 
 def _before(t: Tokens) -> np.ndarray:
@@ -103,10 +109,10 @@ class Counter:
         trains = ~part.column("held_out").to_numpy(zero_copy_only=False)
         self.parts.append(Arcs.merged([Arcs(state, _arc_hash(state, t.hash), trains[t.row].astype(np.int64))]))
         if len(self.parts) > 16:
-            self.parts = [self.all()]
+            self.parts = [Arcs.merged(self.parts)]
 
     def all(self) -> Arcs:
-        return Arcs.merged(self.parts)
+        return Arcs.merged(self.parts).by_state()
 
 
 # ---- packed lists ----
@@ -314,16 +320,17 @@ class Model:
     def score(self, part: pa.RecordBatch, root: Root) -> pa.RecordBatch:
         t = tokens_of(part.column("text"))
         n = part.num_rows
-        spot = np.searchsorted(self.states, t.hash).clip(max=len(self.states) - 1)
         # A text's last word is a state as well, for the end is read in it; so every token is among the states.
-        c = self.seen[spot]
-        before = _before(t)
-        at = np.searchsorted(self.states, before)
-        history, kinds = self.seen[at], self.kinds[at]
+        words, which = np.unique(t.hash, return_inverse=True)
+        spot = np.searchsorted(self.states, words)[which]
+        at = np.concatenate([spot[:1], spot[:-1]])
+        at[t.first] = np.searchsorted(self.states, START)
+        c, history, kinds = self.seen[spot], self.seen[at], self.kinds[at]
         base = np.log10((c + 1) / (root.tokens + root.known + 1))
         # The failure arc leads to the root, whose probability counts by the weight left over; an own arc adds its share.
         left = np.where(history > 0, root.arc_discount * kinds / np.maximum(history, 1), 1.0)
-        arc = self.counts[np.searchsorted(self.arcs, _arc_hash(before, t.hash))]
+        taken, which = np.unique(_arc_hash(_before(t), t.hash), return_inverse=True)
+        arc = self.counts[np.searchsorted(self.arcs, taken)][which]
         score = np.log10(root.unigram(c) * left + np.maximum(arc - root.arc_discount, 0) / np.maximum(history, 1))
 
         def total(x: np.ndarray) -> pa.Array:
