@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from stratiform.functions.names import NameTable, standardise_by_table
 from stratiform.functions.text import ARTICLES, NAME_RULES, standardise_name
 
 
@@ -47,14 +48,17 @@ def merge_articles(
 
 
 def explode_names(
-    df: DataFrame, items: str, name: str, rules: Sequence[tuple[str, str]] = NAME_RULES, first_flag: str | None = None
+    df: DataFrame, items: str, name: str, rules: Sequence[tuple[str, str]] | NameTable = NAME_RULES, first_flag: str | None = None
 ) -> DataFrame:
-    """One row per array item under its standard name.
+    """One row per array item under its standard name. Patterns grow the plan with each; for many rules give a ``NameTable``.
 
     ``first_flag`` marks one row per distinct name of the list. Its sum counts distinct parent rows per name, which saves
     the shuffle of a distinct count where the parent key is unique.
     """
-    standard = F.transform(F.col(items), lambda x: standardise_name(x, rules))
+    if isinstance(rules, NameTable):
+        standard = standardise_by_table(F.col(items), rules, lists=True)
+    else:
+        standard = F.transform(F.col(items), lambda x: standardise_name(x, rules))
     rest = [c for c in df.columns if c != items]
     if first_flag is None:
         return df.select(*rest, F.explode_outer(standard).alias(name)).filter(F.col(name).isNotNull())

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from stratiform.functions.measures import budget_factor, repair_flag, revenue_factor
+from stratiform.functions.names import NameTable
 from stratiform.functions.text import ARTICLES, NAME_RULES
 from stratiform.operators.lists import explode_names, merge_articles
 
@@ -57,7 +58,7 @@ def company_bridge(
     base: DataFrame,
     sep: str = ",",
     articles: Sequence[str] = ARTICLES,
-    rules: Sequence[tuple[str, str]] = NAME_RULES,
+    rules: Sequence[tuple[str, str]] | NameTable = NAME_RULES,
     first_flag: str | None = None,
 ) -> DataFrame:
     """One row per entity and listed name. Amounts are repaired once per entity, before its list is unfolded."""

@@ -809,6 +809,11 @@ FINALS: dict[str, str] = {
         WHERE before IS NULL OR before NOT IN ('The', 'A', 'An')""",
     "repair_amounts": f"""
         SELECT o_orderkey, {BRIDGE_MONEY}, flag AS budget_correction_flag FROM ({REPAIR_AMOUNTS})""",
+    "standardise_by_rules": """
+        SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 AND p_partkey % 20000 < 10000 THEN 'Part ' || (p_partkey % 20000)
+                               WHEN p_partkey % 2 = 0 THEN 'PART' || (p_partkey % 20000) || '  of set'
+                               WHEN p_name LIKE 'small wid%' THEN 'Small Widgets' WHEN p_name LIKE 'small%' THEN 'Plain House'
+                               WHEN p_name LIKE 'red%' THEN 'Red House' ELSE p_name END AS p_name FROM part""",
     "standardise_names": """
         SELECT p_partkey, CASE WHEN p_name LIKE 'small%' OR p_name LIKE 'red%' THEN 'Plain House'
                                WHEN p_name LIKE '%widget' THEN 'Widget House' ELSE p_name END AS p_name FROM part""",

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from stratiform.functions.dates import normalise_mixed_date, parse_routed_date
 from stratiform.functions.measures import REPAIR_FLAGS, harmonise_rating
+from stratiform.functions.names import NameTable, standardise_by_table
 from stratiform.functions.numbers import clean_decimal, digits_to_long
 from stratiform.functions.text import is_blank, is_placeholder, nullify, rewrite_delimiters, standardise_name
 from stratiform.operators import audit, buildlog, checks, scorecard as sc
@@ -364,6 +365,14 @@ def standardise_names(spark: SparkSession, sf: str) -> DataFrame:
     return src.table(spark, sf, "part").select("p_partkey", standardise_name(F.col("p_name"), rules).alias("p_name"))
 
 
+def standardise_by_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Part names by a table of rules, one for each number of a part, and some for the parts' own names."""
+    own = [("small wid", "Small Widgets"), ("SMALL", "Plain House"), ("r e d", "Red House"), ("red plate", "never: an earlier rule fits")]
+    table = NameTable([*((f"part {k} of", f"Part {k}") for k in range(10_000)), *own])
+    numbered = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("PART"), (F.col("p_partkey") % 20_000).cast("string"), F.lit("  of set"))).otherwise(F.col("p_name"))
+    return src.table(spark, sf, "part").select("p_partkey", standardise_by_table(numbered, table).alias("p_name"))
+
+
 def group_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(group_year_metrics(src.customer_bridge(spark, sf)))
 
@@ -733,6 +742,7 @@ QUERIES: dict[str, Query] = {
     "merge_articles": merge_list_articles,
     "repair_amounts": repair_amounts,
     "standardise_names": standardise_names,
+    "standardise_by_rules": standardise_by_rules,
     "company_bridge": model("int_movie_company_bridge"),
     "group_year_metrics": group_metrics,
     "weighted_mean": weighted_means,

@@ -6,6 +6,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
+from stratiform.functions.names import NameTable, standardise_by_table
 from stratiform.functions import dates, measures, numbers, text
 from stratiform.operators.metrics import change_measures
 
@@ -103,6 +104,26 @@ def test_name_rules(frame):
     assert got == ["Lions Gate Films", "Lions Gate Films", "Big Lions Gate", None]
 
 
+def test_table_of_name_rules_is_the_same_as_patterns(frame):
+    rules = [("lions gate", "Lions Gate Films"), ("a b", "AB"), ("ab c", "ABC"), ("x", "X"), ("x y", "never"), ("ä", "Umlaut")]
+    names = ["LIONSGATE", "Lions  Gate UK", "lions\t gate", "Big Lions Gate", None, "", "ab", "A  B", "abc", "ab  c", "a bc", "b", "xy", "x", " x", "ä", "Ä", "lions gat"]
+    patterns = [("(?i)^" + r"\s*".join(b.split()), n) for b, n in rules]
+    table = NameTable(rules)
+    want = values(frame, names, "string", lambda c: text.standardise_name(c, patterns))
+    assert values(frame, names, "string", lambda c: standardise_by_table(c, table)) == want
+    lists = frame([([n for n in names[:5]],), (None,), ([],), (names[5:],)], "l array<string>")
+    assert [r[0] for r in lists.select(standardise_by_table(F.col("l"), table, lists=True)).collect()] == [want[:5], None, [], want[5:]]
+
+
+def test_ten_thousand_rules_keep_the_plan_small(spark):
+    rows = spark.range(10).select(F.concat(F.lit("name "), F.col("id") * 1000).alias("n"))
+    plans = []
+    for n in (10, 10_000):
+        df = rows.select(standardise_by_table(F.col("n"), NameTable((f"name {k} ", f"N{k}") for k in reversed(range(n)))).alias("n"))
+        plans.append(len(df._jdf.queryExecution().optimizedPlan().toString()))
+    assert df.first()[0] == "N0" and df.collect()[9][0] == "N9000" and abs(plans[0] - plans[1]) < 20
+
+
 @pytest.mark.parametrize(
     "rows, mean",
     [([("8", 100), (None, 100)], D("4.0000")), ([("6", 0), ("8", None)], D("7.0000")), ([(None, 0)], None)],
