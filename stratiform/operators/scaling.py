@@ -6,7 +6,7 @@ there is no join at all.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from stratiform.functions.numbers import exact_ratio
 
@@ -16,6 +16,21 @@ def with_scalar(df: DataFrame, source: DataFrame, aggregate, name: str) -> DataF
     return df.select(*df.columns, source.agg(aggregate.alias(name)).scalar().alias(name))
 
 
+def statistics(df: DataFrame, column: str) -> tuple[DataFrame, Observation]:
+    """df, of which the next action also takes the statistics of a column; ``known_statistics`` reads them then, so that writing a
+    column and scaling what was written need one pass over it. Spark counts each partition of the action once, also when lost
+    executors make it repeat tasks."""
+    seen = Observation()
+    return df.observe(seen, *[e.alias(n) for n, e in {**_range(column), **_spread(column)}.items()]), seen
+
+
+def known_statistics(df: DataFrame, column: str, seen: Observation) -> Column:
+    """What was observed, as a constant to scale the same column of df with."""
+    kind = df.schema[column].dataType
+    kinds = {"lo": kind, "hi": kind, "mean": T.DoubleType(), "dev": T.DoubleType()}
+    return F.struct(*[F.lit(seen.get[n]).cast(t).alias(n) for n, t in kinds.items()])
+
+
 def _with_stats(df: DataFrame, column: str, stats: dict) -> DataFrame:
     packed = F.struct(*[e.alias(n) for n, e in stats.items()])
     return with_scalar(df, df.select(column), packed, "_stats")
@@ -50,7 +65,12 @@ def zscore(df: DataFrame, column: str, out: str, digits: int = 6) -> DataFrame:
     return _with_stats(df, column, _spread(column)).withColumn(out, _zscore(column, digits)).drop("_stats")
 
 
-def minmax_and_zscore(df: DataFrame, column: str, minmax_out: str, zscore_out: str, digits: int = 6) -> DataFrame:
-    """Both, from one pass for the statistics."""
-    rows = _with_stats(df, column, {**_range(column), **_spread(column)})
+def minmax_and_zscore(
+    df: DataFrame, column: str, minmax_out: str, zscore_out: str, digits: int = 6, known: Column | None = None
+) -> DataFrame:
+    """Both, from one pass for the statistics, or from known ones."""
+    if known is None:
+        rows = _with_stats(df, column, {**_range(column), **_spread(column)})
+    else:
+        rows = df.withColumn("_stats", known)
     return rows.withColumns({minmax_out: _minmax(column, digits), zscore_out: _zscore(column, digits)}).drop("_stats")

@@ -15,6 +15,7 @@ from stratiform.operators.dimensions import attribute_dimension, date_dimension,
 from stratiform.operators.facts import group_year_fact, rating_fact
 from stratiform.operators.metrics import group_year_metrics, year_over_year
 from stratiform.operators.scorecard import ScoreRules, scorecard, trend_bands
+from stratiform.operators.scaling import known_statistics, statistics
 from stratiform.plans.bridge import base_join, company_bridge
 from stratiform.plans.staging import Staged, prepare_enrichment, stage_core, stage_extended, stage_ratings
 from stratiform.plans.tasklog import Writer
@@ -225,15 +226,17 @@ def write_typed(inputs: Inputs, settings: Settings, to: Writer) -> tuple[dict[st
     """Write the staged and typed tables.
 
     The enrichment source is prepared and written once for all three; ratings take their ids from the staged core table; and
-    the statistics of the rating column are read from its written one-scale form. Typed tables lie in the same buckets of the entity.
+    the statistics of the rating column are taken as its one-scale form is written. Typed tables lie in the same buckets of the entity.
     """
     spark = inputs.core.sparkSession
     extra = to.table(spark, "staged", "enrichment", lambda: prepare_enrichment(inputs.enrichment, inputs.enrichment_order))
     staged: dict[str, DataFrame] = {}
     for name in STAGED:
         staged[name] = to.staged(staged_table(name, inputs, settings, extra, staged.get("movies_main")), name)
-    one_scale = to.table(spark, "staged", "ratings_on_one_scale", lambda: ratings_on_one_scale(staged["ratings"]))
-    made = {**typed_tables({n: staged[n] for n in STAGED[:2]}), "stg_ratings": scored_ratings(one_scale)}
+    watched, seen = statistics(ratings_on_one_scale(staged["ratings"]), "rating_10")
+    one_scale = to.table(spark, "staged", "ratings_on_one_scale", lambda: watched)
+    scored = scored_ratings(one_scale, known_statistics(one_scale, "rating_10", seen))
+    made = {**typed_tables({n: staged[n] for n in STAGED[:2]}), "stg_ratings": scored}
     buckets = settings.buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     typed = {n: to.table(spark, "staging", n, lambda df=df: df, (buckets, ["movie_id"])) for n, df in made.items()}
     return staged, Models(inputs, settings, typed)

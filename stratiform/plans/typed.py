@@ -61,9 +61,10 @@ def typed_ratings(staged: DataFrame) -> DataFrame:
     return scored_ratings(ratings_on_one_scale(staged))
 
 
-def scored_ratings(one_scale: DataFrame) -> DataFrame:
-    """Ratings with their column-wide scores. The column's statistics are a pass of their own, so give a written table."""
-    scored = minmax_and_zscore(one_scale, "rating_10", "avg_rating_minmax", "avg_rating_zscore")
+def scored_ratings(one_scale: DataFrame, known: Column | None = None) -> DataFrame:
+    """Ratings with their column-wide scores. The column's statistics are a pass of their own, so give a written table, or those
+    that were taken as it was written (``known``)."""
+    scored = minmax_and_zscore(one_scale, "rating_10", "avg_rating_minmax", "avg_rating_zscore", known=known)
     return scored.select(
         "movie_id",
         F.round("rating_10", 4).cast("decimal(10,4)").alias("avg_rating"),

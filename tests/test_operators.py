@@ -15,7 +15,8 @@ from stratiform.operators.enrich import fill_missing
 from stratiform.operators.facts import group_year_fact, rating_fact
 from stratiform.operators.lists import explode_list, explode_names, merge_articles
 from stratiform.operators.metrics import group_year_metrics, with_prior, with_prior_spread
-from stratiform.operators.scaling import minmax, zscore
+from stratiform.operators.scaling import known_statistics, minmax, minmax_and_zscore, statistics, zscore
+from stratiform.sources.tables import write_folder
 from stratiform.plans.staging import stage_ratings
 
 
@@ -328,3 +329,14 @@ def test_look_back_in_a_hot_group_spreads_over_tasks(spark, frame):
     tasks = got.where("g = 'hot'").select(F.spark_partition_id()).distinct().count()
     assert tasks > 20
     assert with_prior_spread(df.limit(0), "g", ["at", "id"], prior).count() == 0
+
+
+def test_statistics_taken_while_writing(spark, frame, tmp_path):
+    for rows in ([(D("3.5"),), (None,), (D("7.25"),), (D("4"),)], [(D("1"),)], [(None,)], []):
+        df = frame(rows, "x decimal(10,4)").repartition(3)
+        watched, seen = statistics(df, "x")
+        written = write_folder(watched, str(tmp_path / f"t{len(rows)}"))
+        scored = minmax_and_zscore(written, "x", "m", "z", known=known_statistics(written, "x", seen))
+        assert sorted(map(repr, scored.collect())) == sorted(map(repr, minmax_and_zscore(df, "x", "m", "z").collect()))
+        plan = scored._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and "ubquery" not in plan
