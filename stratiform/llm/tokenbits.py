@@ -16,7 +16,6 @@ that is run again leaves no double.
 from __future__ import annotations
 
 import os
-import re
 import struct
 import uuid
 import zlib
@@ -48,7 +47,7 @@ class BitRules:
     block: int = 4096
     file_ids: int = 1 << 26
     part_ids: int = 1 << 23
-    cache: int = 2_000_000
+    cache: int = 1_000_000
 
 
 def bits_for(vocabulary: int) -> int:
@@ -283,15 +282,20 @@ class SegmentIds:
 
 _RUNS = np.where(BY_SPACE, 1, 2).astype(np.uint8)
 # White space beyond ASCII, and control signs that some count as such. Texts that hold any are encoded as a whole.
-_OTHER_SPACE = re.compile(
-    "[\x1c-\x1f]|\x85|\xa0|\u1680|[\u2000-\u200a]|\u2028|\u2029|\u202f|\u205f|\u3000".encode().replace(b"[\xe2\x80\x80-\xe2\x80\x8a]", b"\xe2\x80[\x80-\x8a]")
-)
+_OTHER_SPACE = [chr(c).encode() for c in (*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 
 
 def _other_spaces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Numbers of the texts that hold white space beyond ASCII."""
-    at = np.fromiter((m.start() for m in _OTHER_SPACE.finditer(data.tobytes())), np.int64)
-    return np.unique(np.searchsorted(offsets, at, "right") - 1)
+    found = np.zeros(len(data), bool)
+    for lead in sorted({s[0] for s in _OTHER_SPACE}):
+        at = np.flatnonzero(data == lead)
+        for space in (s for s in _OTHER_SPACE if s[0] == lead and len(at)):
+            fits = at[at + len(space) <= len(data)]
+            for k in range(1, len(space)):
+                fits = fits[data[fits + k] == space[k]]
+            found[fits] = True
+    return np.unique(np.searchsorted(offsets, np.flatnonzero(found), "right") - 1)
 
 
 def _segments(rules: "BitRules") -> SegmentIds:
@@ -346,7 +350,7 @@ def write_token_files(docs: DataFrame, folder: str, rules: BitRules = BitRules()
 
 
 def _encoded(model: SegmentIds, texts: Iterator[str]) -> Iterator[tuple[np.ndarray, int | None]]:
-    """Ids of pieces of texts in order; with a text's last piece comes the text's number. Calls hold about WINDOW characters."""
+    """Ids of pieces of texts in order; with a text's last piece comes the text's number. Calls hold about half a million characters."""
     held: list[str] = []
     ends: list[int | None] = []
     size = 0
@@ -355,7 +359,7 @@ def _encoded(model: SegmentIds, texts: Iterator[str]) -> Iterator[tuple[np.ndarr
             held.append(piece)
             ends.append(None)
             size += len(piece)
-            if size >= WINDOW:
+            if size >= WINDOW // 4:
                 yield from zip(model.encode(pa.array(held, pa.large_string())), ends, strict=True)
                 held, ends, size = [], [], 0
         if held:
