@@ -34,7 +34,7 @@ def op4_preference_formatting(spark: SparkSession, sf: str) -> DataFrame:
     """Conversations 2k and 2k+1 as the chosen and the rejected one of pair k; masks as text."""
     table = _table(spark, sf, "conversations")
     side = F.when(F.pmod("conv_id", F.lit(2)) == 0, "chosen").otherwise("rejected")
-    turns = table.select(F.floor(F.col("conv_id") / 2).alias("pair_id"), side.alias("side"), "turn", "role", "text")
+    turns = table.select(F.shiftright("conv_id", 1).alias("pair_id"), side.alias("side"), "turn", "role", "text")
     made = preferences.format_preferences(turns)
     return made.select("pair_id", F.col("n_shared").cast("long").alias("n_shared"), "prompt", "chosen", "rejected", _span_text("chosen_mask"), _span_text("rejected_mask"))
 
@@ -56,7 +56,9 @@ def op8_backoff_automaton(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op9_compression_bands(spark: SparkSession, sf: str) -> DataFrame:
-    return bands.compression_bands(_table(spark, sf, "documents"), keep=["doc_id"])
+    """Limits are learned from a bounded number of documents that are labelled good."""
+    docs = _table(spark, sf, "documents")
+    return bands.compression_bands(docs, bands.fit_bands(docs, _table(spark, sf, "labels")), keep=["doc_id"])
 
 
 def op10_compression_language(spark: SparkSession, sf: str) -> DataFrame:
