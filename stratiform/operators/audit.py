@@ -37,12 +37,13 @@ def key_quality(relations: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """Rows, rows without a key and rows beyond the first per key, for each relation."""
 
     def one(name: str, df: DataFrame, key: str) -> DataFrame:
-        known = nullify_spaces(F.col(key))
-        return df.agg(
+        known = df.groupBy(nullify_spaces(F.col(key)).alias("known")).agg(F.count(F.lit(1)).alias("n"))
+        rows = F.coalesce(F.sum("n"), F.lit(0))
+        return known.agg(
             F.lit(name).alias("relation"),
-            F.count(F.lit(1)).alias("total_rows"),
-            F.count(F.when(known.isNull(), 1)).alias("missing_key_rows"),
-            (F.count(F.lit(1)) - F.count_distinct(known)).alias("duplicate_key_rows"),
+            rows.alias("total_rows"),
+            F.coalesce(F.sum(F.when(F.col("known").isNull(), F.col("n"))), F.lit(0)).alias("missing_key_rows"),
+            (rows - F.count("known")).alias("duplicate_key_rows"),
         )
 
     return _union([one(name, df, key) for name, (df, key) in relations.items()])
