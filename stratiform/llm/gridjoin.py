@@ -2,7 +2,8 @@
 
 Vectors of length one within a cosine of each other lie within a distance epsilon. They are sorted by the cells that a grid of that
 width has on the leading principal dimensions, cut to intervals of the sequence, and intervals are joined recursively: a pair of
-intervals whose bounding boxes lie further apart than epsilon holds no link and is skipped with all that it contains.
+intervals whose bounding boxes lie further apart than epsilon holds no link and is skipped with all that it contains. Within a pair of
+intervals the recursion ends at single vectors, of which those further apart than epsilon on some more leading dimensions are skipped.
 """
 
 from __future__ import annotations
@@ -21,18 +22,21 @@ from stratiform.llm.store import stored
 
 @dataclass(frozen=True)
 class GridRules:
-    """cosine: of a link, at least. dims: leading principal dimensions of the grid. sample: vectors that these are fitted on (they
-    decide what can be skipped, never what is linked). block: vectors of an interval. fan: intervals joined to one on each level."""
+    """cosine: of a link, at least. dims: leading principal dimensions of the grid. lead: those on which single vectors are told apart.
+    sample: vectors that these are fitted on (they decide what can be skipped, never what is linked). block: vectors of an interval.
+    fan: intervals joined to one on each level. tile: intervals on a side that go to a task together."""
 
     cosine: float = 0.95
     dims: int = 6
     sample: int = 4096
     block: int = 1024
     fan: int = 8
+    lead: int = 16
+    tile: int = 8
 
 
-#: Of an interval's vectors: ids, hashes and how many rows are equal as packed longs, the vectors as packed doubles.
-PACKED = ("ids", "cls", "copies", "units")
+#: Of an interval's vectors: ids, hashes and how many rows are equal as packed longs, the vectors as packed numbers of their own type.
+PACKED = ("ids", "cls", "copies", "vectors")
 
 
 def usable(vector: Column) -> Column:
@@ -44,7 +48,10 @@ def usable(vector: Column) -> Column:
 def _units(column: pa.ListArray, rows: np.ndarray, dim: int) -> np.ndarray:
     flat = np.asarray(column.flatten(), np.float64)
     at = np.asarray(column.offsets, np.int64)[rows] - column.offsets[0].as_py()
-    vectors = flat[at[:, None] + np.arange(dim)]
+    return _unit(flat[at[:, None] + np.arange(dim)])
+
+
+def _unit(vectors: np.ndarray) -> np.ndarray:
     vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)  # keeps very large and very small ones in range
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
@@ -60,14 +67,13 @@ def _principal(vectors: DataFrame, rules: GridRules) -> dict[int, np.ndarray]:
         x = np.array(rows, np.float64)
         x /= np.linalg.norm(x, axis=1, keepdims=True)
         values, axes = np.linalg.eigh(np.cov(x, rowvar=False, bias=True).reshape(dim, dim))
-        out[dim] = axes[:, np.argsort(values)[::-1][: rules.dims]]
+        out[dim] = axes[:, np.argsort(values)[::-1][: max(rules.dims, rules.lead)]]
     return out
 
 
-def _intervals(vectors: DataFrame, rules: GridRules, width: float) -> DataFrame:
+def _intervals(vectors: DataFrame, rules: GridRules, width: float, axes) -> DataFrame:
     """Stored intervals of the grid order: part, place, dim, what PACKED names as packed numbers, and the box lo_k, hi_k."""
     carried = ("id", "cls", "copies", "vector")
-    axes = vectors.sparkSession.sparkContext.broadcast(_principal(vectors, rules))
     dims = range(rules.dims)
 
     def spots(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -76,7 +82,7 @@ def _intervals(vectors: DataFrame, rules: GridRules, width: float) -> DataFrame:
         for dim in np.unique(size):
             rows = np.flatnonzero(size == dim)
             # Lengths that the sample lacks use their first coordinates.
-            basis = axes.value.get(int(dim), np.eye(int(dim))[:, : rules.dims])
+            basis = axes.value.get(int(dim), np.eye(int(dim)))[:, : rules.dims]
             out[rows[:, None], np.arange(basis.shape[1])] = _units(column, rows, int(dim)) @ basis
         return size, out, np.floor(out / width).astype(np.int32)
 
@@ -105,10 +111,9 @@ def _intervals(vectors: DataFrame, rules: GridRules, width: float) -> DataFrame:
             column = table.column("vector").combine_chunks()
             dim = int(table.column("dim")[0].as_py())
             _, spot, _ = spots(column)
-            units = _units(column, np.arange(len(column)), dim)
             lo, hi = spot.min(axis=0), spot.max(axis=0)
             longs = [table.column(c).to_numpy().tobytes() for c in carried[:3]]
-            values = [number, dim, *longs, units.tobytes(), *lo.tolist(), *hi.tolist()]
+            values = [number, dim, *longs, np.asarray(column.flatten()).tobytes(), *lo.tolist(), *hi.tolist()]
             kinds = [pa.int64(), pa.int32()] + [pa.binary()] * 4 + [pa.float64()] * (2 * rules.dims)
             names = ["place", "dim", *PACKED, *(f"lo{k}" for k in dims), *(f"hi{k}" for k in dims)]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, kinds, strict=True)], names=names)
@@ -128,7 +133,7 @@ def _intervals(vectors: DataFrame, rules: GridRules, width: float) -> DataFrame:
     order = ["dim", *(f"c{k}" for k in dims), "id"]
     ordered = vectors.mapInArrow(place, f"id long, cls long, copies long, vector {vectors.schema['vector'].dataType.simpleString()}, dim int, {cells}")
     ordered = ordered.repartitionByRange(*order).sortWithinPartitions(*order)
-    return stored(ordered.mapInArrow(cut, f"place long, dim int, ids binary, cls binary, copies binary, units binary, {boxes}").withColumn("part", F.spark_partition_id()))
+    return stored(ordered.mapInArrow(cut, f"place long, dim int, ids binary, cls binary, copies binary, vectors binary, {boxes}").withColumn("part", F.spark_partition_id()))
 
 
 def _joined(intervals: DataFrame, rules: GridRules, width: float) -> DataFrame:
@@ -155,11 +160,19 @@ def _joined(intervals: DataFrame, rules: GridRules, width: float) -> DataFrame:
     return pairs
 
 
-def _linked(a: np.ndarray, b: np.ndarray, cosine: float) -> np.ndarray:
-    """Which rows of a and b link; single precision first, what is close to the limit again in double."""
-    near = a.astype(np.float32) @ b.astype(np.float32).T
-    out = near >= cosine
-    i, j = np.nonzero(np.abs(near - cosine) < 1e-4)
+def _linked(a: np.ndarray, b: np.ndarray, cosine: float, basis: np.ndarray) -> np.ndarray:
+    """Which rows of a and b link. Those further apart than epsilon in the leading dimensions do not; what is left is compared in
+    double, or where that is much, in single precision first and again in double if close to the limit."""
+    x, y = (v.astype(np.float32) @ basis.astype(np.float32) for v in (a, b))
+    apart = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1) - 2 * (x @ y.T)
+    near = apart <= 2 - 2 * cosine + 1e-4
+    if 8 * np.count_nonzero(near) < near.size:
+        out = np.zeros(near.shape, bool)
+        i, j = np.nonzero(near)
+    else:
+        rough = a.astype(np.float32) @ b.astype(np.float32).T
+        out = rough >= cosine
+        i, j = np.nonzero(np.abs(rough - cosine) < 1e-4)
     for at in range(0, len(i), 1 << 16):
         x, y = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
         out[x, y] = np.einsum("ij,ij->i", a[x], b[y]) >= cosine
@@ -179,12 +192,25 @@ def _groups(link: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return group, other
 
 
-def _compare(row: dict[str, bytes], cosine: float, same: bool) -> tuple[np.ndarray, ...]:
+@dataclass(frozen=True)
+class Interval:
+    """Vectors of one interval: ids, hashes, how many rows are equal, units."""
+
+    ids: np.ndarray
+    cls: np.ndarray
+    copies: np.ndarray
+    units: np.ndarray
+
+    @staticmethod
+    def of(row: dict[str, bytes], kind: str) -> Interval:
+        ids, cls, copies = (np.frombuffer(row[c], np.int64) for c in PACKED[:3])
+        return Interval(ids, cls, copies, _unit(np.frombuffer(row["vectors"], kind).astype(np.float64).reshape(len(ids), -1)))
+
+
+def _compare(x: Interval, y: Interval, cosine: float, basis: np.ndarray, same: bool) -> tuple[np.ndarray, ...]:
     """Of one pair of intervals: ids and hashes of vectors with a link, the rows they link with, and a member of their group."""
-    (ids, cls, copies), units = zip(*([np.frombuffer(row[f"{side}_{c}"], np.int64) for c in PACKED[:3]] for side in "xy"), strict=True), [
-        np.frombuffer(row[f"{side}_units"]) for side in "xy"
-    ]
-    link = _linked(*(u.reshape(len(i), -1) for u, i in zip(units, ids, strict=True)), cosine)
+    ids, cls, copies = ((getattr(x, c), getattr(y, c)) for c in PACKED[:3])
+    link = _linked(x.units, y.units, cosine, basis)
     if same:
         np.fill_diagonal(link, False)
     left, right = np.flatnonzero(link.any(axis=1)), np.flatnonzero(link.any(axis=0))
@@ -211,7 +237,8 @@ def near_vectors(table: DataFrame, rules: GridRules = GridRules(), id_col: str =
     classes = stored(good.groupBy("vector").agg(F.min("id").alias("id"), F.count("*").alias("copies")).withColumn("cls", F.xxhash64("vector")))
     named = classes.where("id is not null")
     width = float(np.sqrt(2 - 2 * rules.cosine))
-    intervals = _intervals(named.select("id", "cls", "copies", "vector"), rules, width)
+    axes = table.sparkSession.sparkContext.broadcast(_principal(named.select("id", "vector"), rules))
+    intervals = _intervals(named.select("id", "cls", "copies", "vector"), rules, width, axes)
 
     # Numbers without gaps: the rows counted before each part, one row a part.
     parts = intervals.groupBy("part").agg(F.count("*").alias("n"))
@@ -219,17 +246,28 @@ def near_vectors(table: DataFrame, rules: GridRules = GridRules(), id_col: str =
     numbered = stored(intervals.join(before, "part").withColumn("node", F.col("before") + F.col("place")).drop("before", "part", "place"))
     pairs = _joined(numbered.drop(*PACKED), rules, width)
 
-    blocks = numbered.select("node", *PACKED)
-    left, right = (blocks.select(F.col("node").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in PACKED]) for side in "xy")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                got = _compare(row, rules.cosine, row["x"] == row["y"])
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in got], names=["id", "cls", "n", "to"])
-
-    met = pairs.join(left, "x").join(right, "y")
-    found = stored(met.mapInArrow(run, "id long, cls long, n long, to long"))
+    # A task joins up to tile intervals with up to tile others, so that an interval goes to as many tasks as there are tiles.
+    tile = lambda side: F.floor(F.col(side) / rules.tile)
+    told = pairs.select("x", "y", tile("x").alias("tx"), tile("y").alias("ty"))
+    wanted = told.groupBy("tx", "ty", F.col("x").alias("node")).agg(F.collect_list("y").alias("to"))
+    given = told.groupBy("tx", "ty", F.col("y").alias("node")).agg(F.lit(None).cast("array<long>").alias("to"))
+    left, right = (
+        numbered.select("node", *PACKED).join(side, "node").select(*[F.col(c).alias(c) for c in ("tx", "ty", "node", "to", *PACKED)]) for side in (wanted, given)
+    )
+    kind = "<f4" if named.schema["vector"].dataType.elementType.simpleString() == "float" else "<f8"
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        others = {row["node"]: Interval.of(row, kind) for row in right.to_pylist()}
+        out = []
+        for row in left.to_pylist():
+            mine = Interval.of(row, kind)
+            dim = mine.units.shape[1]
+            basis = axes.value.get(dim, np.eye(dim))[:, : rules.lead]
+            out += [_compare(mine, others[node], rules.cosine, basis, node == row["node"]) for node in row["to"]]
+        return pa.table([np.concatenate(c) for c in zip(*out, strict=True)], ["id", "cls", "n", "to"])
+
+    met = left.groupBy("tx", "ty").cogroup(right.groupBy("tx", "ty"))
+    found = stored(met.applyInArrow(run, "id long, cls long, n long, to long"))
     counts = found.groupBy("id", "cls").agg(F.sum("n").alias("n"))
     groups = components(found.select(F.col("id").alias("a"), F.col("to").alias("b")))
     linked = classes.join(counts, ["id", "cls"], "left").join(groups.withColumnRenamed("node", "id"), "id", "left")
