@@ -174,6 +174,47 @@ WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * po
 QUALIFY rank <= 3
 """
 
+_COMPONENTS = """
+c AS (
+  SELECT a AS node, min(b) AS component_id FROM (
+    WITH RECURSIVE reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a) SELECT * FROM reach) GROUP BY a)
+"""
+
+_NEAR_VECTORS = f"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+u AS (SELECT vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM v),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_sum(list_transform(range(1, len(a.e) + 1), lambda k: a.e[k] * b.e[k])) / a.norm / b.norm >= 0.95),
+{_COMPONENTS}
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, least(vec_id, coalesce(component_id, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(component_id, vec_id)) AS kept
+FROM embeddings LEFT JOIN c ON node = vec_id
+"""
+
+_NEAR_TEXTS = f"""
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN []
+    WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 2), lambda k: array_to_string(words[k:k + 3], ' '))) END AS shingles
+  FROM w),
+x AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))),
+{_COMPONENTS}
+SELECT doc_id, len(shingles)::BIGINT AS n_shingles, least(doc_id, coalesce(component_id, doc_id)) AS component_id,
+       doc_id = least(doc_id, coalesce(component_id, doc_id)) AS kept
+FROM s LEFT JOIN c ON node = doc_id
+"""
+
 # crc32 is computed bit by bit; levels of the source trees are 0, 1, ..., those of the tree of sources 1000, 1001, ...
 _MANIFEST = """
 WITH RECURSIVE
@@ -226,4 +267,10 @@ SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(way, l
 FROM x
 """
 
-ORACLES: dict[str, str] = {"op13_bitmap_rank_manifest": _MANIFEST, "op12_strassen_negatives": _NEGATIVES, "op4_preference_formatting": _PREFERENCES}
+ORACLES: dict[str, str] = {
+    "op2_grid_order_join": _NEAR_VECTORS,
+    "op4_preference_formatting": _PREFERENCES,
+    "op5_minhash_near_dedup": _NEAR_TEXTS,
+    "op12_strassen_negatives": _NEGATIVES,
+    "op13_bitmap_rank_manifest": _MANIFEST,
+}
