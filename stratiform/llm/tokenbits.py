@@ -221,7 +221,12 @@ class SegmentIds:
         self.clear()
 
     def clear(self) -> None:
-        self.key, self.at, self.n, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        # Segments by key, most of them in the first table; new ones go to the second, which is merged into the first once it is large.
+        none = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.tables, self.ids = [none, none], np.zeros(0, np.uint32)
+
+    def __len__(self) -> int:
+        return sum(len(key) for key, _, _ in self.tables)
 
     def plain(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, np.uint32) for x in self.model.encode_batch_fast(texts, add_special_tokens=False)]
@@ -238,13 +243,19 @@ class SegmentIds:
         n = np.fromiter(map(len, made), np.int64, len(made))
         at = len(self.ids) + np.cumsum(n) - n
         self.ids = np.concatenate([self.ids, *made])
-        keys = np.concatenate([self.key, key])
-        order = np.argsort(keys, kind="stable")
-        self.key, self.at, self.n = keys[order], np.concatenate([self.at, at])[order], np.concatenate([self.n, n])[order]
+        self.tables[1] = _joined(self.tables[1], (key, at, n))
+        if len(self.tables[1][0]) > max(50_000, len(self.tables[0][0]) // 4):
+            self.tables = [_joined(*self.tables), tuple(x[:0] for x in self.tables[1])]
 
     def find(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        spot = np.searchsorted(self.key, key).clip(max=max(len(self.key) - 1, 0))
-        return spot, (self.key[spot] == key) if len(self.key) else np.zeros(len(key), bool)
+        """Where the ids of each key begin, -1 for one that is not known, and how many they are."""
+        at, n = np.full(len(key), -1), np.zeros(len(key), np.int64)
+        for keys, begin, size in self.tables:
+            if len(keys):
+                spot = np.searchsorted(keys, key).clip(max=len(keys) - 1)
+                hit = keys[spot] == key
+                at[hit], n[hit] = begin[spot[hit]], size[spot[hit]]
+        return at, n
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text, equal to those of encoding it as a whole."""
@@ -262,16 +273,15 @@ class SegmentIds:
         key[pair] = mix(key[pair] * np.uint64(0xC2B2AE3D27D4EB4F) + runs.hash[last[pair]])
         start, stop = runs.start[first], runs.end[last]
         distinct, example, which = np.unique(key, return_index=True, return_inverse=True)
-        if len(self.key) + len(distinct) > self.limit:
+        if len(self) + len(distinct) > self.limit:
             self.clear()
-        new = ~self.find(distinct)[1]
+        new = self.find(distinct)[0] < 0
         if new.any():
             told = data.tobytes()
             self.learn(distinct[new], [told[start[k] : stop[k]].decode() for k in example[new].tolist()])
-        spot = self.find(distinct)[0][which]
-        n = self.n[spot]
+        at, n = (x[which] for x in self.find(distinct))
         ends = np.cumsum(n)
-        ids = self.ids[np.repeat(self.at[spot] - ends + n, n) + np.arange(ends[-1])]
+        ids = self.ids[np.repeat(at - ends + n, n) + np.arange(ends[-1])]
         bounds = np.concatenate([[0], ends])[np.searchsorted(start, offsets)]
         out = [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
         odd = _other_spaces(data, offsets)
@@ -280,6 +290,15 @@ class SegmentIds:
         return out
 
 
+Table = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def _joined(a: Table, b: Table) -> Table:
+    key, at, n = (np.concatenate(x) for x in zip(a, b, strict=True))
+    order = np.argsort(key)
+    return key[order], at[order], n[order]
+
+
 _RUNS = np.where(BY_SPACE, 1, 2).astype(np.uint8)
 # White space beyond ASCII, and control signs that some count as such. Texts that hold any are encoded as a whole.
 _OTHER_SPACE = [chr(c).encode() for c in (*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
