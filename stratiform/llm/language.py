@@ -44,13 +44,13 @@ def plain(text: str) -> bytes:
 
 
 def learn_languages(docs: DataFrame, rules: LanguageRules = LanguageRules(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
-    """One dictionary a language from at most ``samples`` slices of its texts, those first by a hash of the id.
+    """One dictionary a language from at most ``samples`` slices of its texts, those first by a hash of id and text.
 
     The sample comes in two steps, so that a language with most rows is never ranked in one task: a share of each language's
     rows by hash, about four times what is needed, then the exact first ones. Rows without text or language teach nothing.
     """
     rows = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
-        F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 20)).alias("h")
+        F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(1 << 20)).alias("h")
     )
     # Stored, so that its size is known before the join and no text is shuffled to it: one row a language.
     counts = stored(rows.groupBy("lang").agg(F.count("*").alias("n")))

@@ -32,8 +32,8 @@ class MixRules:
 
 WORD = r"[^\x20\x09-\x0D]+"
 
-# Primes above any useful block count's smaller factors: one that does not divide the count steps through all blocks.
-PRIMES = (2147483647, 2147483629, 2147483587)
+ROUNDS = 4  # of the permutation
+WALK = 64  # steps back into range; more than 2 * sqrt(blocks) + 1, the most there can be, up to 992 blocks, and beyond all chance above
 
 
 def source_targets(sizes: DataFrame, rules: MixRules) -> DataFrame:
@@ -59,30 +59,35 @@ def source_targets(sizes: DataFrame, rules: MixRules) -> DataFrame:
 
 
 def _positions(sizes: DataFrame, rules: MixRules, rows: int) -> DataFrame:
-    """sizes with ``start``, the words of its source before a document, in an order by hash bucket, id and size.
+    """sizes with ``start``, the words of its source before a document, in an order by hash bucket, id, size and hash of the text.
 
-    Buckets are summed first, so neither a large source nor the whole table is ranked in one task.
+    Buckets are summed first, so neither a large source nor the whole table is ranked in one task; rows without an id are parted by
+    their texts.
     """
     buckets = max(1, -(-rows // rules.rows))
-    placed = sizes.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)))
+    placed = sizes.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "size", "hash"), F.lit(buckets)))
     sums = placed.groupBy("sid", "bucket").agg(F.sum("size").alias("n"))
     ahead = Window.partitionBy("sid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(F.col("sid").alias("s"), F.col("bucket").alias("b"), F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("base"))
-    inner = Window.partitionBy("sid", "bucket").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inner = Window.partitionBy("sid", "bucket").orderBy("doc_id", "size", "hash").rowsBetween(Window.unboundedPreceding, -1)
     inside = placed.withColumn("inside", F.coalesce(F.sum("size").over(inner), F.lit(0)))
     return inside.join(sums, (F.col("sid") == F.col("s")) & (F.col("bucket") == F.col("b"))).withColumn("start", F.col("base") + F.col("inside")).drop("s", "b", "base", "inside", "bucket")
 
 
 def _permuted(index: Column, blocks: Column, sid: Column, seed: int) -> Column:
-    """A permutation of 0..blocks-1 for each source: a step by a prime that does not divide the count, from a drawn offset."""
-    draw = F.pmod(F.xxhash64(F.lit(seed), sid), F.lit(len(PRIMES)))
-    step = F.lit(None).cast("long")
-    for shift in reversed(range(len(PRIMES))):
-        prime = F.element_at(F.array(*[F.lit(p) for p in PRIMES]), (F.pmod(draw + shift, F.lit(len(PRIMES))) + 1).cast("int"))
-        step = F.when(prime % blocks != 0, prime % blocks).otherwise(step)
-    step = F.when(blocks == 1, F.lit(0)).otherwise(step)
-    offset = F.pmod(F.xxhash64(F.lit(seed + 1), sid), blocks)
-    return ((index.cast("decimal(19,0)") * step.cast("decimal(19,0)") + offset.cast("decimal(19,0)")) % blocks.cast("decimal(19,0)")).cast("long")
+    """A pseudorandom permutation of 0..blocks-1 for each source: a Feistel network on pairs of numbers below the root of the count,
+    rounded up, repeated from where it lands outside (cycle walking)."""
+    side = F.ceil(F.sqrt(blocks.cast("double"))).cast("long")
+
+    def network(x: Column) -> Column:
+        start = F.struct(F.floor(x / side).alias("l"), (x % side).alias("r"))
+        mixed = lambda s, k: (s["l"] + F.pmod(F.xxhash64(F.lit(seed), sid, k, s["r"]), side)) % side
+        rounds = F.array(*[F.lit(k) for k in range(ROUNDS)])
+        return F.aggregate(rounds, start, lambda s, k: F.struct(s["r"].alias("l"), mixed(s, k).alias("r")), lambda s: s["l"] * side + s["r"])
+
+    first = network(index)
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), network(index), lambda x, _: F.when(x < blocks, x).otherwise(network(x)))
+    return F.when(first < blocks, first).otherwise(walked)
 
 
 def _block_takes(plan: DataFrame, rules: MixRules) -> DataFrame:
@@ -121,13 +126,13 @@ def mix_sources(docs: DataFrame, rules: MixRules = MixRules(), text_col: str = "
     """doc_id, source, size, source_size, target, taken for every row of docs.
 
     Null and empty texts have size 0 and nothing is taken of them; a null source is a source of its own, last in order; null and
-    repeated ids are counted like others (rows of one id lie in one bucket of the running sums). A long text spans many blocks.
+    repeated ids are counted like others (equal rows lie in one bucket of the running sums). A long text spans many blocks.
     An empty table gives an empty result. A block's words count as often as its slot was drawn, at most ``most`` times.
     """
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    sizes = stored(docs.select("doc_id", "source", size.alias("size")))
+    sizes = stored(docs.select("doc_id", "source", size.alias("size"), F.xxhash64(text_col).alias("hash")))
     targets = stored(source_targets(sizes, rules))
-    named = sizes.alias("d").join(targets.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source"))).select("doc_id", "d.source", "size", "sid", "source_size", "target")
+    named = sizes.alias("d").join(targets.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source"))).select("doc_id", "d.source", "size", "hash", "sid", "source_size", "target")
     rows = stored(_positions(named.where("size > 0"), rules, sizes.count()))
 
     blocks = F.ceil(F.col("source_size") / rules.block)
@@ -170,5 +175,7 @@ def mixed_documents(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
     """docs as the mix takes them: each row as often as its taken words make whole copies, rounded without bias, columns unchanged."""
     names = docs.columns
     copies = _whole_copies(mix_sources(docs.select("doc_id", "source", "text"), rules), rules)
-    joined = docs.join(copies.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*[F.col(f"`{c}`") for c in names])
+    held = docs.toDF(*[f"c{k}" for k in range(len(names))])  # names of our own, so that none of the caller's clash
+    joined = held.join(copies, F.col(f"c{names.index('doc_id')}").eqNullSafe(F.col("doc_id")))
+    taken = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies")))
+    return taken.select(*[F.col(f"c{k}").alias(name) for k, name in enumerate(names)])

@@ -61,7 +61,7 @@ class WordIds:
         self.clear()
 
     def clear(self) -> None:
-        self.key, self.at, self.n, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint16)
+        self.key, self.at, self.n, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.model.encode_batch_fast(texts, add_special_tokens=False)]
@@ -74,7 +74,7 @@ class WordIds:
         made = []
         for at in range(0, len(words), 256):
             # A special token parts the words, so that one call encodes many of them; words never hold its name.
-            ids = np.array(self.encode([_SPECIAL[0].join(words[at : at + 256])])[0], np.uint16)
+            ids = np.array(self.encode([_SPECIAL[0].join(words[at : at + 256])])[0], np.uint32)
             cuts = np.flatnonzero(ids == self.mark)
             made += np.split(ids, cuts)
             made[len(made) - len(cuts) :] = [x[1:] for x in made[len(made) - len(cuts) :]]
@@ -132,7 +132,7 @@ def token_ids(texts: pa.Array, words: WordIds) -> tuple[np.ndarray, np.ndarray]:
         return flat, bounds
     odd = np.flatnonzero(~plain)
     whole = dict(zip(odd.tolist(), words.encode([texts[int(i)].as_py() for i in odd]), strict=True))
-    parts = [np.array(whole[i], np.uint16) if i in whole else flat[bounds[i] : bounds[i + 1]] for i in range(rows)]
+    parts = [np.array(whole[i], np.uint32) if i in whole else flat[bounds[i] : bounds[i + 1]] for i in range(rows)]
     return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
 
 

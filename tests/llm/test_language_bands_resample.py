@@ -139,3 +139,9 @@ def test_labels_of_rows_that_are_gone_take_no_others(frame):
     docs = frame([(k, f"some words {k}") for k in range(10)], "doc_id long, text string")
     assert resample.fit_resampler(docs, labels).keep_share == 1.0
     assert resample.fit_resampler(docs.union(frame([(15, "bad words")], "doc_id long, text string")), labels).keep_share < 1.0
+
+
+def test_languages_learn_from_rows_without_ids(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(F.lit(None).cast("long").alias("doc_id"), "text", "lang")
+    model = language.learn_languages(docs)
+    assert len(model) == 4 and all(len(x) > 30_000 for x in model.values())

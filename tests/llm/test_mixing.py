@@ -3,7 +3,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from stratiform.llm.mixing import MixRules, mix_sources, mixed_documents, source_targets
+from stratiform.llm.mixing import MixRules, _permuted, _positions, mix_sources, mixed_documents, source_targets
 
 
 def filled(sizes, weights=(3, 1, 2), budget=1.5, most=2):
@@ -87,3 +87,29 @@ def test_whole_copies_meet_the_targets_of_sources(spark, rows):
 def test_no_python_on_the_way(spark, sf):
     plan = mix_sources(spark.read.parquet(f"{sf}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian", plan)
+
+
+@pytest.mark.parametrize("blocks", [1, 2, 3, 7, 64, 991, 5000])
+def test_slots_are_permuted_within_each_source(spark, blocks):
+    rows = spark.range(blocks).select("id", F.explode(F.array(F.lit(0), F.lit(1))).alias("sid"))
+    got = rows.select("id", "sid", _permuted(F.col("id"), F.lit(blocks).cast("long"), F.col("sid"), 5).alias("at")).collect()
+    for sid in (0, 1):
+        assert sorted(r["at"] for r in got if r.sid == sid) == list(range(blocks))
+    if blocks > 900:
+        steps = {(b - a) % blocks for a, b in zip(*(([r["at"] for r in sorted(got) if r.sid == 0])[k:] for k in (0, 1)))}
+        assert len(steps) > blocks / 3  # no fixed stride
+        assert [r["at"] for r in sorted(got) if r.sid == 0] != [r["at"] for r in sorted(got) if r.sid == 1]
+
+
+def test_rows_without_ids_are_parted(spark):
+    rows = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("s").alias("source"), F.concat(F.lit("w "), F.col("id")).alias("text"))
+    sizes = rows.select("doc_id", F.lit(2).cast("long").alias("size"), F.xxhash64("text").alias("hash"), F.lit(0).alias("sid"))
+    placed = _positions(sizes, MixRules(rows=1000), 20_000)
+    assert placed.select("start").distinct().count() == 20_000 and placed.agg(F.max("start")).first()[0] == 39_998
+    assert mix_sources(rows, MixRules(rows=1000)).agg(F.sum("taken")).first()[0] == pytest.approx(60_000, abs=128)
+
+
+def test_columns_of_any_name_survive_the_mix(spark, frame):
+    docs = frame([(k, "a", "x y z", k, 1, 2) for k in range(50)], "doc_id long, source string, text string, _copies long, _id int, c0 int")
+    out = mixed_documents(docs)
+    assert out.columns == docs.columns and out.where("_copies <> doc_id or _id <> 1 or c0 <> 2").count() == 0 and out.count() > 0
