@@ -13,8 +13,11 @@ from stratiform.llm.store import stored
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with a margin; learned from the languages the rows state."""
-    model = language.learn_languages(docs)
-    return language.classify_languages(docs, model, prefix="_lang_").where(~F.col("_lang_rejected")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    prefix = "_lang_"
+    while any(c.startswith(prefix) for c in docs.columns):
+        prefix = f"_{prefix}"
+    told = language.classify_languages(docs, language.learn_languages(docs), prefix=prefix)
+    return told.where(~F.col(f"{prefix}rejected")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
