@@ -41,6 +41,10 @@ def test_lines_of_odd_pages(page, lines):
     [("<body class='single has-sidebar'>x</body>", ["x"]), ("<article class='post comments-open'>x</article>", ["x"]), ("<main class='with-sidebar'>x</main>", ["x"]),
      ("<article><p class='share-price'>x<div class='related-work'>y</div></article>", ["x", "y"]), ("<article id=banner><div class=notice>x</div></article>", ["x"]),
      ("<div class='share-price'>x</div>", ["x"]), ("<div class='site-nav'>no</div><div class='sidebar-left'>no</div><div id=related-posts>no</div>x", ["x"]),
+     ("<article class='comment'>no</article><article>x<article class='comment reply'>no</article></article>", ["x"]),
+     ("<main>x<div class=sidebar>no</div><div class=cookie-notice>no</div><div class=related>no</div><div class='promo box'>no</div></main>", ["x"]),
+     ("<div class='article-tools'>a</div><p>x</p>", ["a", "x"]), ("<div id='story-list'>a</div><article>x</article>", ["a", "x"]),
+     ("<p>x</p><article class='teaser'>y</article>", ["x", "y"]), ("<article class='card'>y</article><div class='article-body'>x</div>", ["y", "x"]),
      ("<article><div class='comment-list'>no</div><div class='ad-slot-2'>no</div><div class=share>x</div></article>", ["x"])],
 )
 def test_classes_that_only_hold_a_word_drop_nothing(page, lines):
@@ -175,3 +179,12 @@ def test_preferences_agree_with_sql_where_turns_are_shared(spark, sf, tmp_path):
     con = connect(str(tmp_path))
     made = queries.QUERIES["op4_preference_formatting"](spark, str(tmp_path))
     assert differences(made, con, queries.ORACLES["op4_preference_formatting"]) == [] and made.where("n_shared > 1").count() > 3
+
+
+@pytest.mark.parametrize(
+    "page,main",
+    [("<div id='story-list'>a</div><article>x</article>", ["x"]), ("<div class='article-tools'>a</div><article>x</article>", ["x"]), ("<p>x</p><article class='teaser'>y</article>", []),
+     ("<article class='card'>y</article><div class='article-body'>x</div>", ["x"]), ("<main class='site-main'>x</main>", ["x"]), ("<article class='comment'>x</article>", [])],
+)
+def test_what_is_main_text(page, main):
+    assert [line for line, kind in zip(*page_lines(page), strict=True) if kind] == main
