@@ -1,14 +1,16 @@
 """Main text of web pages by nearest-URL page differencing.
 
 Pages are cut into text lines, one for each block. Within a host every page is paired with the page next to it in path order, their
-lines are aligned by longest common subsequence, and lines that both have are deleted. Markup says more where it can: elements that
-are never main text are dropped, and lines in an article are never deleted for being shared.
+lines are aligned by longest common subsequence, and lines that both have are deleted. Markup then checks each page: elements that
+are never main text are dropped, and where a page marks its article, lines in it that differencing deleted come back and the others go.
 """
 
 from __future__ import annotations
 
 import html
+import pickle
 import re
+import tempfile
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -240,7 +242,7 @@ def _path_prefix(a: str, b: str) -> int:
     return n
 
 
-Page = tuple  # host, path, row_key, lines, sizes, open
+Page = tuple  # host, path, row_key, lines, sizes
 
 
 def is_copy(a: Page, b: Page, alike: float = 0.75, same_path: float = 0.5) -> bool:
@@ -257,14 +259,39 @@ def _nearest(page: Page, before: Page | None, after: Page | None) -> list[int]:
     return common_lines(page[3], max(near, key=lambda x: _path_prefix(page[1], x[1]))[3]) if near else []
 
 
-PAGE = pa.struct([("host", pa.string()), ("path", pa.string()), ("row_key", pa.int64()), ("lines", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("open", pa.bool_())])
-_PAGE = "struct<host: string, path: string, row_key: bigint, lines: array<bigint>, sizes: array<int>, open: boolean>"
+PAGE = pa.struct([("host", pa.string()), ("path", pa.string()), ("row_key", pa.int64()), ("lines", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32()))])
+_PAGE = "struct<host: string, path: string, row_key: bigint, lines: array<bigint>, sizes: array<int>>"
 _WALKED = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("row_key", pa.int64()), ("shared", pa.list_(pa.int32())), *[(c, PAGE) for c in ("page", "before", "after", "last")]])
 DONE, FIRST, LAST, ONLY, EDGE = range(5)
 
 
 def _plain(page: dict | None) -> Page | None:
-    return None if page is None else tuple(page[c] for c in ("host", "path", "row_key", "lines", "sizes", "open"))
+    return None if page is None else tuple(page[c] for c in ("host", "path", "row_key", "lines", "sizes"))
+
+
+class _Run:
+    """The pages of a run of copies, in order; those beyond the first ``held`` lie in a file, so a run of any length fits a task."""
+
+    def __init__(self, held: int = 2000) -> None:
+        self.held, self.pages, self.file = held, [], None
+
+    def append(self, page: Page) -> None:
+        if len(self.pages) < self.held:
+            self.pages.append(page)
+            return
+        self.file = self.file or tempfile.TemporaryFile()
+        pickle.dump(page, self.file)
+
+    def taken(self) -> Iterator[Page]:
+        """All pages, after which the run is empty."""
+        yield from self.pages
+        if self.file:
+            end = self.file.tell()
+            self.file.seek(0)
+            while self.file.tell() < end:
+                yield pickle.load(self.file)
+            self.file.close()
+        self.pages, self.file = [], None
 
 
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,32 +306,36 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def row(kind: int, **values) -> dict:
         return {"part": part, "kind": kind} | {k: dict(zip(names, v, strict=True)) if isinstance(v, tuple) else v for k, v in values.items()}
 
-    def close(after: Page | None) -> None:
-        for page in run:
+    def batch_of_rows(least: int = 1) -> Iterator[pa.RecordBatch]:
+        if len(out) >= least:
+            yield pa.RecordBatch.from_pylist(out, schema=_WALKED)
+            out.clear()
+
+    def close(after: Page | None) -> Iterator[pa.RecordBatch]:
+        for page in run.taken():
             if first_run or after is None:
                 out.append(row(ONLY if first_run and after is None else FIRST if first_run else LAST, row_key=page[2], page=page, before=before, after=after))
             elif found := _nearest(page, before, after):
                 out.append(row(DONE, row_key=page[2], shared=found))
+            yield from batch_of_rows(1000)
 
-    run: list[Page] = []
+    run = _Run()
     before = now = first = second = None
     first_run = True
     for batch in batches:
         for page in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
             if now is not None and not is_copy(now, page):
-                close(page)
+                yield from close(page)
                 second = page if first_run else second
-                before, first_run, run = now, False, []
+                before, first_run = now, False
             first = first or page
             now = page
-            if page[5]:
-                run.append(page)
-        yield pa.RecordBatch.from_pylist(out, schema=_WALKED)
-        out = []
+            run.append(page)
+        yield from batch_of_rows()
     if now is not None:
-        close(None)
+        yield from close(None)
         out.append(row(EDGE, page=first, last=now, before=before, after=second))
-        yield pa.RecordBatch.from_pylist(out, schema=_WALKED)
+        yield from batch_of_rows()
 
 
 def _beside(edges: list[tuple]) -> dict[int, tuple[Page | None, Page | None]]:
@@ -328,16 +359,15 @@ def _beside(edges: list[tuple]) -> dict[int, tuple[Page | None, Page | None]]:
 
 
 def shared_lines(pages: DataFrame) -> DataFrame:
-    """(row_key, shared): for pages without a marked article, the numbers of the lines that the nearest page of the host has too.
+    """(row_key, shared): the numbers of the lines that the nearest page of the host has too, for every page that shares any.
 
     Pages are range-partitioned and sorted by host, path and key, so a host with a third of all pages lies in many tasks. Neighbours
     that are copies of each other form a run. Of the pages before and after its run a page takes the one that shares more of its path,
     the one before on a tie. Runs at the ends of a task are aligned in a second pass, for which one row a task passes through the
-    driver, so that results do not depend on how pages are dealt out. Only hashes and lengths of lines move. Marked pages are
-    neighbours, but are not aligned themselves.
+    driver, so that results do not depend on how pages are dealt out. Only hashes and lengths of lines move.
     """
     spark = pages.sparkSession
-    schema = "host string, path string, row_key long, lines array<long>, sizes array<int>, open boolean"
+    schema = "host string, path string, row_key long, lines array<long>, sizes array<int>"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -345,7 +375,7 @@ def shared_lines(pages: DataFrame) -> DataFrame:
             columns = [batch.column(c) for c in ("host", "path", "row_key")]
             hashes = pa.array([_line_hashes(m[0]) for m in made], pa.list_(pa.int64()))
             sizes = pa.array([[len(x) for x in m[0]] for m in made], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*columns, hashes, sizes, pa.array([MAIN not in m[1] for m in made], pa.bool_())], names=["host", "path", "row_key", "lines", "sizes", "open"])
+            yield pa.RecordBatch.from_arrays([*columns, hashes, sizes], names=["host", "path", "row_key", "lines", "sizes"])
 
     rest = F.regexp_replace(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
     rest = F.regexp_replace(rest, r"[?#].*$", "")
@@ -374,28 +404,30 @@ def shared_lines(pages: DataFrame) -> DataFrame:
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
-    """page_id, url, text, n_chars of every row of pages.
+    """page_id, url, text, n_chars of every row of pages, and n_shared: how many of its lines the nearest page has too.
 
-    A page with a marked article gives the article's lines. Others give the lines outside dropped elements that the nearest page
-    does not share. Null and empty html give an empty text; a null url belongs to the host without a name; rows that repeat a page
+    Differencing deletes the lines outside dropped elements that the nearest page shares. A page that marks its article is then
+    checked against the mark, which is exact: shared lines of the article come back, as unlike pages may hold equal sentences, and
+    lines outside it go, as menus may differ from page to page. Null and empty html give an empty text; a null url belongs to the host without a name; rows that repeat a page
     are each cut alike, and a copy of a page (``is_copy``) is never what it is compared with; a very long page is handled whole in its row.
     """
     keyed = pages.select("page_id", "url", "html", F.xxhash64("url", "html").alias("row_key"))
     shared = stored(shared_lines(keyed))
     joined = keyed.join(shared, "row_key", "left").select("page_id", "url", "html", "shared")
-    schema = T.StructType([pages.schema["page_id"], pages.schema["url"], T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
+    schema = T.StructType([pages.schema["page_id"], pages.schema["url"], T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType()), T.StructField("n_shared", T.LongType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
+            texts, shared = [], []
             for page, gone in zip(batch.column("html"), batch.column("shared"), strict=True):
                 lines, kinds = page_lines(page.as_py() or "")
+                drop = set(gone.as_py() or ())
+                kept = [i not in drop for i in range(len(lines))]
                 if MAIN in kinds:
-                    texts.append("\n".join(x for x, k in zip(lines, kinds, strict=True) if k == MAIN))
-                else:
-                    drop = set(gone.as_py() or ())
-                    texts.append("\n".join(x for i, x in enumerate(lines) if i not in drop))
+                    kept = [k == MAIN for k in kinds]
+                texts.append("\n".join(x for x, stays in zip(lines, kept, strict=True) if stays))
+                shared.append(len(drop))
             n = np.fromiter(map(len, texts), np.int64, len(texts))
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(n)], names=["page_id", "url", "text", "n_chars"])
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(n), pa.array(shared, pa.int64())], names=["page_id", "url", "text", "n_chars", "n_shared"])
 
     return joined.mapInArrow(cut, schema)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from compare import connect, differences
 from stratiform.llm import queries
-from stratiform.llm.pages import common_lines, extract_main_text, page_lines
+from stratiform.llm.pages import _Run, common_lines, extract_main_text, page_lines
 from stratiform.llm.preferences import format_preferences, render_turns, shared_turns
 
 ARTICLE = (
@@ -95,6 +95,23 @@ def test_lines_shared_with_the_nearest_page_go(frame):
     assert extract_main_text(frame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_marked_pages_are_aligned_and_checked_by_their_mark(frame):
+    story = lambda k: f"Story {k} of words told at length, and of that page alone"
+    page = lambda k: f"<div>Site name</div><article><p>Both say so<p>{story(k)}</article><div>All rights</div>"
+    rows = [(k, f"http://h.com/news/{k}", page(k)) for k in range(3)] + [(9, "http://alone.com/1", page(9))]
+    out = {r.page_id: (r.text, r.n_shared) for r in extract_main_text(frame(rows, "page_id long, url string, html string")).collect()}
+    assert out == {k: (f"Both say so\n{story(k)}", 0 if k == 9 else 3) for k in (0, 1, 2, 9)}
+
+
+def test_long_runs_lie_in_a_file():
+    run = _Run(held=2)
+    for _ in range(2):
+        pages = [("h", str(k), k, [k], [1]) for k in range(5)]
+        for page in pages:
+            run.append(page)
+        assert len(run.pages) == 2 and list(run.taken()) == pages and list(run.taken()) == []
+
+
 def _pages(frame, parts=1):
     page = lambda *lines: "<body>" + "".join(f"<div>{x}</div>" for x in lines) + "</body>"
     story = lambda k: [f"Story {k} line {n} of words told at length" for n in range(6)]
