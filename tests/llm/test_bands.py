@@ -60,6 +60,28 @@ def test_limits_beyond_what_is_learned():
     assert bands.bands_from(size[:20], np.ones(20)) == ()
 
 
+def test_limits_come_from_all_good_texts(spark):
+    # Sizes and ratios of 30,000 good texts; half of them, dealt out by no id, compress far better.
+    n = 30_000
+    size, ratio = 300 + np.arange(n) * 7919 % 9000, 0.5 + 0.0001 * (np.arange(n) * 104729 % 1000) - 0.2 * (np.arange(n) % 2)
+    rows = spark.range(n).select(
+        F.col("id").alias("doc_id"), F.lit(60).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_repeat_words"),
+        (300 + F.col("id") * 7919 % 9000).alias("size"), (0.5 + 0.0001 * (F.col("id") * 104729 % 1000) - 0.2 * (F.col("id") % 2)).alias("ratio"),
+    )
+    got = bands.fit_measured(rows, spark.range(n).selectExpr("id AS doc_id", "1 AS quality")).bands
+    want = bands.bands_from(size, ratio)
+    assert [b[0] for b in got] == [b[0] for b in want] and np.abs(np.array(got)[:, 1:] - np.array(want)[:, 1:]).max() < 2e-5
+
+
+def test_judging_measured_texts_is_judging_texts(frame):
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("abcdefgh"), rng.integers(2, 9))) for _ in range(400)]
+    rows = [(k, " ".join(rng.choice(words, int(rng.integers(1, 4000))))) for k in range(60)] + [(60, None), (61, "")]
+    docs = frame(rows, "doc_id long, text string")
+    want, got = (sorted(df.collect()) for df in (bands.compression_bands(docs, keep=["doc_id"]), bands.judge(bands.measure_texts(docs, keep=["doc_id"]))))
+    assert got == want and len(got) == 62
+
+
 def test_nothing_to_learn_from(frame):
     docs, labels = frame([(1, "a b"), (None, None)], "doc_id long, text string"), frame([(1, 1), (None, 1), (2, None)], "doc_id long, quality int")
     assert bands.fit_bands(docs, labels) == bands.BandRules()
