@@ -26,7 +26,7 @@ FIRST = "is_first_listing"
 
 @dataclass(frozen=True)
 class Inputs:
-    """Raw tables with the columns that tell their row order."""
+    """Raw tables with the columns that tell their row order, and the ids of each that have too many rows for one task (``hot_keys``)."""
 
     core: DataFrame
     extended: DataFrame
@@ -36,6 +36,9 @@ class Inputs:
     extended_order: Sequence[str | Column]
     ratings_order: Sequence[str | Column]
     enrichment_order: Sequence[str | Column]
+    core_hot: Sequence = ()
+    extended_hot: Sequence = ()
+    ratings_hot: Sequence = ()
 
 
 @dataclass(frozen=True)
@@ -57,12 +60,12 @@ def staged_table(
     """One staged table; ``extra`` is the prepared enrichment source and ``core`` the staged core, where they are at hand."""
     extra = extra or prepare_enrichment(inputs.enrichment, inputs.enrichment_order)
     if name == "movies_main":
-        return stage_core(inputs.core, extra, inputs.core_order, settings.loaded_at)
+        return stage_core(inputs.core, extra, inputs.core_order, settings.loaded_at, inputs.core_hot)
     if name == "movie_extended":
-        return stage_extended(inputs.extended, extra, inputs.extended_order, settings.loaded_at)
+        return stage_extended(inputs.extended, extra, inputs.extended_order, settings.loaded_at, inputs.extended_hot)
     iso = settings.loaded_at.isoformat() + "+00:00"
     known = inputs.core if core is None else core
-    return stage_ratings(inputs.ratings, known, extra, inputs.ratings_order, iso, settings.min_votes, core is not None)
+    return stage_ratings(inputs.ratings, known, extra, inputs.ratings_order, iso, settings.min_votes, core is not None, inputs.ratings_hot)
 
 
 STAGED = ("movies_main", "movie_extended", "ratings")

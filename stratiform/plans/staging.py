@@ -83,10 +83,10 @@ def _finish(df: DataFrame, key: str, signals: Sequence[str], loaded_at: Column)
 
 
 def stage_core(
-    raw: DataFrame, enrichment: DataFrame, order: Sequence[str | Column], loaded_at: dt.datetime
+    raw: DataFrame, enrichment: DataFrame, order: Sequence[str | Column], loaded_at: dt.datetime, hot: Sequence = ()
 ) -> Staged:
     """Core attributes: titles and amounts are filled as they came, dates are brought to one form first."""
-    kept = collapse_duplicates(raw, "id", order, CORE_SIGNALS, True, ["id", *CORE_SIGNALS])
+    kept = collapse_duplicates(raw, "id", order, CORE_SIGNALS, True, ["id", *CORE_SIGNALS], hot)
     joined = attach(kept, enrichment, "id", ["title", "budget", "revenue", "release_date_norm"])
     filled = fill_blank(joined, {c: f"{c}_src" for c in ("title", "budget", "revenue")}, "n_filled")
     dated = filled.withColumn("release_date", normalise_mixed_date(F.col("release_date")))
@@ -95,10 +95,10 @@ def stage_core(
 
 
 def stage_extended(
-    raw: DataFrame, enrichment: DataFrame, order: Sequence[str | Column], loaded_at: dt.datetime
+    raw: DataFrame, enrichment: DataFrame, order: Sequence[str | Column], loaded_at: dt.datetime, hot: Sequence = ()
 ) -> Staged:
     """List attributes, each filled from the enrichment source."""
-    kept = collapse_duplicates(raw, "id", order, EXTENDED_SIGNALS, True, ["id", *EXTENDED_SIGNALS])
+    kept = collapse_duplicates(raw, "id", order, EXTENDED_SIGNALS, True, ["id", *EXTENDED_SIGNALS], hot)
     joined = attach(kept, enrichment, "id", EXTENDED_SIGNALS)
     done = fill_blank(joined, {c: f"{c}_src" for c in EXTENDED_SIGNALS}, "n_filled")
     return _finish(done, "id", EXTENDED_SIGNALS, F.lit(loaded_at.isoformat(sep=" ")).cast("timestamp_ntz"))
@@ -112,6 +112,7 @@ def stage_ratings(
     loaded_at: str,
     min_votes: int = 20,
     one_row_per_id: bool = False,
+    hot: Sequence = (),
 ) -> Staged:
     """Ratings of the ids in the core table, raw or, with ``one_row_per_id``, staged; gaps are filled from released enrichment rows with enough votes.
 
@@ -121,7 +122,7 @@ def stage_ratings(
     ids = core.select(F.col("id").alias("core_id"))
     universe = (ids if one_row_per_id else ids.distinct()).withColumn("in_core", F.lit(True))
     own = collapse_duplicates(
-        raw, "movie_id", order, RATING_SIGNALS, True, ["movie_id", *RATING_SIGNALS, "loaded_at"]
+        raw, "movie_id", order, RATING_SIGNALS, True, ["movie_id", *RATING_SIGNALS, "loaded_at"], hot
     )
     votes = enrichment.select(F.col("id").alias("movie_id"), "vote_average", "vote_count", "status")
     # Rows without a key are one entity on either side, so NULL meets NULL.

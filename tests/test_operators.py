@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stratiform.functions.numbers import clean_decimal, digits_to_long
 from stratiform.operators import audit, buildlog, checks, scorecard as sc
-from stratiform.operators.dedup import collapse_duplicates, dedup_profile, keep_first, latest_per_key
+from stratiform.operators.dedup import collapse_duplicates, dedup_profile, hot_keys, keep_first, latest_per_key
 from stratiform.operators.dimensions import date_dimension, date_spine, name_dimension
 from stratiform.operators.enrich import fill_missing
 from stratiform.operators.facts import group_year_fact, rating_fact
@@ -71,6 +71,21 @@ def test_collapse_of_a_hot_key_matches_brute_force(frame):
     assert got == want
 
 
+def test_hot_keys_are_combined_before_the_shuffle(frame):
+    data = [(k, n, v) for n in range(40) for k, v in ((None, "x%d" % n if n % 3 else ""), ("hot", "y%d" % n if n % 4 else None), (str(n % 11), "z%d" % n))]
+    df = frame(data, "k string, n int, a string")
+    hot = hot_keys(df, "k", 20)
+    assert sorted(hot, key=str) == [None, "hot"] and hot_keys(df, "k") == []
+    for some in (hot, ["hot"], [None]):
+        for make in (
+            lambda h: collapse_duplicates(df, "k", ["n"], ["a"], True, hot=h), lambda h: dedup_profile(df, "k", ["n"], ["a"], h),
+            lambda h: keep_first(df, "k", ["n"], h), lambda h: latest_per_key(df, "k", ["n"], h),
+        ):
+            assert sorted(map(str, make(some).collect())) == sorted(map(str, make([]).collect()))
+    plan = collapse_duplicates(df, "k", ["n"], ["a"], hot=hot)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2 and plan.rindex("Exchange") < plan.rindex("partial_max_by")
+
+
 def test_first_and_latest(frame):
     df = frame([(1, 1, "a"), (1, 2, "b"), (2, None, "c"), (2, 0, "d"), (None, 9, "e")], "k int, n int, v string")
     assert rows(keep_first(df.filter("k = 1"), "k", ["n"]), "v") == [("a",)]

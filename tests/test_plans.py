@@ -46,6 +46,13 @@ def test_collapse_shuffles_once_after_combining(spark, sf):
     assert plan.count("Exchange") == 1 and "partial_max_by" in plan
 
 
+def test_rows_are_shuffled_as_they_came(spark, sf):
+    for name in ("collapse_duplicates", "duplicate_profile"):
+        plan = plan_of(QUERIES[name](spark, sf))
+        # A plan reads from its end upwards: rows are dealt out first, and what the aggregate needs of them is made after that.
+        assert plan.index("partial_max_by") < plan.index("Exchange hashpartitioning(id") and "xxhash64" not in plan[plan.index("Exchange hashpartitioning(id"):], name
+
+
 def test_flagged_metrics_need_no_distinct_count(spark, sf):
     plan = plan_of(src.customer_metrics(spark, sf))
     assert plan.count("Exchange") == 1 and "distinct" not in plan.lower()
