@@ -19,6 +19,9 @@ RATINGS_SCHEMA = T.StructType([
     ])),
 ])
 # Landed column → place in the nested document; the deviation is renamed on the way.
+# Fixed value: control characters that no JSON text holds.
+NO_LINE = "\x1e\x00\x1e"
+
 RATINGS_COLUMNS = {
     "movie_id": "movie_id",
     "avg_rating": "ratings_summary.avg_rating",
@@ -120,12 +123,14 @@ def land_json(
 
     Files hold one object or array a line and split into ranges. With ``arrays`` a file is one array of objects, or objects one after
     the other, with line breaks anywhere or nowhere, and still splits, see ``file_records``; a nested value in a text column comes
-    without white space between its parts. With ``multi_line`` a file is one object or array, read in one task.
+    without white space between its parts. With ``multi_line`` a file of up to 2 GB is one object or array, read in one task; where it is longer
+    than a range of Spark's reader, a task for each range reads on to its end, so ``arrays`` is for such files.
     """
     if arrays:
         raw = _json_records(spark, path, schema)
     else:
-        raw = spark.read.schema(schema).option("mode", "FAILFAST").json(path, multiLine=multi_line)
+        # Spark's multi-line reader goes back to the file for every number in a text column, 4 KB each time. So a file is one line.
+        raw = spark.read.schema(schema).option("mode", "FAILFAST").json(path, lineSep=NO_LINE if multi_line else None)
     cells = [F.col(place).alias(name) for name, place in flatten.items()]
     if loaded_at is not None:
         cells.append(F.lit(loaded_at).alias("loaded_at"))

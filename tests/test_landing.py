@@ -15,6 +15,20 @@ from stratiform.operators.dedup import collapse_duplicates
 AT = dt.datetime(2024, 1, 1)
 
 
+def test_numbers_of_an_array_file_are_read_once_and_as_they_stand(spark, tmp_path):
+    f = tmp_path / "a.json"
+    numbers = ["0.10", "1e3", "12345678901234567890", "-0", "7"]
+    f.write_text("[" + ",\n".join(f'{{"movie_id": {k}, "ratings_summary": {{"avg_rating": {numbers[k % 5]}}}}}' for k in range(5000)) + "]\n", encoding="utf-8")
+    read = lambda: sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+    before = read()
+    rows = land_json(spark, str(f), multi_line=True).select("movie_id", "avg_rating").collect()
+    assert sorted(map(tuple, rows), key=lambda r: int(r[0])) == [(str(k), numbers[k % 5]) for k in range(5000)]
+    assert read() - before < 10 * f.stat().st_size
+    f.write_bytes(b"\xef\xbb\xbf {\"movie_id\": \"1\"}")
+    (tmp_path / "empty.json").write_text(" \n")
+    assert [r.movie_id for r in land_json(spark, str(tmp_path), multi_line=True).collect()] == ["1"]
+
+
 def test_csv_by_header_name(spark, tmp_path):
     f = tmp_path / "a.csv"
     f.write_text('title,id\n"x, ""y""\nz", 1 \nN/A,2\n')
