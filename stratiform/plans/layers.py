@@ -228,11 +228,12 @@ class Built:
 def write_typed(inputs: Inputs, settings: Settings, to: Writer) -> tuple[dict[str, DataFrame], Models]:
     """Write the staged and typed tables.
 
-    The enrichment source is prepared and written once for all three; ratings take their ids from the staged core table; and
+    The enrichment source is prepared and written once for all three, in buckets of its id, so joining it moves none of it; ratings take their ids from the staged core table; and
     the statistics of the rating column are taken as its one-scale form is written. Typed tables lie in the same buckets of the entity.
     """
     spark = inputs.core.sparkSession
-    extra = to.table(spark, "staged", "enrichment", lambda: prepare_enrichment(inputs.enrichment, inputs.enrichment_order))
+    buckets = settings.buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    extra = to.table(spark, "staged", "enrichment", lambda: prepare_enrichment(inputs.enrichment, inputs.enrichment_order), (buckets, ["id"]))
     staged: dict[str, DataFrame] = {}
     for name in STAGED:
         staged[name] = to.staged(staged_table(name, inputs, settings, extra, staged.get("movies_main")), name)
@@ -240,7 +241,6 @@ def write_typed(inputs: Inputs, settings: Settings, to: Writer) -> tuple[dict[st
     one_scale = to.table(spark, "staged", "ratings_on_one_scale", lambda: watched)
     scored = scored_ratings(one_scale, known_statistics(one_scale, "rating_10", seen))
     made = {**typed_tables({n: staged[n] for n in STAGED[:2]}), "stg_ratings": scored}
-    buckets = settings.buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     typed = {n: to.table(spark, "staging", n, lambda df=df: df, (buckets, ["movie_id"])) for n, df in made.items()}
     return staged, Models(inputs, settings, typed)
 

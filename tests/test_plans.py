@@ -6,6 +6,7 @@ from compare import connect, differences
 from stratiform.operators.scorecard import ScoreRules
 from stratiform.plans import layers
 from stratiform.plans.tasklog import Writer, read_log
+from stratiform.sources.tables import read_folder
 from stratiform.workload import inputs as src
 from stratiform.workload.oracles import ORACLES
 from stratiform.workload.queries import QUERIES
@@ -74,6 +75,18 @@ def test_typed_tables_join_without_a_shuffle(spark, sf):
     assert "Exchange" not in fact and fact.count("FileScan") == 3
 
 
+def test_the_enrichment_source_joins_without_moving(spark, sf, tmp_path):
+    raw = src.layered_inputs(spark, sf)
+    layers.write_typed(raw, src.SETTINGS, Writer(str(tmp_path)))
+    extra = read_folder(spark, f"{tmp_path}/staged/enrichment")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(layers.staged_table("movies_main", raw, src.SETTINGS, extra).rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32MB")
+    assert plan.count("Exchange") == 1 and "SortMergeJoin" in plan
+
+
 def test_year_range_reaches_the_scan(spark, sf):
     details = QUERIES["supplier_trends"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(o_orderdate,1990-01-01" in details
