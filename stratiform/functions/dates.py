@@ -42,10 +42,9 @@ def date_key(c: Column) -> Column:
 def wall_clock(c: Column, zone: str = "+08:00") -> Column:
     """ISO text to wall-clock time in a zone; text without an offset is taken as it is."""
     has_offset = c.rlike(r"(Z|[+-]\d{2}:?\d{2})\z")
-    # The instant in UTC by arithmetic on its microseconds: the session zone's own clock repeats an hour each autumn.
-    seconds = (F.unix_micros(F.try_to_timestamp(c)).cast("decimal(24,6)") / 1_000_000).cast("decimal(18,6)")
-    utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
-    shifted = F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
+    # The zone's clock as an instant in UTC, and from there by microseconds: the session zone's own clock repeats an hour each autumn.
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    shifted = F.timestamp_add("MICROSECOND", F.unix_micros(F.from_utc_timestamp(F.try_to_timestamp(c), zone)), epoch)
     return F.when(has_offset, shifted).otherwise(c.try_cast("timestamp_ntz"))
 
 

@@ -663,9 +663,12 @@ def build_log_tasks(spark: SparkSession, sf: str) -> DataFrame:
     sources = F.create_map(F.lit("source.z"), node("source", "raw", "z", None, None, []))
     folder = shared_folder(spark)
     document = F.regexp_replace(F.to_json(F.struct(run.alias("run_id"), results.alias("results"))), '"=([^"]*)"', "$1")
-    events.select(document.alias("value")).write.text(f"{folder}/results")
-    events.select(F.to_json(F.struct(run.alias("run_id"), nodes.alias("nodes"), sources.alias("sources"))).alias("value")) \
-        .write.text(f"{folder}/manifests")
+    # The documents say the same over and over, so most of their size goes by packing. A packed file is read by one task: a fixed
+    # number of them, as few bytes of events make large documents.
+    dealt = events.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "event_id")
+    write = lambda doc, name: dealt.select(doc.alias("value")).write.text(f"{folder}/{name}", compression="lz4")
+    write(document, "results")
+    write(F.to_json(F.struct(run.alias("run_id"), nodes.alias("nodes"), sources.alias("sources"))), "manifests")
     read = lambda schema, name: spark.read.schema(schema).json(f"{folder}/{name}")
     tasks = buildlog.flatten_build_logs(
         read(buildlog.RESULTS_SCHEMA, "results"), read(buildlog.MANIFEST_SCHEMA, "manifests"), "marts"

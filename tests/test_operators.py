@@ -1,6 +1,7 @@
 """Table operators on small frames, and on groups that hold most of the rows."""
 
 import datetime as dt
+import json
 import random
 from decimal import Decimal as D
 
@@ -334,6 +335,27 @@ def test_build_log_edges(spark, tmp_path):
     assert buildlog.run_status(tasks).first()[1:] == (2, 1, "partial")
 
 
+def test_build_log_documents_are_read_and_shuffled_once(spark, tmp_path):
+    """A run's results may lie in two documents and its manifest be there twice; parents are found among many nodes."""
+    node = lambda i, parents: {"resource_type": "model", "schema": "s", "name": f"n{i}", "depends_on": {"nodes": parents}}
+    nodes = {f"m.{i}": node(i, [f"m.{(i * 7 + 1) % 40}", "src.z", None, "gone"]) for i in range(40)}
+    manifest = {"run_id": "r", "nodes": {**nodes, "src.z": None}, "sources": {"src.z": {"name": "z"}, "m.8": {"name": "hidden"}}}
+    done = lambda ids: {"run_id": "r", "results": [{"unique_id": i, "status": "error" if i == "m.39" else "success"} for i in ids]}
+    documents = {
+        "results": [done([f"m.{i}" for i in range(20)] + ["m.x", None]), done([f"m.{i}" for i in range(20, 40)]),
+                    {"run_id": None, "results": [{"unique_id": "m.1"}]}],
+        "manifests": [manifest, manifest, {**manifest, "run_id": None}],
+    }
+    for name, docs in documents.items():
+        (tmp_path / f"{name}.json").write_text("\n".join(map(json.dumps, docs)))
+    read = lambda schema, name: spark.read.schema(schema).json(str(tmp_path / f"{name}.json"))
+    tasks = buildlog.flatten_build_logs(read(buildlog.RESULTS_SCHEMA, "results"), read(buildlog.MANIFEST_SCHEMA, "manifests"), "s")
+    plan = tasks._jdf.queryExecution().executedPlan().toString()
+    assert (plan.count("FileScan json"), plan.count("Exchange")) == (2, 1)
+    assert rows(tasks, "task_name", "source_relation", "run_status") == sorted(
+        (f"n{i}", f"s.n{(i * 7 + 1) % 40}, z", "partial") for i in range(40))
+
+
 def test_look_back_in_a_hot_group_spreads_over_tasks(spark, frame):
     rows = [("hot" if i % 3 else None if i % 2 else "g%d" % (i % 8), None if i % 50 == 0 else i * 37 % 1009, i, "v%d" % i) for i in range(3000)]
     df, prior = frame(rows, "g string, at long, id long, v string"), {"was": "v", "was_at": "at"}
